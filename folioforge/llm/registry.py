@@ -9,7 +9,7 @@ from __future__ import annotations
 from importlib import import_module
 
 #: Modules with queries, by problem.
-MODULES = ("token_queries", "consensus_queries", "quota_queries")
+MODULES = ("token_queries", "consensus_queries", "quota_queries", "cluster_queries")
 
 
 def _gather(what: str) -> dict:
