@@ -9,7 +9,7 @@ from __future__ import annotations
 from importlib import import_module
 
 #: Modules with queries, by problem.
-MODULES = ("token_queries", "consensus_queries", "quota_queries", "cluster_queries", "mojibake_queries", "truncation_queries", "lookalike_queries")
+MODULES = ("token_queries", "consensus_queries", "quota_queries", "cluster_queries", "mojibake_queries", "truncation_queries", "lookalike_queries", "packing_queries", "subset_queries")
 
 
 def _gather(what: str) -> dict:
