@@ -21,8 +21,7 @@ counts once per source; labels that are NULL are a column of their own.
 
 from __future__ import annotations
 
-import unicodedata
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import cache
 
 import numpy as np
@@ -32,16 +31,18 @@ from pyspark.sql import functions as F
 
 from folioforge.session import materialize
 
+from .charfold import flatten, folded
+
 #: Context lengths, and the slots of each as a power of two. The last table holds whole values.
 ORDERS = (2, 4, 7, 12)
-SLOT_BITS = (16, 19, 20, 21, 20)
+SLOT_BITS = (16, 19, 20, 20, 20)
 #: Weight of the shorter context's estimate, in occurrences, and what that estimate is at least:
 #: nested contexts repeat one observation, so their doubts must not multiply.
 BACKOFF, BACKOFF_LEAST = 2.0, 0.02
 #: Copies of a value that are left out of its own evidence; more copies than that count as evidence.
 OWN_COPIES = 4
 #: Characters handed to the counter at once.
-CHUNK = 1 << 20
+CHUNK = 1 << 19
 #: What the score changes by when another model's reading goes on (of an end that is unlikely already,
 #: below UNLIKELY), when the value has just a field limit's length, or when another reading ends at the same place, which two cuts hardly ever do.
 GOES_ON, ENDS_TOO, UNLIKELY = 3.0, 20.0, -1.0
@@ -58,34 +59,6 @@ PAD = max(ORDERS)
 BASE = 0x9E3779B97F4A7C15
 
 
-@cache
-def folded() -> np.ndarray:
-    """Code points as base letters in lower case, digits and blanks as one each, look-alike letters as Latin.
-
-    0 marks what leaves no trace: combining marks and invisible signs. So one
-    reading in several spellings has one context.
-    """
-    t = np.arange(0x110000, dtype=np.uint32)
-    for i in (*range(0x20, 0x3100), *range(0xFB00, 0x10000)):
-        c = chr(i)
-        if unicodedata.combining(c) or unicodedata.category(c) == "Cf":
-            t[i] = 0
-            continue
-        low = unicodedata.normalize("NFKD", c)[0].lower()[0]
-        t[i] = 0x30 if low.isdigit() else 0x20 if c.isspace() and c != "\n" else ord(low)
-    t[[0x85, 0x180E]] = 0
-    t[0x111] = t[0x110] = ord("d")
-    for c, base in zip(LOOK_ALIKE, LATIN):
-        t[ord(c)] = ord(base)
-        t[ord(c.upper())] = ord(base)
-    return t
-
-
-# Letters of other alphabets and the Latin letters that they look like.
-LOOK_ALIKE = "авсеһіјкмнорԛѕтухԁԝαβεικνορτυχ"
-LATIN = "abcehijkmhopqstyxdwabeiknoptyx"
-
-
 @cache
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     out = []
@@ -101,53 +74,78 @@ def _sizes(n: int) -> int:
     return 1 << max(10, (n - 1).bit_length())
 
 
+@cache
+def steps() -> np.ndarray:
+    """+1 for opening, -1 for closing brackets."""
+    t = np.zeros(0x110000, np.int8)
+    t[[40, 91, 123]], t[[41, 93, 125]] = 1, -1
+    return t
+
+
+# Languages of the thresholds, told by letters that only they have, in order of precedence.
+LANGUAGES = ["zh", "ru", "vi", "de", "es", "fr"]
+
+
+@cache
+def language_bits() -> np.ndarray:
+    t = np.zeros(0x110000, np.uint8)
+    t[0x4E00:0xA000], t[0x430:0x450] = 1, 2
+    t[0x1EA0:0x1EFA] = 4
+    for bit, letters in ((4, "\u0103\u0111\u01a1\u01b0"), (8, "äöüß"), (16, "ñ¿¡ó"), (32, "çèêœù")):
+        t[[ord(c) for c in letters]] |= bit
+    return t
+
+
 class Laid:
     """Values laid end to end, each after PAD cells, with the state at every cell."""
 
-    def __init__(self, texts: list[str], labels: np.ndarray):
+    def __init__(self, texts: list[str], labels: np.ndarray, with_language: bool = False):
         sizes = np.fromiter(map(len, texts), np.int64, len(texts))
         gap = "\x01" * PAD
         codes = np.frombuffer((gap + gap.join(texts)).encode("utf-32-le", "surrogatepass"), np.uint32)
         self.n = len(texts)
-        seen = folded()[codes]
-        if not seen.all():  # drop what leaves no trace
-            kept = seen != 0
+        if with_language:
+            self.language = np.bitwise_or.reduceat(language_bits()[codes], np.cumsum(sizes + PAD) - sizes - PAD)
+        c = folded(True)[codes]
+        if not c.all():  # drop what leaves no trace
+            kept = c != 0
             sizes = np.bincount(np.repeat(np.arange(self.n), sizes + PAD)[kept], minlength=self.n) - PAD
-            codes, seen = codes[kept], seen[kept]
+            c = c[kept]
         self.first = np.cumsum(sizes + PAD) - sizes  # first character of each value
         self.last = self.first + sizes - 1
-        self.text_cell = np.ones(len(codes), bool)
-        for k in range(1, PAD + 1):
-            self.text_cell[self.first - k] = False
-        self.owner = np.repeat(np.arange(self.n), sizes + PAD)
-        c = seen
-        step = np.isin(c, (40, 91, 123)).astype(np.int32) - np.isin(c, (41, 93, 125))
+        self.codes = c
+        self.holds: np.ndarray | None = None
+        step = steps()[c].astype(np.int32)
         # Tags and environments count at the last character that tells them, so the state knows nothing of what follows.
-        for word, by in (("<ta", 1), ("</ta", -1), ("\\be", 1), ("\\en", -1), ("\\lef", 1), ("\\rig", -1)):
-            hit = c[len(word) - 1 :] == ord(word[-1])
-            for k, letter in enumerate(word[:-1]):
-                hit &= c[k : len(c) - len(word) + 1 + k] == ord(letter)
-            step[len(word) - 1 :] += by * hit
-        run = np.cumsum(step)
-        depth = np.clip(run - run[self.first - 1][self.owner], -1, 2) + 1
-        # Rows of a pipe table: is this row as full as the value's first?
-        pipe = np.cumsum(c == 124)
-        line = c == 10
-        at = np.maximum.accumulate(np.where(line | ~self.text_cell, np.arange(len(c)), 0))
-        in_row = pipe - pipe[at]
-        rows = np.zeros(len(c), np.int64)
-        if line.any():
-            breaks = np.flatnonzero(line)
-            head = np.zeros(self.n, np.int64)
-            own, idx = np.unique(self.owner[breaks], return_index=True)
-            head[own] = pipe[breaks[idx]] - pipe[self.first[own] - 1]
-            rows = np.where((head[self.owner] > 1) & (c[self.first][self.owner] == 124), 1 + (in_row == head[self.owner]), 0)
-        state = (labels[self.owner].astype(np.uint64) * np.uint64(16) + depth.astype(np.uint64) * np.uint64(4) + rows.astype(np.uint64)) * np.uint64(0xD6E8FEB86659FD93)
-        code = seen.astype(np.uint64) + np.uint64(0x2545F491)
+        for mark, words in ((60, (("<ta", 1), ("</ta", -1))), (92, (("\\be", 1), ("\\en", -1), ("\\lef", 1), ("\\rig", -1)))):
+            at = np.flatnonzero(c[: len(c) - 4] == mark)
+            for word, by in words:
+                hit = at
+                for k, letter in enumerate(word[1:], 1):
+                    hit = hit[c[hit + k] == ord(letter)]
+                step[hit + len(word) - 1] += by
+        run = np.cumsum(step, dtype=np.int32)
+        per_value = sizes + PAD
+        depth = np.clip(run - np.repeat(run[self.first - 1], per_value), -1, 2) + 1
+        state = np.repeat(labels.astype(np.int32) * 16, per_value) + depth * 4
+        for i in np.flatnonzero((c[self.first] == 124) & (sizes > 2)):
+            self._rows(state, int(self.first[i]), int(self.last[i]) + 1)
+        self.state = state.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
+        code = c.astype(np.uint64) + np.uint64(0x2545F491)
         power, self.inverse = powers(_sizes(len(c) + 1))
         with np.errstate(over="ignore"):
             self.prefix = np.concatenate((np.zeros(1, np.uint64), np.cumsum(code * power[: len(c)])))
-        self.state = state
+
+    def _rows(self, state: np.ndarray, start: int, end: int) -> None:
+        """In a pipe table: is the row at each cell as full as the first one?"""
+        c = self.codes[start:end]
+        breaks = np.flatnonzero(c == 10)
+        if len(breaks):
+            pipe = np.cumsum(c == 124)
+            head = pipe[breaks[0]]
+            row = np.searchsorted(breaks, np.arange(len(c)), side="right")
+            before = np.concatenate(([0], pipe[breaks]))[row]
+            state[start:end] += 1 + (pipe - before == head)
 
     def slots(self, order: int, at: np.ndarray) -> np.ndarray:
         """Slot of the context of ORDERS[order] characters that ends at each cell of *at*."""
@@ -156,6 +154,18 @@ class Laid:
             key = (self.prefix[at + 1] - self.prefix[at + 1 - n]) * self.inverse[at + 1 - n]
             return self._slot(key ^ self.state[at], order)
 
+    def everywhere(self, order: int) -> np.ndarray:
+        """The same at every cell that holds a character; contiguous, without a gather."""
+        n = ORDERS[order]
+        if self.holds is None:
+            self.holds = np.ones(len(self.codes), bool)
+            for k in range(1, PAD + 1):
+                self.holds[self.first - k] = False
+        with np.errstate(over="ignore"):
+            key = (self.prefix[n:] - self.prefix[:-n]) * self.inverse[: len(self.prefix) - n]
+            key ^= self.state[n - 1 :]
+        return self._slot(key[self.holds[n - 1 :]], order)
+
     def whole(self) -> np.ndarray:
         """Slot of each whole value."""
         with np.errstate(over="ignore"):
@@ -180,68 +190,140 @@ def _chunks(labels: list, texts: list[str]) -> Iterator[tuple[int, int]]:
         yield start, len(texts)
 
 
-def _count(values: DataFrame, wanted: np.ndarray | None) -> np.ndarray:
-    """Occurrences per slot: of final contexts and whole values, or, given the slots *wanted*, of contexts anywhere."""
-    sent = values.sparkSession.sparkContext.broadcast(None if wanted is None else np.packbits(wanted))
+def _gather(parts: DataFrame) -> np.ndarray:
+    """Sums of (slot, n) as one array of the model's fixed size."""
+    got = parts.groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
+    out = np.zeros(int(OFFSETS[-1]), np.int64)
+    out[got.column("slot").to_numpy()] = got.column("n").to_numpy()
+    return out
+
+
+def _emit(total: np.ndarray) -> Iterator[pa.RecordBatch]:
+    used = np.flatnonzero(total)
+    for i in range(0, len(used), 1 << 16):
+        part = used[i : i + (1 << 16)]
+        yield pa.RecordBatch.from_arrays([pa.array(part.astype(np.int32)), pa.array(total[part].astype(np.int64))], names=["slot", "n"])
+
+
+KEEP = ["tbl", "rec_id", "source", "check", "n_chars", "label_id"]
+FINAL = [f"s{k}" for k in range(len(SLOT_BITS))]
+
+
+def readable(b: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, pa.Array, list[str]]:
+    """(row, place, all sources, values without trailing blanks) of the values in a batch's content maps."""
+    rows, places, sources, texts = flatten(b)
+    texts = [t.rstrip() if t else "" for t in texts]
+    keep = np.flatnonzero(np.fromiter(map(bool, texts), bool, len(texts)))
+    return rows[keep], places[keep], sources, [texts[i] for i in keep.tolist()]
+
+
+def compare(text: str, others: Iterable[str]) -> int:
+    """-1 if another reading ends with the same characters, 1 if one goes on after them, else 0.
+
+    The last quarter (6 to 12 characters) is compared; it must be found no
+    earlier than 12 characters before where it stands here.
+    """
+    size = len(text)
+    tail = text[-max(6, min(12, size // 4)) :]
+    goes_on = 0
+    for o in others:
+        if o.endswith(tail):
+            return -1
+        at = o.find(tail, max(size - len(tail) - 13, 0))
+        if at >= 0:
+            goes_on = 1
+    return goes_on
+
+
+def final_contexts(values: DataFrame) -> DataFrame:
+    """Every value's final contexts as slots s0, s1, ..., the last one the whole value's, and its language."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows, places, sources, texts = readable(b)
+            labels = b.column("label_id").to_numpy()[rows]
+            lengths = np.fromiter(map(len, texts), np.int32, len(texts))
+            tails = b.column("tails").to_pylist()
+            check = np.zeros(len(texts), np.int32)
+            bounds = np.flatnonzero(np.diff(rows, prepend=-1)).tolist() + [len(rows)]
+            for s, e in zip(bounds, bounds[1:]):
+                if tails[rows[s]]:
+                    check[s] = -1 if compare(texts[s], tails[rows[s]]) < 0 else 0
+                elif e - s > 1:
+                    for i in range(s, e):
+                        check[i] = compare(texts[i], texts[s:i] + texts[i + 1 : e])
+            for s, e in _chunks(labels, texts):
+                laid = Laid(texts[s:e], labels[s:e], with_language=True)
+                slots = [OFFSETS[k] + laid.slots(k, laid.last) for k in range(len(ORDERS))] + [OFFSETS[-2] + laid.whole()]
+                low = laid.language & (~laid.language + 1)  # the lowest bit takes precedence
+                lang = np.array(["other", *LANGUAGES])[np.where(low > 0, np.log2(np.maximum(low, 1)).astype(int) + 1, 0)]
+                row = pa.array(rows[s:e])
+                yield pa.RecordBatch.from_arrays(
+                    [b.column("tbl").take(row), b.column("rec_id").take(row), sources.take(pa.array(places[s:e])), pa.array(check[s:e]), pa.array(lengths[s:e]), pa.array(labels[s:e].astype(np.int32)), pa.array(lang.tolist(), pa.string()), *[pa.array(x.astype(np.int32)) for x in slots]],
+                    names=[*KEEP, "lang", *FINAL],
+                )
+
+    return values.mapInArrow(run, "tbl string, rec_id long, source string, check int, n_chars int, label_id int, lang string, " + ", ".join(f"{c} int" for c in FINAL))
+
+
+def count_ends(contexts: DataFrame) -> np.ndarray:
+    """How many values end in each slot."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(int(OFFSETS[-1]), np.int32)
+        for b in batches:
+            for i in range(len(FINAL)):
+                np.add.at(total, b.column(i).to_numpy(), 1)
+        yield from _emit(total)
+
+    return _gather(contexts.select(*FINAL).mapInArrow(run, "slot int, n long"))
+
+
+def count_everywhere(values: DataFrame, wanted: np.ndarray) -> np.ndarray:
+    """How often the contexts of the slots *wanted* occur anywhere in the values."""
+    sent = values.sparkSession.sparkContext.broadcast(np.packbits(wanted))
     size = int(OFFSETS[-1])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(size, np.int64)
+        total = np.zeros(size, np.int32)
         for b in batches:
-            labels, texts = b.column(0).to_numpy(), b.column(1).to_pylist()
+            rows, _, _, texts = readable(b)
+            labels = b.column("label_id").to_numpy()[rows]
             for s, e in _chunks(labels, texts):
                 laid = Laid(texts[s:e], labels[s:e])
-                if sent.value is None:
-                    for k in range(len(ORDERS)):
-                        total[OFFSETS[k] : OFFSETS[k + 1]] += np.bincount(laid.slots(k, laid.last), minlength=1 << SLOT_BITS[k])
-                    total[OFFSETS[-2] :] += np.bincount(laid.whole(), minlength=1 << SLOT_BITS[-1])
-                else:
-                    at = np.flatnonzero(laid.text_cell)
-                    for k in range(len(ORDERS)):
-                        total[OFFSETS[k] : OFFSETS[k + 1]] += np.bincount(laid.slots(k, at), minlength=1 << SLOT_BITS[k])
-        if sent.value is not None:
-            total[np.unpackbits(sent.value, count=size) == 0] = 0
-        used = np.flatnonzero(total)
-        for i in range(0, len(used), 1 << 16):
-            part = used[i : i + (1 << 16)]
-            yield pa.RecordBatch.from_arrays([pa.array(part.astype(np.int32)), pa.array(total[part])], names=["slot", "n"])
-
-    parts = values.select("label_id", "text").mapInArrow(run, "slot int, n long")
-    got = parts.groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
-    out = np.zeros(size, np.int64)
-    out[got.column("slot").to_numpy()] = got.column("n").to_numpy()
-    return out
+                for k in range(len(ORDERS)):
+                    total[OFFSETS[k] : OFFSETS[k + 1]] += np.bincount(laid.everywhere(k), minlength=1 << SLOT_BITS[k]).astype(np.int32)
+        total[np.unpackbits(sent.value, count=size) == 0] = 0
+        yield from _emit(total)
+
+    return _gather(values.select("label_id", "content").mapInArrow(run, "slot int, n long"))
 
 
-def train(values: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+def train(values: DataFrame, contexts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """(ends, occurrences) of every slot that some value ends in."""
-    ends = _count(values, None)
-    return ends.astype(np.int32), np.maximum(_count(values, ends > 0), ends).astype(np.int32)
+    ends = count_ends(contexts)
+    return ends.astype(np.int32), np.maximum(count_everywhere(values, ends > 0), ends).astype(np.int32)
 
 
-def score(values: DataFrame, model: tuple[np.ndarray, np.ndarray]) -> DataFrame:
-    """*values* with logodds: ends here against goes on, after the value's final context."""
-    sent = values.sparkSession.sparkContext.broadcast(model)
+def score(contexts: DataFrame, model: tuple[np.ndarray, np.ndarray]) -> DataFrame:
+    """*contexts* with logodds: ends here against goes on, after the value's final context."""
+    sent = contexts.sparkSession.sparkContext.broadcast(model)
     base = float(model[0][: OFFSETS[1]].sum() + 1) / float(model[1][: OFFSETS[1]].sum() + 2)
-    keep = ["tbl", "rec_id", "source", "lang", "check", "n_chars", "label_id"]
+    keep = [*KEEP, "lang"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ends, total = sent.value
         for b in batches:
-            labels, texts = b.column(len(keep) - 1).to_numpy(), b.column(len(keep)).to_pylist()
-            odds = np.zeros(len(texts))
-            for s, e in _chunks(labels, texts):
-                laid = Laid(texts[s:e], labels[s:e])
-                copies = np.clip(ends[OFFSETS[-2] + laid.whole()], 1, OWN_COPIES)
-                p = np.full(e - s, base)
-                for k in range(len(ORDERS)):
-                    slot = OFFSETS[k] + laid.slots(k, laid.last)
-                    n_end, n_all = np.maximum(ends[slot] - copies, 0), np.maximum(total[slot] - copies, 0)
-                    p = (n_end + BACKOFF * np.maximum(p, BACKOFF_LEAST)) / (np.maximum(n_all, n_end) + BACKOFF)
-                odds[s:e] = np.log(np.clip(p, 1e-9, 1 - 1e-9)) - np.log1p(-np.clip(p, 1e-9, 1 - 1e-9))
-            yield pa.RecordBatch.from_arrays([*[b.column(i) for i in range(len(keep))], pa.array(odds)], names=[*keep, "logodds"])
+            slots = [b.column(len(keep) + k).to_numpy() for k in range(len(FINAL))]
+            copies = np.clip(ends[slots[-1]], 1, OWN_COPIES)
+            p = np.full(len(copies), base)
+            for slot in slots[:-1]:
+                n_end, n_all = np.maximum(ends[slot] - copies, 0), np.maximum(total[slot] - copies, 0)
+                p = (n_end + BACKOFF * np.maximum(p, BACKOFF_LEAST)) / (np.maximum(n_all, n_end) + BACKOFF)
+            p = np.clip(p, 1e-9, 1 - 1e-9)
+            yield pa.RecordBatch.from_arrays([*[b.column(i) for i in range(len(keep))], pa.array(np.log(p) - np.log1p(-p))], names=[*keep, "logodds"])
 
-    return values.select(*keep, "text").mapInArrow(run, "tbl string, rec_id long, source string, lang string, check int, n_chars int, label_id int, logodds double")
+    return contexts.select(*keep, *FINAL).mapInArrow(run, "tbl string, rec_id long, source string, check int, n_chars int, label_id int, lang string, logodds double")
 
 
 # Labels, in the order of their ids; what is none of them has the next id.
@@ -253,42 +335,18 @@ def label_id(label: Column) -> Column:
     return F.coalesce(F.array_position(F.array(*[F.lit(x) for x in LABELS]), label), F.lit(0)).cast("int") - 1 + F.when(label.isin(LABELS), 0).otherwise(7)
 
 
-def language(text: Column) -> Column:
-    """A coarse language by script and letters, for the thresholds only."""
-    t = F.lower(F.left(text, F.lit(400)))
-    return (
-        F.when(t.rlike("[\\u4e00-\\u9fff]"), "zh").when(t.rlike("[\\u0430-\\u044f]{3}"), "ru").when(t.rlike("[\\u0103\\u0111\\u01a1\\u01b0\\u1ea0-\\u1ef9]"), "vi")
-        .when(t.rlike("[\\u00e4\\u00f6\\u00fc\\u00df]|\\\\b(der|die|das|und|wurde)\\\\b"), "de").when(t.rlike("[\\u00f1\\u00f3\\u00ed\\u00fa]|\\\\b(el|los|una|fue)\\\\b"), "es")
-        .when(t.rlike("[\\u00e8\\u00ea\\u00e7\\u00f4\\u0153]|\\\\b(le|les|des|une)\\\\b"), "fr").when(t.rlike("\\\\b(the|was|when|for|of)\\\\b"), "en").otherwise("other")
-    )
-
-
 def page_values(elements: DataFrame) -> DataFrame:
-    """One row per element and model with a value; *check* compares it with the other models' values:
-
-    -1 if another value ends with the same characters, 1 if another goes on
-    after them, else 0. The last quarter (6 to 12 characters) is compared; it
-    must be found no earlier than 12 characters before where it stands here.
-    """
-    e = elements.filter("element_id is not null").select("element_id", label_id(F.col("label")).alias("label_id"), F.map_entries("content").alias("c"))
-    v = e.select("element_id", "label_id", "c", F.explode("c").alias("s")).select(F.lit("page_element").alias("tbl"), F.col("element_id").alias("rec_id"), F.col("s.key").alias("source"), "label_id", F.rtrim(F.col("s.value")).alias("text"), F.length("s.value").alias("n_chars"), "c")
-    v = v.filter(F.length("text") > 0)
-    size = "length(text)"
-    tail = f"greatest(6, least(12, cast(floor({size} / 4) as int)))"
-    at = f"locate(right(text, {tail}), o.value, greatest({size} - {tail} - 12, 1))"
-    same = F.expr(f"exists(c, o -> coalesce(o.key <> source and right(rtrim(o.value), {tail}) = right(text, {tail}), false))")
-    more = F.expr(f"exists(c, o -> coalesce(o.key <> source and {at} > 0 and length(rtrim(o.value)) > {at} + {tail} - 1, false))")
-    return v.withColumn("check", F.when(same, -1).when(more, 1).otherwise(0)).drop("c")
+    """(tbl, rec_id, label_id, content, tails): an element's readings; they are compared with each other."""
+    return elements.filter("element_id is not null and content is not null").select(F.lit("page_element").alias("tbl"), F.col("element_id").alias("rec_id"), label_id(F.col("label")).alias("label_id"), "content", F.lit(None).cast("array<string>").alias("tails"))
 
 
 def judge_values(verdicts: DataFrame, elements: DataFrame) -> DataFrame:
-    """One row per verdict with a correction, under its element's label; *check* is -1 where a reading of the element ends alike."""
-    v = verdicts.filter("verdict_id is not null and length(trim(corrected)) > 0").select(F.col("verdict_id").alias("rec_id"), F.col("judge_model").alias("source"), "element_id", F.rtrim("corrected").alias("text"), F.length("corrected").alias("n_chars"))
+    """The same of a verdict's correction, under its element's label and beside the ends of its element's readings."""
+    v = verdicts.filter("verdict_id is not null and length(trim(corrected)) > 0").select("verdict_id", F.coalesce("judge_model", F.lit("")).alias("judge_model"), "element_id", "corrected")
     tails = F.transform(F.map_values("content"), lambda x: F.right(F.rtrim(x), F.lit(12)))
-    e = elements.filter("element_id is not null").select("element_id", F.struct("loaded_at", label_id(F.col("label")).alias("label_id"), tails.alias("tails")).alias("r"))
-    e = e.join(v.select("element_id").distinct(), "element_id", "left_semi").groupBy("element_id").agg(F.max("r").alias("r")).select("element_id", "r.label_id", "r.tails")
-    alike = F.expr("exists(tails, t -> coalesce(right(t, greatest(6, least(12, cast(floor(length(text) / 4) as int)))) = right(text, greatest(6, least(12, cast(floor(length(text) / 4) as int)))), false))")
-    return v.join(e, "element_id", "left").select(F.lit("judge_verdict").alias("tbl"), "rec_id", "source", F.coalesce("label_id", F.lit(6)).alias("label_id"), "text", "n_chars", F.when(alike, -1).otherwise(0).alias("check"))
+    e = elements.filter("element_id is not null").select("element_id", "loaded_at", label_id(F.col("label")).alias("label_id"), "content").join(v.select("element_id").distinct(), "element_id", "left_semi")
+    e = e.select("element_id", F.struct("loaded_at", "label_id", tails.alias("tails")).alias("r")).groupBy("element_id").agg(F.max("r").alias("r")).select("element_id", "r.label_id", "r.tails")
+    return v.join(e, "element_id", "left").select(F.lit("judge_verdict").alias("tbl"), F.col("verdict_id").alias("rec_id"), F.coalesce("label_id", F.lit(6)).alias("label_id"), F.create_map("judge_model", "corrected").alias("content"), F.filter("tails", lambda t: t.isNotNull()).alias("tails"))
 
 
 def field_limits(values: DataFrame) -> DataFrame:
@@ -328,10 +386,10 @@ def valley(histogram: np.ndarray, width: float) -> float:
 
 def detect(elements: DataFrame, verdicts: DataFrame) -> DataFrame:
     """Every value: tbl, rec_id, source, label_id, lang, logodds, check, score, threshold, cut."""
-    values = page_values(elements).unionByName(judge_values(verdicts, elements)).withColumn("lang", language(F.col("text")))
-    values = materialize(values, "truncation-values")
-    limits = field_limits(values).select("tbl", "source", "n_chars", F.lit(True).alias("at_limit"))
-    scored = score(values, train(values)).join(F.broadcast(limits), ["tbl", "source", "n_chars"], "left")
+    values = page_values(elements).unionByName(judge_values(verdicts, elements))
+    contexts = materialize(final_contexts(values), "truncation-contexts")
+    limits = field_limits(contexts).select("tbl", "source", "n_chars", F.lit(True).alias("at_limit"))
+    scored = score(contexts, train(values, contexts)).join(F.broadcast(limits), ["tbl", "source", "n_chars"], "left")
     doubt = ((F.col("check") == 1) | F.coalesce("at_limit", F.lit(False))) & (F.col("logodds") < UNLIKELY)
     scored = scored.withColumn("score", F.col("logodds") - GOES_ON * doubt.cast("int") + ENDS_TOO * (F.col("check") == -1).cast("int"))
     scored = materialize(scored, "truncation-scores")

@@ -27,7 +27,8 @@ def p4_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
 def p4_limits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lengths at which a model's values pile up: its field limits."""
     elements = table(spark, sf_dir, "page_element")
-    return truncation.field_limits(truncation.page_values(elements).unionByName(truncation.judge_values(table(spark, sf_dir, "judge_verdict"), elements)))
+    values = truncation.page_values(elements).unionByName(truncation.judge_values(table(spark, sf_dir, "judge_verdict"), elements))
+    return truncation.field_limits(truncation.final_contexts(values))
 
 
 QUERIES = {"p4_found": p4_found, "p4_rates": p4_rates, "p4_limits": p4_limits}
