@@ -23,15 +23,21 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from collections import Counter
 from collections.abc import Iterator
 from functools import cache
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from folioforge.session import materialize
 
+from .charfold import flatten, folded
+from .tokens import slice_keys
+from .truncation import powers
+
 # Letters of other alphabets and the Latin letters that they look like.
 CYRILLIC_LOOK = "авсеһіјкмнорԛѕтухԁԝү" "АВСЕҺІЈКМНОРԚЅТУХԜҮ"
 CYRILLIC_LATIN = "abcehijkmhopqstyxdwy" "ABCEHIJKMHOPQSTYXWY"
@@ -68,13 +74,6 @@ def collated(c: Column) -> Column:
     return F.collate(c, "UNICODE")
 
 
-def suspicious(c: Column) -> Column:
-    """Can the value be in other than ordinary form? True for every value that is not; decided without Python."""
-    signs = c.rlike("[\\u0300-\\u036f" + ODD_BLANKS + INVISIBLE + "\\uff01-\\uff5e\\ufb00-\\ufb06\\u0261\\u0530-\\u058f\\u212a\\u212b]")
-    # Letters of two alphabets, or letters that only look-alikes of Latin ones are, outside tags and commands.
-    return signs | (c.rlike(f"[{FOREIGN}]") & (c.rlike("[\\p{IsLatin}]") | c.rlike("[" + "".join(sorted(NOT_RUSSIAN)) + "]")))
-
-
 @cache
 def script(ch: str) -> str:
     """L, C, G, A for Latin, Cyrillic, Greek, Armenian letters; J for CJK; else ''."""
@@ -185,57 +184,200 @@ def ordinary(text: str) -> tuple[str, list[str], str]:
     return _WORD.sub(swap, t), open_words, around
 
 
-def rule_forms(values: DataFrame) -> DataFrame:
-    """(tbl, rec_id, text, form, open_words, around) of the suspicious values."""
+# Bits of a code point: a sign that ordinary form may not hold, a Latin letter, a letter of another look-alike
+# alphabet, one of it that Russian lacks, a letter that has or is a look-alike, any letter or mark.
+SIGN, LATIN_LETTER, FOREIGN_LETTER, NOT_RUSSIAN_LETTER, LOOK_LETTER, LETTER = 1, 2, 4, 8, 16, 32
+#: Characters handed to the scan at once; slots of the filter for classes in question.
+CHUNK, FILTER_BITS = 1 << 18, 24
+
+
+@cache
+def code_bits() -> np.ndarray:
+    t = np.zeros(0x110000, np.uint8)
+    for i in range(0x3100):
+        c = chr(i)
+        if c.isalpha() or unicodedata.combining(c):
+            t[i] |= LETTER
+        if unicodedata.combining(c):
+            t[i] |= SIGN
+        kind = script(c)
+        if kind == "L":
+            t[i] |= LATIN_LETTER
+        elif kind in ("C", "G", "A"):
+            t[i] |= FOREIGN_LETTER
+    for c in ODD_BLANKS + INVISIBLE + WIDE + "".join(LIGATURES) + "ɡ\u212a\u212b\u2126":
+        t[ord(c)] |= SIGN
+    t[0x530:0x590] |= SIGN
+    for c in NOT_RUSSIAN:
+        t[ord(c)] |= NOT_RUSSIAN_LETTER
+    for c in {*TO_LATIN, *TO_LATIN.values(), *TO_RUSSIAN, *RUSSIAN}:
+        t[ord(c)] |= LOOK_LETTER
+    return t
+
+
+class Scan:
+    """Values laid end to end, each after one cell."""
+
+    def __init__(self, texts: list[str]):
+        self.texts = texts
+        sizes = np.fromiter(map(len, texts), np.int64, len(texts)) + 1
+        self.joined = "\x01" + "\x01".join(texts)
+        self.codes = np.frombuffer(self.joined.encode("utf-32-le", "surrogatepass"), np.uint32)
+        self.starts = np.cumsum(sizes) - sizes
+        self.sizes = sizes
+        self.bits = code_bits()[self.codes]
+
+    def suspicious(self) -> np.ndarray:
+        """Can the value be in other than ordinary form? True for every value that is not."""
+        seen = np.bitwise_or.reduceat(self.bits, self.starts)
+        return (seen & (SIGN | NOT_RUSSIAN_LETTER) > 0) | ((seen & LATIN_LETTER > 0) & (seen & FOREIGN_LETTER > 0))
+
+    def loose(self) -> np.ndarray:
+        """A hash that values of one class share (and some of other classes too)."""
+        c = folded(False)[self.codes].astype(np.uint64)
+        kept = np.flatnonzero((c != 0) & (c != 1) & (c != 0x20))
+        owner = np.repeat(np.arange(len(self.texts)), self.sizes)[kept]
+        first = np.searchsorted(kept, self.starts)
+        place = np.arange(len(kept)) - first[owner]
+        with np.errstate(over="ignore"):
+            mixed = (c[kept] + np.uint64(0x51ED270B)) * powers(1 << max(10, int(place.max() if len(place) else 0).bit_length() + 1))[0][place]
+            total = np.zeros(len(self.texts), np.uint64)
+            at = np.flatnonzero(np.diff(owner, prepend=-1))
+            if len(at):
+                total[owner[at]] = np.add.reduceat(mixed, at)
+            total = (total ^ (total >> np.uint64(31))) * np.uint64(0x94D049BB133111EB)
+        return (total >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
+
+    def look_words(self) -> Iterator[tuple[str, str, int]]:
+        """(alphabet of the value, word, times) of the words made of look-alikes alone."""
+        letter = self.bits & LETTER > 0
+        edge = np.diff(letter.astype(np.int8), prepend=0, append=0)
+        begin, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+        if not len(begin):
+            return
+        bad = np.concatenate(([0], np.cumsum(letter & (self.bits & LOOK_LETTER == 0))))
+        good = bad[end] == bad[begin]
+        begin, end = begin[good], end[good]
+        if not len(begin):
+            return
+        run = np.cumsum((self.codes == 60).astype(np.int32) - (self.codes == 62))
+        outside = run - np.repeat(run[self.starts], self.sizes) <= 0
+        cyr = np.add.reduceat((outside & (self.bits & FOREIGN_LETTER > 0)).astype(np.int32), self.starts)
+        lat = np.add.reduceat((outside & (self.bits & LATIN_LETTER > 0)).astype(np.int32), self.starts)
+        russian = (cyr > lat)[np.searchsorted(self.starts, begin, side="right") - 1]
+        _, first, count = np.unique(slice_keys(self.codes, begin, end) ^ russian.astype(np.uint64), return_index=True, return_counts=True)
+        for i, n in zip(first.tolist(), count.tolist()):
+            yield ("C" if russian[i] else "L", self.joined[begin[i] : end[i]], n)
+
+
+def _chunks(texts: list[str]) -> Iterator[tuple[int, int]]:
+    start = held = 0
+    for i, t in enumerate(texts):
+        if i > start and held + len(t) > CHUNK:
+            yield start, i
+            start, held = i, 0
+        held += len(t) + 1
+    if texts:
+        yield start, len(texts)
+
+
+def _values(b: pa.RecordBatch) -> tuple[np.ndarray, list[str]]:
+    rows, _, _, texts = flatten(b)
+    keep = [i for i, t in enumerate(texts) if t]
+    return rows[keep], [texts[i] for i in keep]
+
+
+def rule_forms(records: DataFrame) -> DataFrame:
+    """One pass over all values: rows of the suspicious ones, and counts of look-alike words.
+
+    Value rows are (tbl, rec_id, text, form, open_words, around, loose), word
+    rows (around, word, n) with a NULL tbl; a worker adds its counts up first.
+    """
+    schema = "tbl string, rec_id long, text string, form string, open_words array<string>, around string, loose long, word string, n long"
+    names = [f.split()[0] for f in schema.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words: Counter = Counter()
         for b in batches:
-            got = [ordinary(t) for t in b.column(2).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array([g[0] for g in got]), pa.array([g[1] for g in got], pa.list_(pa.string())), pa.array([g[2] for g in got])], names=["tbl", "rec_id", "text", "form", "open_words", "around"])
+            rows, texts = _values(b)
+            for s, e in _chunks(texts):
+                scan = Scan(texts[s:e])
+                for around, word, n in scan.look_words():
+                    words[around, word] += n
+                hit = np.flatnonzero(scan.suspicious())
+                if not len(hit):
+                    continue
+                got = [ordinary(texts[s + i]) for i in hit.tolist()]
+                row = pa.array(rows[s:e][hit])
+                none = pa.nulls(len(hit))
+                yield pa.RecordBatch.from_arrays(
+                    [b.column("tbl").take(row), b.column("rec_id").take(row), pa.array([texts[s + i] for i in hit.tolist()]), pa.array([g[0] for g in got]), pa.array([g[1] for g in got], pa.list_(pa.string())), pa.array([g[2] for g in got]), pa.array(scan.loose()[hit]), none.cast(pa.string()), none.cast(pa.int64())],
+                    names=names,
+                )
+            if len(words) > 1 << 18:
+                yield _word_rows(words, names)
+                words.clear()
+        if words:
+            yield _word_rows(words, names)
+
+    return records.mapInArrow(run, schema)
+
+
+def _word_rows(words: Counter, names: list[str]) -> pa.RecordBatch:
+    none = pa.nulls(len(words))
+    kinds = [pa.string(), pa.int64(), pa.string(), pa.string(), pa.list_(pa.string())]
+    return pa.RecordBatch.from_arrays([*[none.cast(k) for k in kinds], pa.array([a for a, _ in words]), none.cast(pa.int64()), pa.array([w for _, w in words]), pa.array(list(words.values()), pa.int64())], names=names)
+
+
+def class_members(records: DataFrame, wanted: np.ndarray) -> DataFrame:
+    """Values whose loose hash is among *wanted* and which no rule needs to look at; a second pass."""
+    sent = records.sparkSession.sparkContext.broadcast(np.packbits(wanted))
 
-    return values.filter(suspicious(F.col("text"))).select("tbl", "rec_id", "text").mapInArrow(run, "tbl string, rec_id long, text string, form string, open_words array<string>, around string")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = np.unpackbits(sent.value).astype(bool)
+        for b in batches:
+            _, texts = _values(b)
+            for s, e in _chunks(texts):
+                scan = Scan(texts[s:e])
+                hit = np.flatnonzero(bits[scan.loose()] & ~scan.suspicious())
+                if len(hit):
+                    yield pa.RecordBatch.from_arrays([pa.array(sorted({texts[s + i] for i in hit.tolist()}))], names=["text"])
 
+    return records.select("content").mapInArrow(run, "text string")
 
-def word_classes(values: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(skel, around, real): of each class of words in *wanted*, the spelling met most often.
 
-    Words of all values count, each in the alphabet of its value. Only words
-    made of look-alikes alone can belong to such a class, so all others are
-    dropped before the count, and counts are added up before the shuffle.
-    """
-    letters = "".join(sorted(set(TO_LATIN) | set(TO_LATIN.values()) | set(TO_RUSSIAN) | set(RUSSIAN)))
-    plain = F.regexp_replace("text", "<[^<>]*>|\\\\[a-zA-Z]+", " ")
-    cyr, lat = F.length(F.regexp_replace(plain, "[^\\u0400-\\u052f]", "")), F.length(F.regexp_replace(plain, "[^\\p{IsLatin}]", ""))
-    words = values.select(F.when(cyr > lat, "C").otherwise("L").alias("around"), F.explode(F.split(F.regexp_replace(plain, "[^\\p{L}\\p{M}]+", " "), " ")).alias("word"))
-    counts = words.filter(F.col("word").rlike(f"^[{letters}]+$")).groupBy("around", "word").agg(F.count("*").alias("n"))
-    keyed = counts.withColumn("skel", collated(skeleton(F.col("word"))))
-    keyed = keyed.join(wanted, ["skel", "around"], "left_semi")
-    return keyed.groupBy("skel", "around").agg(F.max_by("word", F.struct("n", "word")).alias("real"))
+def word_classes(words: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(skel, around, real): of each class of words in *wanted*, the spelling met most often in values of that alphabet."""
+    counts = words.groupBy("around", "word").agg(F.sum("n").alias("n")).withColumn("skel", collated(skeleton(F.col("word"))))
+    return counts.join(wanted, ["skel", "around"], "left_semi").groupBy("skel", "around").agg(F.max_by("word", F.struct("n", "word")).alias("real"))
 
 
-def canonical(values: DataFrame) -> DataFrame:
+def canonical(records: DataFrame) -> DataFrame:
     """(tbl, rec_id, text, canonical) of the values that are not in ordinary form."""
-    ruled = materialize(rule_forms(values), "lookalike-ruled")
+    passed = materialize(rule_forms(records), "lookalike-ruled")
+    ruled = passed.filter("tbl is not null").drop("word", "n")
     # Words that the rules leave open, decided by their class.
     open_words = ruled.filter(F.size("open_words") > 0).select("tbl", "rec_id", "text", "around", F.explode(F.array_distinct("open_words")).alias("word")).withColumn("skel", collated(skeleton(F.col("word"))))
     if not open_words.isEmpty():
-        real = word_classes(values, open_words.select("skel", "around").distinct())
+        real = word_classes(passed.filter("tbl is null").select("around", "word", "n"), open_words.select("skel", "around").distinct())
         other = open_words.join(real, ["skel", "around"]).filter(F.col("real") != F.col("word"))
         changes = other.groupBy("tbl", "rec_id", "text").agg(F.map_from_entries(F.collect_set(F.struct("word", "real"))).alias("changes"))
         ruled = ruled.join(changes, ["tbl", "rec_id", "text"], "left")
         # Each change replaces the whole word wherever it stands in the value.
         apply = F.expr("aggregate(map_entries(changes), form, (f, e) -> regexp_replace(f, concat('(?<!\\\\p{L})', e.key, '(?!\\\\p{L})'), e.value))")
         ruled = ruled.withColumn("form", F.when(F.col("changes").isNotNull(), apply).otherwise(F.col("form"))).drop("changes")
-    odd = ruled.filter(F.col("form") != F.col("text")).select("tbl", "rec_id", "text", "form", collated(skeleton(F.col("text"))).alias("skel"))
+    odd = ruled.filter(F.col("form") != F.col("text")).select("tbl", "rec_id", "text", "form", "loose", collated(skeleton(F.col("text"))).alias("skel"))
     # Classes of the values in question: ordinary members are looked up under the collation.
+    wanted = np.zeros(1 << FILTER_BITS, bool)
+    wanted[odd.select("loose").distinct().toArrow().column(0).to_numpy()] = True
     keys = odd.select("skel").distinct()
-    regular = values.filter(~suspicious(F.col("text"))).select("text").unionByName(ruled.filter(F.col("form") == F.col("text")).select("text"))
+    regular = class_members(records, wanted).unionByName(ruled.filter(F.col("form") == F.col("text")).select("text"))
     members = regular.withColumn("skel", collated(skeleton(F.col("text")))).join(keys, "skel", "left_semi").groupBy("skel").agg(F.min("text").alias("member"))
     return odd.join(members, "skel", "left").select("tbl", "rec_id", "text", F.when(F.col("member").rlike(f"[{FOREIGN}]") == F.col("form").rlike(f"[{FOREIGN}]"), F.col("member")).otherwise(F.col("form")).alias("canonical"))
 
 
 def record_values(elements: DataFrame, records: DataFrame) -> DataFrame:
-    """(tbl, rec_id, text) of every value of page_element.content and sft_record.content."""
-    e = elements.filter("element_id is not null").select(F.lit("page_element").alias("tbl"), F.col("element_id").alias("rec_id"), F.explode(F.map_values("content")).alias("text"))
-    r = records.filter("record_id is not null").select(F.lit("sft_record").alias("tbl"), F.col("record_id").alias("rec_id"), F.col("content").alias("text"))
-    return e.unionByName(r).filter(F.length("text") > 0)
+    """(tbl, rec_id, content) of page_element and sft_record, both with their values in a map."""
+    e = elements.filter("element_id is not null and content is not null").select(F.lit("page_element").alias("tbl"), F.col("element_id").alias("rec_id"), "content")
+    r = records.filter("record_id is not null and content is not null").select(F.lit("sft_record").alias("tbl"), F.col("record_id").alias("rec_id"), F.create_map(F.lit("content"), "content").alias("content"))
+    return e.unionByName(r)

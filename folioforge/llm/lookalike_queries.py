@@ -21,9 +21,10 @@ def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p3_canonical(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every value of the records with its one form."""
-    values = lookalike.record_values(table(spark, sf_dir, "page_element"), table(spark, sf_dir, "sft_record"))
-    odd = lookalike.canonical(values).groupBy("tbl", "rec_id", "text").agg(F.min("canonical").alias("canonical"))
-    return values.join(odd, ["tbl", "rec_id", "text"], "left").select("tbl", "rec_id", "text", F.coalesce("canonical", "text").alias("canonical"))
+    records = lookalike.record_values(table(spark, sf_dir, "page_element"), table(spark, sf_dir, "sft_record"))
+    odd = lookalike.canonical(records).groupBy("tbl", "rec_id", "text").agg(F.min("canonical").alias("canonical"))
+    values = records.select("tbl", "rec_id", F.explode("content").alias("source", "text"))
+    return values.join(odd, ["tbl", "rec_id", "text"], "left").select("tbl", "rec_id", "source", "text", F.coalesce("canonical", "text").alias("canonical"))
 
 
 QUERIES = {"p3_found": p3_found, "p3_canonical": p3_canonical}
