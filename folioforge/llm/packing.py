@@ -261,6 +261,8 @@ def pack(docs: DataFrame, profiles: DataFrame, directory: str = TOKENIZER_DIR, b
     spark = docs.sparkSession
     plans = profiles.filter("profile_id is not null and tokenizer is not null and capacity > 0").groupBy("profile_id").agg(F.max(F.struct("tokenizer", "capacity")).alias("p")).select("profile_id", "p.*").collect()
     names = sorted({p["tokenizer"] for p in plans})
+    if not plans:
+        return docs.filter("false").select(F.lit(0).alias("profile_id"), F.lit("").alias("container"), "doc_id", F.lit(0).alias("part"), F.lit(0).cast("long").alias("start"), F.lit(0).cast("long").alias("tokens"))
     sizes = materialize(token_sizes(docs, names, directory).withColumn("uid", F.monotonically_increasing_id()), "packing-sizes")
     of = F.array(*[F.struct(F.lit(p["profile_id"]).alias("profile_id"), F.lit(p["capacity"]).cast("long").alias("capacity"), F.col(p["tokenizer"]).alias("size")) for p in plans])
     items = sizes.select("doc_id", "uid", F.explode(of).alias("s")).select("doc_id", "uid", "s.*")

@@ -32,7 +32,7 @@ from folioforge.session import materialize
 from . import clusters
 
 #: Cells a record spreads its mass over, the cosine from which a cell counts, and their mass against the group's 1.
-NEAREST, LEAST_COSINE, CELL_MASS = 3, 0.3, 0.2
+NEAREST, LEAST_COSINE, CELL_MASS = 3, 0.3, 0.03
 #: A round's threshold as a share of the best gain left, and rounds at most before the places left are filled by gain.
 FALL, MAX_ROUNDS = 0.7, 40
 #: Tasks that thin the proposals before the driver does.
@@ -138,10 +138,10 @@ def select(pages: DataFrame, requests: DataFrame, cells: int = clusters.CELLS) -
         sent = spark.sparkContext.broadcast(todo)
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            table = pa.Table.from_batches(list(batches))
-            if not len(table):
+            held_batches = [b for b in batches if len(b)]
+            if not held_batches:
                 return
-            table = table.combine_chunks()
+            table = pa.Table.from_batches(held_batches).combine_chunks()
             subtask = table.column("subtask").to_pylist() if "subtask" in table.column_names else None
             ids = table.column("page_id").to_numpy()
             i, m = _dense(table.column("idx").chunk(0), table.column("mass").chunk(0))

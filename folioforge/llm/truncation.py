@@ -15,7 +15,7 @@ Thresholds come from the scores' histogram of each language and column: the
 emptiest stretch between the two humps. Afterwards an exact check compares the
 value's last characters with the other models' readings of the same element.
 
-Defined results: NULL and blank values are no values; a record delivered twice
+Defined results: NULL, blank and invisible values are no values; a record delivered twice
 counts once per source; labels that are NULL are a column of their own.
 """
 
@@ -213,7 +213,8 @@ def readable(b: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, pa.Array, list[
     """(row, place, all sources, values without trailing blanks) of the values in a batch's content maps."""
     rows, places, sources, texts = flatten(b)
     texts = [t.rstrip() if t else "" for t in texts]
-    keep = np.flatnonzero(np.fromiter(map(bool, texts), bool, len(texts)))
+    leaves = folded(True)
+    keep = np.flatnonzero(np.fromiter((any(leaves[ord(c)] for c in t) for t in texts), bool, len(texts)))
     return rows[keep], places[keep], sources, [texts[i] for i in keep.tolist()]
 
 
