@@ -27,11 +27,14 @@ def absolute_box(box: Column, width: Column, height: Column, space: str) -> Colu
 
 
 def area(b: Column) -> Column:
-    return F.greatest(b[2] - b[0], F.lit(0.0)) * F.greatest(b[3] - b[1], F.lit(0.0))
+    """Area of a box; NULL where it is unknown."""
+    return F.when(b.isNotNull(), F.greatest(b[2] - b[0], F.lit(0.0)) * F.greatest(b[3] - b[1], F.lit(0.0)))
 
 
 def intersection(a: Column, b: Column) -> Column:
-    return F.greatest(F.least(a[2], b[2]) - F.greatest(a[0], b[0]), F.lit(0.0)) * F.greatest(F.least(a[3], b[3]) - F.greatest(a[1], b[1]), F.lit(0.0))
+    """Area that two boxes share; NULL where one is unknown."""
+    shared = F.greatest(F.least(a[2], b[2]) - F.greatest(a[0], b[0]), F.lit(0.0)) * F.greatest(F.least(a[3], b[3]) - F.greatest(a[1], b[1]), F.lit(0.0))
+    return F.when(a.isNotNull() & b.isNotNull(), shared)
 
 
 def iou(a: Column, b: Column) -> Column:

@@ -25,7 +25,11 @@ def squared_distance(a: Column, b: Column) -> Column:
 
 def combine(parts: list[tuple[Column, float]]) -> Column:
     """Unit vectors of the parts, each times its weight, one after another; parts of weight 0 are left out."""
-    used = [F.transform(unit(c), lambda x, w=w: x * w) for c, w in parts if w]
+
+    def scaled(c: Column, w: float) -> Column:
+        return F.transform(unit(c), lambda x: x * w)
+
+    used = [scaled(c, w) for c, w in parts if w]
     if not used:
         raise ValueError("no part has a weight")
     return F.concat(*used)

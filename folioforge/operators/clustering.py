@@ -152,7 +152,7 @@ def dedup_in_buckets(df: DataFrame, id_col: str, cid: str, vec_col: str, cosine:
     holds each vector once and a group of exact copies of any size is one row.
     Buckets of different vectors are split by the code's bits.
     """
-    rows = df.filter(F.col(vec_col).isNotNull()).select(F.col(id_col).alias("id"), F.coalesce(F.col(cid), F.lit(-1)).alias("c"), F.col(vec_col).cast("array<double>").alias("v")).withColumn("h", F.xxhash64("v"))
+    rows = df.filter(F.col(vec_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(cid), F.lit(-1)).cast("int").alias("c"), F.col(vec_col).cast("array<double>").alias("v")).withColumn("h", F.xxhash64("v"))
     heads = rows.groupBy("c", "h", "v").agg(F.min("id").alias("id"))
 
     def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
