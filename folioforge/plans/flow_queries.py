@@ -10,7 +10,7 @@ from folioforge.operators import calls, consistency, quality, refine, sampling
 from folioforge.sources.tables import table
 from folioforge.streaming import health
 
-from .inputs import SQL_ELEMENTS, SQL_TIER, elements, tier_name
+from .inputs import SQL_ELEMENTS, SQL_TIER, elements, sql_similarity, sql_squash, tier_name
 from .tier_queries import _sims
 
 JUDGEABLE = ["text", "formula", "table"]
@@ -123,7 +123,32 @@ QUERIES = {f.__name__: f for f in (judge_selection, expert_priority, stage_split
 _WEAK = f"""{SQL_ELEMENTS}, weak AS (
   SELECT etype AS subtask, round(1 - avg(list_avg(list_filter([sims['M-P'], sims['M-Q']], lambda x: x IS NOT NULL))), 6) AS weakness FROM elements GROUP BY etype)"""
 
+
+
+def _refine_sql(rounds: int = 3) -> str:
+    """The loop unrolled: one step of tables per round."""
+    per = ", ".join(f"any_value(has_error) FILTER (round_no = {r}) AS h{r}, any_value(confidence) FILTER (round_no = {r}) AS c{r}, any_value(corrected) FILTER (round_no = {r}) AS f{r}" for r in range(1, rounds + 1))
+    steps = [f"""{SQL_ELEMENTS}, vv AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY element_id, round_no ORDER BY received_at DESC, verdict_id DESC) AS rv FROM judge_verdict WHERE element_id IS NOT NULL AND round_no IS NOT NULL) WHERE rv = 1
+), pv AS (SELECT element_id, {per} FROM vv GROUP BY element_id), t0 AS (
+  SELECT e.element_id, etype AS subtask, coalesce(content['qwen3-vl-8b'], content['mistral-ocr-4']) AS txt, pv.* EXCLUDE (element_id), 0 AS n, CAST(NULL AS DOUBLE) AS conf,
+         CASE WHEN coalesce(content['qwen3-vl-8b'], content['mistral-ocr-4'], '') = '' THEN 'no_draft' WHEN etype NOT IN ('text', 'formula', 'table') OR etype IS NULL THEN 'no_judge_path' END AS outcome,
+         [coalesce(content['qwen3-vl-8b'], content['mistral-ocr-4'])] AS seen FROM elements e JOIN pv USING (element_id)
+)"""]
+    for r in range(1, rounds + 1):
+        steps.append(f"""a{r} AS (SELECT *, outcome IS NULL AS live, CASE WHEN length(trim(f{r}, ' ')) > 0 THEN f{r} END AS fx, {sql_squash("txt")} AS sa, {sql_squash(f"f{r}")} AS sb FROM t{r - 1}), t{r} AS (
+  SELECT * EXCLUDE (live, fx, sa, sb) REPLACE (
+    CASE WHEN NOT live THEN outcome WHEN h{r} IS NULL THEN 'no_verdict' WHEN NOT h{r} THEN 'refined' WHEN fx IS NULL THEN 'no_fix'
+         WHEN {sql_similarity("sa", "sb")} >= 0.995::DOUBLE THEN 'stuck' WHEN list_contains(seen, fx) THEN 'oscillating' END AS outcome,
+    CASE WHEN live AND h{r} AND fx IS NOT NULL THEN fx ELSE txt END AS txt, CASE WHEN live AND h{r} AND fx IS NOT NULL THEN list_append(seen, fx) ELSE seen END AS seen,
+    CASE WHEN live AND h{r} IS NOT NULL THEN {r} ELSE n END AS n, CASE WHEN live AND h{r} IS NOT NULL THEN coalesce(c{r}, 0) ELSE conf END AS conf) FROM a{r})""")
+    return ", ".join(steps) + f", done AS (SELECT element_id, subtask, coalesce(outcome, 'max_rounds') AS outcome, txt, n, conf FROM t{rounds})"
+
+
 ORACLES = {
+    "judge_refine_loop": f"WITH {_refine_sql()} SELECT element_id, subtask, outcome, md5(txt) AS content_md5, n AS rounds, conf AS confidence FROM done",
+    "judge_summary": f"""WITH {_refine_sql()}
+SELECT subtask, count(*) AS n, round(avg((outcome = 'refined')::INT::DOUBLE), 6) AS resolve_rate, round(avg(CASE WHEN n > 0 THEN n END), 6) AS mean_rounds FROM done GROUP BY subtask""",
     "judge_selection": f"""WITH {_WEAK}, hard AS (SELECT element_id, etype AS subtask FROM elements WHERE tier = 'hard'), s AS (
   SELECT h.subtask, count(*) AS n, greatest(coalesce(any_value(weakness), 0), 1e-6::DOUBLE) AS score FROM hard h LEFT JOIN weak USING (subtask) GROUP BY h.subtask
 ), b AS (SELECT *, least(n, greatest(least(20, 200 // count(*) OVER ()), CAST(floor(200 * score / sum(score) OVER ()) AS BIGINT))) AS base, sum(n) OVER () AS total FROM s

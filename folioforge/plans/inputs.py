@@ -100,3 +100,19 @@ def nearest(spark: SparkSession, d: str) -> DataFrame:
     e = table(spark, d, "embeddings")
     cs = [(r["label"], r["centroid"]) for r in centroids(spark, d).collect()]  # one row per label
     return nearest_centroid(e, cs, "vec_id", "embedding").join(e.select("vec_id", "label"), "vec_id")
+
+
+_SPACES = "[\\s\\x{85}\\x{A0}\\x{1680}\\x{2000}-\\x{200A}\\x{2028}\\x{2029}\\x{202F}\\x{205F}\\x{3000}]+"
+
+
+def sql_squash(c: str) -> str:
+    """SQL of :func:`folioforge.functions.text.squash`."""
+    return f"trim(regexp_replace(coalesce({c}, ''), '{_SPACES}', ' ', 'g'))"
+
+
+def sql_similarity(a: str, b: str) -> str:
+    """SQL of the edit similarity. DuckDB's edit distance counts bytes, so each character of the pair becomes one ASCII character."""
+    signs = f"list_sort(list_distinct(list_transform(range(1, length({a} || {b}) + 1), lambda i: substr({a} || {b}, i, 1))))"
+    ascii_signs = f"list_transform(range(1, len({signs}) + 1), lambda i: chr(i::INT))"
+    coded = [f"translate({x}, array_to_string({signs}, ''), array_to_string({ascii_signs}, ''))" for x in (a, b)]
+    return f"CASE WHEN greatest(length({a}), length({b})) = 0 THEN 1.0::DOUBLE ELSE 1 - levenshtein({coded[0]}, {coded[1]})::DOUBLE / greatest(length({a}), length({b})) END"

@@ -9,7 +9,7 @@ from folioforge.functions import box, sequence, text
 from folioforge.operators import elements as el
 from folioforge.sources.tables import table
 
-from .inputs import CHEAP, EXPENSIVE, SQL_ELEMENTS, TARGET, elements
+from .inputs import CHEAP, SQL_ELEMENTS, TARGET, elements, sql_similarity, sql_squash
 
 
 def _readings(spark: SparkSession, d: str, etype: str) -> DataFrame:
@@ -135,20 +135,28 @@ def _iou(a: str, b: str) -> str:
     return _IOU.format(a=a, b=b, i=_INTER.format(a=a, b=b))
 
 
+def _tokens(c: str) -> str:
+    """SQL of a formula's tokens."""
+    same = f"replace(replace(replace({c}, '\\dfrac', '\\frac'), '\\tfrac', '\\frac'), '\\ast', '*')"
+    silent = "\\\\(?:left|right|,|;|!|quad|qquad|displaystyle|limits)\\b|\\s+|\\{|\\}"
+    return f"regexp_extract_all(regexp_replace({same}, '{silent}', ' ', 'g'), '\\\\[a-zA-Z]+|\\d|[^\\s]')"
+
+
 ORACLES = {
-    # DuckDB's edit distance counts bytes, so every distinct character of a pair becomes one ASCII character.
     "text_similarity": f"""WITH {SQL_ELEMENTS}, r AS (
-  SELECT element_id,
-         trim(regexp_replace(content['{TARGET}'], '[\\s\\x{{85}}\\x{{A0}}\\x{{1680}}\\x{{2000}}-\\x{{200A}}\\x{{2028}}\\x{{2029}}\\x{{202F}}\\x{{205F}}\\x{{3000}}]+', ' ', 'g')) AS m,
-         trim(regexp_replace(content['{CHEAP}'], '[\\s\\x{{85}}\\x{{A0}}\\x{{1680}}\\x{{2000}}-\\x{{200A}}\\x{{2028}}\\x{{2029}}\\x{{202F}}\\x{{205F}}\\x{{3000}}]+', ' ', 'g')) AS p
+  SELECT element_id, {sql_squash(f"content['{TARGET}']")} AS m, {sql_squash(f"content['{CHEAP}']")} AS p
   FROM elements WHERE etype = 'text' AND content['{TARGET}'] IS NOT NULL AND content['{CHEAP}'] IS NOT NULL
-), d AS (
-  SELECT *, list_sort(list_distinct(list_transform(range(1, length(m || p) + 1), lambda i: substr(m || p, i, 1)))) AS cs FROM r
-), t AS (
-  SELECT element_id, m, p, translate(m, array_to_string(cs, ''), array_to_string(list_transform(range(1, len(cs) + 1), lambda i: chr(i::INT)), '')) AS mt,
-         translate(p, array_to_string(cs, ''), array_to_string(list_transform(range(1, len(cs) + 1), lambda i: chr(i::INT)), '')) AS pt FROM d
-)
-SELECT element_id, round(CASE WHEN greatest(length(m), length(p)) = 0 THEN 1.0::DOUBLE ELSE 1 - levenshtein(mt, pt)::DOUBLE / greatest(length(m), length(p)) END, 6) AS sim FROM t""",
+) SELECT element_id, round({sql_similarity("m", "p")}, 6) AS sim FROM r""",
+    "formula_similarity": f"""WITH {SQL_ELEMENTS}, r AS (
+  SELECT element_id, {_tokens(f"content['{TARGET}']")} AS a, {_tokens(f"content['{CHEAP}']")} AS b
+  FROM elements WHERE etype = 'formula' AND content['{TARGET}'] IS NOT NULL AND content['{CHEAP}'] IS NOT NULL
+), d AS (SELECT *, list_distinct(list_concat(a, b)) AS ds FROM r), c AS (
+  SELECT element_id, greatest(len(a), len(b)) AS n, array_to_string(list_transform(a, lambda t: chr(list_position(ds, t)::INT)), '') AS x, array_to_string(list_transform(b, lambda t: chr(list_position(ds, t)::INT)), '') AS y FROM d)
+SELECT element_id, round(CASE WHEN n = 0 THEN 1.0::DOUBLE ELSE 1 - levenshtein(x, y)::DOUBLE / n END, 6) AS sim FROM c""",
+    "formula_extract": """WITH f AS (
+  SELECT doc_id, list_filter(list_transform(regexp_extract_all(coalesce(text, ''), '(?s)(\\$\\$.+?\\$\\$|\\\\\\[.+?\\\\\\])', 1), lambda h: trim(substr(h, 3, length(h) - 4), ' ')), lambda h: h <> '') AS fs FROM documents)
+SELECT doc_id, CAST(i - 1 AS INT) AS pos, trim(regexp_replace(trim(fs[i], ' '), '^(\\$\\$|\\$|\\\\\\[|\\\\\\()+\\s*|\\s*(\\$\\$|\\$|\\\\\\]|\\\\\\))+$', '', 'g'), ' ') AS formula
+FROM (SELECT doc_id, fs, unnest(range(1, len(fs) + 1)) AS i FROM f)""",
     "html_table_counts": """WITH t AS (
   SELECT source, regexp_extract_all(coalesce(text, ''), '(?is)(<table\\b.*?</table>)', 1) AS h FROM documents)
 SELECT source, CAST(sum(CASE WHEN len(h) > 0 THEN 1 ELSE 0 END) AS BIGINT) AS n_docs, CAST(sum(len(h)) AS BIGINT) AS n_tables,
