@@ -47,16 +47,43 @@ HASH_BUCKETS = 64
 
 
 def usable_vectors(df: DataFrame, id_col: str, vec_col: str, at_col: str | None = None) -> DataFrame:
-    """(id, v): one unit vector per id, the latest usable one."""
-    v = F.col(vec_col)
-    # One comparison finds NULL, NaN and infinite members alike; the sum of squares finds all-zero vectors.
-    norm2 = F.aggregate(v, F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))
-    rows = df.filter(F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), v.cast("array<double>").alias("v"), norm2.alias("n2"), (F.coalesce(F.unix_micros(at_col), F.lit(0)) if at_col else F.lit(0)).alias("at"))
-    rows = rows.filter("n2 > 1e-12 and n2 < 1e30").withColumn("d", F.size("v"))
-    width = rows.groupBy("d").count().orderBy(F.desc("count"), F.desc("d")).first()
-    rows = rows.filter(F.col("d") == (width["d"] if width else 0))
-    unit = F.transform("v", lambda x: (x / F.sqrt("n2")).cast("float"))
-    return rows.select("id", F.struct("at", unit.alias("v")).alias("r")).groupBy("id").agg(F.max("r").alias("r")).select("id", "r.v")
+    """(id, v): one unit vector per id, the latest usable one, as a written table; v is packed 32-bit floats.
+
+    Vectors are checked and scaled per Arrow batch, so that what is shuffled and
+    read again is one string of bytes a row. The most frequent length is told
+    from the written table.
+    """
+    at = F.coalesce(F.unix_micros(at_col), F.lit(0)) if at_col else F.lit(0).cast("long")
+    rows = df.filter(F.col(id_col).isNotNull() & (F.size(vec_col) > 0)).select(F.col(id_col).cast("long").alias("id"), at.alias("at"), F.col(vec_col).cast("array<float>").alias("v"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            column = b.column(2)
+            ends = column.offsets.to_numpy()
+            flat = column.values.slice(ends[0], ends[-1] - ends[0]).to_numpy(zero_copy_only=False).astype(np.float64)  # NULL members become NaN
+            sizes = np.diff(ends)
+            for width in np.unique(sizes).tolist():
+                at_rows = np.flatnonzero(sizes == width)
+                if not width or not len(at_rows):
+                    continue
+                x = flat[(ends[at_rows] - ends[0])[:, None] + np.arange(width)]
+                with np.errstate(invalid="ignore", over="ignore"):
+                    length = np.sqrt((x * x).sum(1))
+                    good = np.isfinite(length) & (length > 1e-6)
+                x = np.ascontiguousarray((x[good] / length[good, None]).astype(np.float32))
+                part = b.take(pa.array(at_rows[good]))
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(np.full(len(x), width, np.int32)), pack(x)], names=["id", "at", "d", "v"])
+
+    once = rows.mapInArrow(run, "id long, at long, d int, v binary").groupBy("id", "d").agg(F.max(F.struct("at", "v")).alias("r")).select("id", "d", F.col("r.v").alias("v"))
+    held = materialize(once, "cluster-vectors")
+    width = held.groupBy("d").count().orderBy(F.desc("count"), F.desc("d")).first()
+    return held.filter(F.col("d") == (width["d"] if width else 0)).select("id", "v")
+
+
+def pack(x: np.ndarray) -> pa.Array:
+    """Rows of a matrix of 32-bit floats as strings of bytes, without a copy of each row."""
+    ends = np.arange(len(x) + 1, dtype=np.int32) * (x.shape[1] * 4 if x.ndim == 2 else 0)
+    return pa.Array.from_buffers(pa.binary(), len(x), [None, pa.py_buffer(ends), pa.py_buffer(x.tobytes())])
 
 
 def hashed_features(tokens: np.ndarray, counts: np.ndarray, buckets: int = HASH_BUCKETS) -> np.ndarray:
@@ -68,9 +95,12 @@ def hashed_features(tokens: np.ndarray, counts: np.ndarray, buckets: int = HASH_
 
 
 def matrix(column: pa.Array) -> np.ndarray:
-    """An Arrow list column of equal lengths as a matrix, without a copy of each row."""
-    flat = column.flatten().to_numpy(zero_copy_only=False)
-    return flat.reshape(len(column), -1) if len(column) else np.zeros((0, 0), flat.dtype)
+    """A column of packed vectors of one length as a matrix, without a copy of each row."""
+    if not len(column):
+        return np.zeros((0, 0), np.float32)
+    _, ends, data = column.buffers()
+    bounds = np.frombuffer(ends, np.int32)[column.offset : column.offset + len(column) + 1]
+    return np.frombuffer(data, np.uint8)[bounds[0] : bounds[-1]].view(np.float32).reshape(len(column), -1)
 
 
 def nearest(x: np.ndarray, centres: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -97,7 +127,7 @@ def _seed_pass(vectors: DataFrame, centres: np.ndarray, draws: float, total: flo
 
     Without *total* only the cost is summed. Yields (id, v, cost).
     """
-    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("v", T.ArrayType(T.FloatType())), T.StructField("cost", T.DoubleType())])
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("v", T.BinaryType()), T.StructField("cost", T.DoubleType())])
     sent = vectors.sparkSession.sparkContext.broadcast(centres)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -111,7 +141,7 @@ def _seed_pass(vectors: DataFrame, centres: np.ndarray, draws: float, total: flo
                 if len(hit):
                     part = b.take(pa.array(hit))
                     yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(d[hit].astype(float))], names=schema.names)
-        yield pa.RecordBatch.from_arrays([pa.array([None], pa.int64()), pa.array([None], pa.list_(pa.float32())), pa.array([cost])], names=schema.names)
+        yield pa.RecordBatch.from_arrays([pa.array([None], pa.int64()), pa.array([None], pa.binary()), pa.array([cost])], names=schema.names)
 
     return vectors.mapInArrow(run, schema)
 
@@ -177,16 +207,16 @@ def fit(vectors: DataFrame, cells: int = CELLS, seed: int = 1) -> tuple[np.ndarr
     first = vectors.orderBy(F.xxhash64(F.lit(seed), "id"), "id").limit(1).collect()
     if not first:
         return np.zeros((0, 1)), np.zeros(0), np.zeros(0)
-    candidates = np.array([first[0]["v"]], np.float32)
+    candidates = np.frombuffer(first[0]["v"], np.float32)[None, :]
     total = _seed_pass(vectors, candidates, 0, None, seed).agg(F.sum("cost")).first()[0]
     for i in range(SEED_ROUNDS):
         if not total:
             break
         rows = _seed_pass(vectors, candidates, SEED_DRAWS, total, seed + i + 1).collect()
         total = sum(r["cost"] for r in rows if r["v"] is None)
-        drawn = sorted((r["id"], r["v"]) for r in rows if r["v"] is not None)
+        drawn = sorted((r["id"], bytes(r["v"])) for r in rows if r["v"] is not None)
         if drawn:
-            candidates = np.vstack([candidates, np.array([v for _, v in drawn], np.float32)])
+            candidates = np.vstack([candidates, *[np.frombuffer(v, np.float32) for _, v in drawn]])
     n, _, _ = _cell_sums(vectors, candidates)
     # No more cells than a fifteenth of the rows, so that spreads rest on enough rows.
     k = int(max(8, min(cells, n.sum() // 15)))
@@ -275,7 +305,7 @@ def assign(vectors: DataFrame, centres: np.ndarray, group: np.ndarray, reach: np
 
 def cluster(df: DataFrame, id_col: str = "page_id", vec_col: str = "features", at_col: str | None = "indexed_at", cells: int = CELLS, seed: int = 1) -> DataFrame:
     """(id, grp, cell, dist) of every record with a usable vector."""
-    vectors = materialize(usable_vectors(df, id_col, vec_col, at_col), "cluster-vectors")
+    vectors = usable_vectors(df, id_col, vec_col, at_col)
     centres, n, spread = fit(vectors, cells, seed)
     group, reach = join_cells(centres, n, spread)
     return assign(vectors, centres, group, reach)

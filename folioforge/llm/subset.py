@@ -43,7 +43,7 @@ SCHEMA = "request_id int, page_id long, gain double, idx array<int>, mass array<
 
 def masses(index: DataFrame) -> DataFrame:
     """(page_id, subtask, idx, mass): each record's nearest cells and its mass in them."""
-    vectors = materialize(clusters.usable_vectors(index, "page_id", "features", "indexed_at"), "subset-vectors")
+    vectors = clusters.usable_vectors(index, "page_id", "features", "indexed_at")
     centres, n, spread = clusters.fit(vectors)
     group, reach = clusters.join_cells(centres, n, spread)
     norm = np.linalg.norm(centres, axis=1, keepdims=True)

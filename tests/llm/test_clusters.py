@@ -51,7 +51,7 @@ def test_empty_and_latest(spark):
     assert clusters.cluster(spark.createDataFrame([], SCHEMA)).collect() == []
     rows = [(1, [1.0, 0.0], T0, None, None), (1, None, datetime(2025, 2, 1), None, None), (1, [0.0, 2.0], datetime(2025, 1, 9), None, None)]
     v = clusters.usable_vectors(spark.createDataFrame(rows, SCHEMA), "page_id", "features", "indexed_at").collect()
-    assert [(r.id, list(r.v)) for r in v] == [(1, [0.0, 1.0])]
+    assert [(r.id, np.frombuffer(r.v, np.float32).tolist()) for r in v] == [(1, [0.0, 1.0])]
 
 
 def test_nearest_against_brute_force():
