@@ -143,6 +143,25 @@ def _rounds(first: str, by: str, n: int, remainder: bool) -> str:
     return ", ".join(out)
 
 
+def _nested(first: str, by: str) -> str:
+    """SQL of the nested filling from a table *first* (by, cid, tier, w, g, cap, budget), to a table nn with got."""
+    c = f"{by}, cid"
+    out = [f"n0 AS (SELECT *, 0::BIGINT AS got, count(*) OVER (PARTITION BY {c}) AS k FROM {first})"]
+    for i in range(SAMPLER["outer_rounds"]):
+        out.append(f"o{i} AS (SELECT *, sum(got) OVER (PARTITION BY {by}) AS used, sum(got) OVER (PARTITION BY {c}) AS cg, sum(cap) OVER (PARTITION BY {c}) AS cc, row_number() OVER (PARTITION BY {c} ORDER BY tier) AS rn FROM n{i})")
+        out.append(f"p{i} AS (SELECT *, fsum(CASE WHEN rn = 1 AND w > 0 AND cg < cc THEN w ELSE 0 END) OVER (PARTITION BY {by}) AS tw FROM o{i})")
+        out.append(f"q{i}_0 AS (SELECT * EXCLUDE (used, cg, cc, rn, tw), CASE WHEN w > 0 AND cg < cc AND tw > 0 AND budget > used THEN least(CAST(floor((budget - used) * w / tw) AS BIGINT), cc - cg) ELSE 0 END AS share, 0::BIGINT AS ig, false AS fin FROM p{i})")
+        for j in range(5):
+            live = f"NOT fin AND {j} < k + 2 AND share > iu AND tg > 0 AND got + ig < cap"
+            out.append(f"a{i}_{j} AS (SELECT *, sum(ig) OVER (PARTITION BY {c}) AS iu, fsum(CASE WHEN got + ig < cap THEN g ELSE 0 END) OVER (PARTITION BY {c}) AS tg FROM q{i}_{j})")
+            out.append(f"b{i}_{j} AS (SELECT *, CASE WHEN {live} THEN least(CAST(floor((share - iu) * g / tg) AS BIGINT), cap - got - ig) ELSE 0 END AS ad FROM a{i}_{j})")
+            out.append(f"c{i}_{j} AS (SELECT *, sum(ad) OVER (PARTITION BY {c}) AS sa, row_number() OVER (PARTITION BY {c} ORDER BY (got + ig < cap) DESC, g DESC, tier) AS rr FROM b{i}_{j})")
+            out.append(f"q{i}_{j + 1} AS (SELECT * EXCLUDE (iu, tg, ad, sa, rr) REPLACE (ig + ad + CASE WHEN sa = 0 AND {live} AND rr <= share - iu THEN 1 ELSE 0 END AS ig, fin OR (sa = 0 AND share > iu) AS fin) FROM c{i}_{j})")
+        out.append(f"n{i + 1} AS (SELECT * EXCLUDE (share, ig, fin) REPLACE (got + ig AS got) FROM q{i}_5)")
+    out.append(f"nn AS (SELECT * FROM n{SAMPLER['outer_rounds']})")
+    return ", ".join(out)
+
+
 _TREE_W = f"""{SQL_CELLS}, {SQL_TREE}, lf AS (SELECT subtask, cid, sum(n) AS n FROM cells GROUP BY subtask, cid), st AS (
   SELECT lf.subtask, lf.cid, lf.n, array_to_string(string_split(path, '/')[1:d], '/') AS node, array_to_string(string_split(path, '/')[1:d - 1], '/') AS parent
   FROM (SELECT lf.*, path, unnest(range(1, len(string_split(path, '/')) + 1)) AS d FROM lf JOIN tree USING (cid)) lf
@@ -167,6 +186,19 @@ ORACLES = {
   SELECT c.subtask, c.cid, tier, n, budget, {_G} * coalesce(weight, 0) AS w, CASE WHEN {_G} * coalesce(weight, 0) > 0 THEN CAST(floor({_CAP}::DOUBLE * n) AS BIGINT) ELSE 0 END AS cap
   FROM cells c LEFT JOIN tw ON tw.subtask = c.subtask AND tw.cid = c.cid
 ), {_rounds("f0", "subtask", 14, True)} SELECT subtask, cid, tier, n, CAST({_RAISED} AS BIGINT) AS quota FROM rr""",
+    "allocate_nested": f"""WITH {_TREE_W}, f0 AS (
+  SELECT c.subtask, c.cid, tier, n, budget, coalesce(weight, 0) AS w, {_G} AS g, CAST(floor({_CAP}::DOUBLE * n) AS BIGINT) AS cap
+  FROM cells c LEFT JOIN tw ON tw.subtask = c.subtask AND tw.cid = c.cid WHERE {_G} > 0
+), {_nested("f0", "subtask")}
+SELECT c.subtask, c.cid, c.tier, c.n, CASE WHEN nn.cid IS NULL THEN 0 ELSE CAST(greatest(got, least({_FLOOR}, cap)) AS BIGINT) END AS quota FROM cells c LEFT JOIN nn ON nn.subtask = c.subtask AND nn.cid = c.cid AND nn.tier = c.tier""",
+    "stratified_sample": f"""WITH {SQL_NEAREST}, mm AS (SELECT cid, avg(dist) AS m FROM nearest GROUP BY cid), tt AS (
+  SELECT vec_id, n.cid, CASE WHEN dist < 0.9::DOUBLE * m THEN 'easy' WHEN dist < 1.05::DOUBLE * m THEN 'medium' ELSE 'hard' END AS tier FROM nearest n JOIN mm USING (cid)
+), cl AS (SELECT cid, tier, count(*) AS n FROM tt GROUP BY cid, tier), lv AS (SELECT cid, cid % 2 AS p, sum(n) AS n FROM cl GROUP BY cid), pm AS (
+  SELECT p, pow(sum(n), {_ALPHA}::DOUBLE) AS m FROM lv GROUP BY p
+), wt AS (SELECT cid, exp(ln(pow(n, {_ALPHA}::DOUBLE) / sum(pow(n, {_ALPHA}::DOUBLE)) OVER (PARTITION BY lv.p)) + ln(m / (SELECT sum(m) FROM pm))) AS weight FROM lv JOIN pm ON pm.p = lv.p
+), f0 AS (SELECT 1 AS b, cl.cid, tier, n, 200 AS budget, weight AS w, {_G} AS g, CAST(floor({_CAP}::DOUBLE * n) AS BIGINT) AS cap FROM cl JOIN wt USING (cid)
+), {_nested("f0", "b")}, r AS (SELECT cid, tier, vec_id, row_number() OVER (PARTITION BY cid, tier ORDER BY md5('7:' || vec_id), vec_id) AS rank FROM tt)
+SELECT r.cid, r.tier, vec_id, rank FROM r JOIN nn ON nn.cid = r.cid AND nn.tier = r.tier WHERE rank <= greatest(got, least({_FLOOR}, cap))""",
     "allocation_metrics": f"""WITH {_FLAT}, a AS (SELECT subtask, cid, tier, n, {_RAISED} AS quota FROM rr), p AS (
   SELECT subtask, cid, sum(n)::DOUBLE AS pool, sum(quota)::DOUBLE AS o FROM a GROUP BY subtask, cid
 ), h AS (SELECT *, pool / sum(pool) OVER (PARTITION BY subtask) AS pp, o / sum(o) OVER (PARTITION BY subtask) AS po FROM p
