@@ -345,8 +345,9 @@ def judge_values(verdicts: DataFrame, elements: DataFrame) -> DataFrame:
     """The same of a verdict's correction, under its element's label and beside the ends of its element's readings."""
     v = verdicts.filter("verdict_id is not null and length(trim(corrected)) > 0").select("verdict_id", F.coalesce("judge_model", F.lit("")).alias("judge_model"), "element_id", "corrected")
     tails = F.transform(F.map_values("content"), lambda x: F.right(F.rtrim(x), F.lit(12)))
-    e = elements.filter("element_id is not null").select("element_id", "loaded_at", label_id(F.col("label")).alias("label_id"), "content").join(v.select("element_id").distinct(), "element_id", "left_semi")
-    e = e.select("element_id", F.struct("loaded_at", "label_id", tails.alias("tails")).alias("r")).groupBy("element_id").agg(F.max("r").alias("r")).select("element_id", "r.label_id", "r.tails")
+    # Only the ends of the readings are shuffled, cut before the join.
+    e = elements.filter("element_id is not null").select("element_id", F.struct("loaded_at", label_id(F.col("label")).alias("label_id"), tails.alias("tails")).alias("r"))
+    e = e.join(v.select("element_id").distinct(), "element_id", "left_semi").groupBy("element_id").agg(F.max("r").alias("r")).select("element_id", "r.label_id", "r.tails")
     return v.join(e, "element_id", "left").select(F.lit("judge_verdict").alias("tbl"), F.col("verdict_id").alias("rec_id"), F.coalesce("label_id", F.lit(6)).alias("label_id"), F.create_map("judge_model", "corrected").alias("content"), F.filter("tails", lambda t: t.isNotNull()).alias("tails"))
 
 
