@@ -42,7 +42,7 @@ BACKOFF, BACKOFF_LEAST = 2.0, 0.02
 #: Copies of a value that are left out of its own evidence; more copies than that count as evidence.
 OWN_COPIES = 4
 #: Characters handed to the counter at once.
-CHUNK = 1 << 19
+CHUNK = 1 << 18
 #: What the score changes by when another model's reading goes on (of an end that is unlikely already,
 #: below UNLIKELY), when the value has just a field limit's length, or when another reading ends at the same place, which two cuts hardly ever do.
 GOES_ON, ENDS_TOO, UNLIKELY = 3.0, 20.0, -1.0
