@@ -50,7 +50,7 @@ def machine_code(content: Column, sims: Column, etype: Column) -> Column:
     """The tier that similarities imply; without any readable content, invalid."""
     tau = reduce(lambda acc, kv: acc.when(etype == kv[0], F.lit(kv[1])), TAU.items(), F.when(F.lit(False), F.lit(0.0))).otherwise(TAU_DEFAULT)
     mp, mq, pq = (F.try_element_at(sims, F.lit(k)) for k in ("M-P", "M-Q", "P-Q"))
-    readable = F.coalesce(F.exists(F.map_values(content), lambda v: F.coalesce(F.length(F.trim(v)) > 0, F.lit(False))), F.lit(False))
+    readable = F.coalesce(F.exists(F.map_values(content), lambda v: F.coalesce(v.rlike("(?U)\\S"), F.lit(False))), F.lit(False))
     agree = F.coalesce(mp >= tau, F.lit(False)) | F.coalesce(mq >= tau, F.lit(False))
     return F.when(~readable, F.lit(3)).when(agree, F.lit(0)).when(F.coalesce(pq >= tau, F.lit(False)), F.lit(1)).otherwise(F.lit(2))
 
