@@ -106,7 +106,7 @@ def verdict(c: Column) -> Column:
     """
     raw = F.regexp_extract(c, "(?s)\\{.*\\}", 0)
     parsed = F.from_json(raw, "has_error boolean, confidence double, corrected string, note string")
-    fixed = F.when(F.length(F.trim(parsed["corrected"])) > 0, parsed["corrected"])
+    fixed = F.when(parsed["corrected"].rlike("(?U)\\S"), parsed["corrected"])
     return F.when(parsed["has_error"].isNotNull(), F.struct(parsed["has_error"].alias("has_error"), F.coalesce(parsed["confidence"], F.lit(0.0)).alias("confidence"), fixed.alias("corrected"), F.coalesce(parsed["note"], F.lit("")).alias("note")))
 
 
@@ -130,4 +130,4 @@ def page_ref(c: Column) -> Column:
 
 def is_empty_result(text: Column, blocks: Column) -> Column:
     """A page result without text and blocks."""
-    return (F.length(F.trim(F.coalesce(text, F.lit("")))) == 0) & (F.coalesce(F.size(blocks), F.lit(0)) <= 0)
+    return ~F.coalesce(text, F.lit("")).rlike("(?U)\\S") & (F.coalesce(F.size(blocks), F.lit(0)) <= 0)

@@ -55,7 +55,7 @@ def cascade(pages: DataFrame, expensive, key: str, s_mp: str, tau: Column | floa
 
 def no_evidence(a: Column, b: Column) -> Column:
     """Two readings that tell nothing: one unknown, or both blank."""
-    blank = lambda c: F.length(F.trim(c)) == 0
+    blank = lambda c: ~c.rlike("(?U)\\S")
     return a.isNull() | b.isNull() | (blank(a) & blank(b))
 
 

@@ -29,7 +29,7 @@ def refine(items: DataFrame, verdicts: DataFrame, key: str, judgeable: list[str]
 
     def step(t: DataFrame, r: int) -> DataFrame:
         x = F.col(f"v{r}")
-        fixed = F.when(F.length(F.trim(x["corrected"])) > 0, x["corrected"])
+        fixed = F.when(x["corrected"].rlike("(?U)\\S"), x["corrected"])
         live = F.col("outcome").isNull()
         stuck = edit_similarity(squash(F.col("content")), squash(fixed)) >= converge
         out: Column = reduce(

@@ -136,7 +136,7 @@ def _refine_sql(rounds: int = 3) -> str:
          [coalesce(content['qwen3-vl-8b'], content['mistral-ocr-4'])] AS seen FROM elements e JOIN pv USING (element_id)
 )"""]
     for r in range(1, rounds + 1):
-        steps.append(f"""a{r} AS (SELECT *, outcome IS NULL AS live, CASE WHEN length(trim(f{r}, ' ')) > 0 THEN f{r} END AS fx, {sql_squash("txt")} AS sa, {sql_squash(f"f{r}")} AS sb FROM t{r - 1}), t{r} AS (
+        steps.append(f"""a{r} AS (SELECT *, outcome IS NULL AS live, CASE WHEN {sql_squash(f"f{r}")} <> '' THEN f{r} END AS fx, {sql_squash("txt")} AS sa, {sql_squash(f"f{r}")} AS sb FROM t{r - 1}), t{r} AS (
   SELECT * EXCLUDE (live, fx, sa, sb) REPLACE (
     CASE WHEN NOT live THEN outcome WHEN h{r} IS NULL THEN 'no_verdict' WHEN NOT h{r} THEN 'refined' WHEN fx IS NULL THEN 'no_fix'
          WHEN {sql_similarity("sa", "sb")} >= 0.995::DOUBLE THEN 'stuck' WHEN list_contains(seen, fx) THEN 'oscillating' END AS outcome,

@@ -175,8 +175,8 @@ FROM k GROUP BY ALL""",
 )
 SELECT element_id, CASE WHEN ok AND x2 - x1 >= 1 AND y2 - y1 >= 1 THEN round(x1, 4) END AS x1, CASE WHEN ok AND x2 - x1 >= 1 AND y2 - y1 >= 1 THEN round(y1, 4) END AS y1,
        CASE WHEN ok AND x2 - x1 >= 1 AND y2 - y1 >= 1 THEN round(x2, 4) END AS x2, CASE WHEN ok AND x2 - x1 >= 1 AND y2 - y1 >= 1 THEN round(y2, 4) END AS y2 FROM o""",
-    "verdict_parse": """WITH v AS (SELECT DISTINCT verdict_id, judged_at, has_error, confidence, corrected, note FROM judge_verdict)
-SELECT has_error, coalesce(length(trim(corrected, ' ')) > 0, false) AND has_error IS NOT NULL AS has_fix, count(*) AS n,
+    "verdict_parse": f"""WITH v AS (SELECT DISTINCT verdict_id, judged_at, has_error, confidence, corrected, note FROM judge_verdict)
+SELECT has_error, {sql_squash("corrected")} <> '' AND has_error IS NOT NULL AS has_fix, count(*) AS n,
        round(avg(CASE WHEN has_error IS NOT NULL THEN coalesce(confidence, 0) END), 6) AS mean_confidence
 FROM v GROUP BY ALL""",
     "page_refs": """WITH e AS (SELECT DISTINCT element_id, source, page_id FROM page_element WHERE source IS NOT NULL)

@@ -9,7 +9,7 @@ from folioforge.functions.constants import TAU
 from folioforge.operators import assembly, consistency
 from folioforge.sources.tables import table
 
-from .inputs import CHEAP, SQL_ELEMENTS, TARGET, elements
+from .inputs import CHEAP, SQL_ELEMENTS, TARGET, elements, sql_squash
 
 
 def _sims(spark: SparkSession, d: str) -> DataFrame:
@@ -77,10 +77,10 @@ assert TAU["table"] == TAU["formula"] == 0.95 and TAU["text"] == 0.92
 _SIMS = f"""{SQL_ELEMENTS}, s AS (
   SELECT element_id, etype, tier, content, content['{TARGET}'] AS m, content['{CHEAP}'] AS p, sims['M-P'] AS mp, sims['M-Q'] AS mq, sims['P-Q'] AS pq, {_TAU} AS tau FROM elements
 ), t AS (
-  SELECT *, CASE WHEN m IS NULL OR p IS NULL OR (trim(m, ' ') = '' AND trim(p, ' ') = '') THEN 'hard'
+  SELECT *, CASE WHEN m IS NULL OR p IS NULL OR ({sql_squash("m")} = '' AND {sql_squash("p")} = '') THEN 'hard'
                  WHEN mq IS NULL THEN CASE WHEN mp >= tau THEN 'easy' ELSE 'hard' END
                  WHEN coalesce(mp >= tau, false) OR mq >= tau THEN 'easy' WHEN pq >= tau THEN 'medium' ELSE 'hard' END AS derived,
-            CASE WHEN m IS NULL OR p IS NULL OR (trim(m, ' ') = '' AND trim(p, ' ') = '') THEN 'hard' WHEN mq IS NULL THEN 'hard'
+            CASE WHEN m IS NULL OR p IS NULL OR ({sql_squash("m")} = '' AND {sql_squash("p")} = '') THEN 'hard' WHEN mq IS NULL THEN 'hard'
                  WHEN mp >= tau AND mq >= tau THEN 'easy' WHEN pq >= tau THEN 'medium' ELSE 'hard' END AS strict FROM s
 ), a AS (
   SELECT element_id, etype AS subtask, derived AS tier, CASE derived WHEN 'easy' THEN m WHEN 'medium' THEN p END AS reading,
