@@ -59,6 +59,7 @@ TO_RUSSIAN = dict(zip(LATIN_IN_RUSSIAN, RUSSIAN))
 FOREIGN = "Ͱ-ϿЀ-ԯ԰-֏ɡ"
 
 _WORD = re.compile(r"[^\W\d_]+")
+_RUSSIAN_BEFORE, _RUSSIAN_AFTER = re.compile("[а-яё] $"), re.compile(" [а-яё]")
 _TAGS = re.compile(r"<[^<>]*>|\\[a-zA-Z]+")
 
 
@@ -130,8 +131,12 @@ def main_script(text: str) -> str:
     return max("LCGAJ", key=lambda s: counts[s])
 
 
-def respell(word: str, around: str) -> tuple[str, bool]:
-    """(the word in one alphabet, is it still open whether it is a real word of another alphabet)."""
+def respell(word: str, around: str, between: bool = False) -> tuple[str, bool]:
+    """(the word in one alphabet, is it still open whether it is a real word of another alphabet).
+
+    *between* says that the word stands between two Russian words, where even
+    one or two letters may be a preposition rather than a mark or a code.
+    """
     kinds = {script(ch) for ch in word} - {""}
     if len(kinds) > 1:
         latin = "".join(TO_LATIN.get(ch, ch) if script(ch) != "L" else ch for ch in word)
@@ -144,7 +149,7 @@ def respell(word: str, around: str) -> tuple[str, bool]:
             return latin, False
         return word, False
     if kinds <= {"L", "J"} or not kinds:
-        return word, around == "C" and len(word) > 2 and all(ch in TO_RUSSIAN for ch in word)
+        return word, around == "C" and (len(word) > 2 or between) and all(ch in TO_RUSSIAN for ch in word)
     if all(ch in TO_LATIN for ch in word):
         if kinds == {"A"} or NOT_RUSSIAN & set(word):
             return "".join(TO_LATIN[ch] for ch in word), False
@@ -176,7 +181,8 @@ def ordinary(text: str) -> tuple[str, list[str], str]:
     open_words: list[str] = []
 
     def swap(m: re.Match) -> str:
-        word, is_open = respell(m.group(), around)
+        between = around == "C" and len(m.group()) < 3 and bool(_RUSSIAN_BEFORE.search(t, max(m.start() - 2, 0), m.start()) and _RUSSIAN_AFTER.match(t, m.end()))
+        word, is_open = respell(m.group(), around, between)
         if is_open:
             open_words.append(word)
         return word

@@ -36,6 +36,12 @@ def test_open_words_follow_their_class(spark):
     assert got == {10: "only a note on this"}
 
 
+def test_prepositions_between_russian_words(spark):
+    rows = [("t", i, {"m": "очередь сравнивается с общей меткой"}) for i in range(3)] + [("t", 9, {"m": "очередь сравнивается c общей меткой"}), ("t", 10, {"m": "c. Отсканированная страница"}), ("t", 11, {"m": "квотой ячейки XC-5 в третий раз"})]
+    got = {r.rec_id: r.canonical for r in lookalike.canonical(spark.createDataFrame(rows, RECORD)).collect()}
+    assert got == {9: "очередь сравнивается с общей меткой"}
+
+
 def test_records(spark):
     rows = [("t", 1, {"m": "Th​e scan", "p": "The scan", "q": None}), ("t", 2, None), ("t", 3, {}), ("t", 4, {"m": "The scan"}), ("t", 5, {"m": "ｘ" * 50000}), ("t", 1, {"m": "Th​e scan"})]
     df = spark.createDataFrame(rows, RECORD).repartition(3)
