@@ -12,9 +12,18 @@ def call_stats(log: DataFrame, by: str, failed: Column, latency: str) -> DataFra
 
 
 def failure_streaks(log: DataFrame, by: str, order: list[str], failed: Column, least: int = 2) -> DataFrame:
-    """(by, first_at, n): runs of at least *least* failures in a row, as a breaker would see them."""
-    w = Window.partitionBy(by).orderBy(*order)
-    t = log.withColumn("_f", failed).withColumn("_island", F.sum((~F.col("_f")).cast("int")).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    """(by, first_at, n): runs of at least *least* failures in a row, as a breaker would see them.
+
+    A run is named by the successes before it. They are counted per hour first
+    and then inside each hour, so that a key with any share of all calls is
+    handled in as many tasks as it has hours. *order* starts with the time.
+    """
+    t = log.withColumn("_f", failed).withColumn("_hour", F.date_trunc("hour", order[0]))
+    ok = (~F.col("_f")).cast("int")
+    hours = t.groupBy(by, "_hour").agg(F.sum(ok).alias("_ok"))
+    hours = hours.select(by, "_hour", F.coalesce(F.sum("_ok").over(Window.partitionBy(by).orderBy("_hour").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
+    w = Window.partitionBy(by, "_hour").orderBy(*order)
+    t = t.join(hours, [by, "_hour"]).withColumn("_island", F.col("_before") + F.sum(ok).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
     return t.filter("_f").groupBy(by, "_island").agg(F.min(order[0]).alias("first_at"), F.count("*").alias("n")).filter(F.col("n") >= least).drop("_island")
 
 

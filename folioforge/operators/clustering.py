@@ -8,6 +8,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.ml.clustering import KMeans
+from pyspark.ml.feature import Bucketizer
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -18,6 +19,10 @@ from folioforge.session import discard, materialize
 
 #: Centroids up to which they are broadcast as one matrix; rows of a reference set likewise.
 BROADCAST_ROWS = 200_000
+#: Ranges in which values are ranked side by side.
+RANK_RANGES = 256
+#: Different vectors in a bucket from which it is split by more planes.
+BUCKET_ROWS = 20_000
 
 
 def _matrix(rows: list) -> np.ndarray:
@@ -126,8 +131,8 @@ def tail(assigned: DataFrame, cid: str, dist: str, pct: float = CLUSTER["tail_pc
 
     The percentile is one number and the sizes are one row per cluster.
     """
-    far = assigned.agg(F.percentile(dist, pct / 100).alias("_far"))
-    t = assigned.crossJoin(F.broadcast(far)).withColumn(cid, F.when(F.col(dist) > F.col("_far"), -1).otherwise(F.col(cid))).drop("_far")
+    far = assigned.agg(F.percentile(dist, pct / 100)).first()[0]
+    t = assigned.withColumn(cid, F.when(F.col(dist) > F.lit(far).cast("double"), -1).otherwise(F.col(cid)))
     sizes = t.filter(F.col(cid) >= 0).groupBy(cid).agg(F.count("*").alias("_n")).filter(F.col("_n") < min_size).select(F.col(cid), F.lit(True).alias("_small"))
     t = t.join(sizes, cid, "left").withColumn(cid, F.when(F.col("_small"), -1).otherwise(F.col(cid))).drop("_small")
     return t.withColumn("path", F.when(F.col(cid) == -1, "tail").otherwise(F.col("path"))) if "path" in t.columns else t
@@ -150,7 +155,8 @@ def dedup_in_buckets(df: DataFrame, id_col: str, cid: str, vec_col: str, cosine:
     A row is removed if a kept row before it (by id) has *cosine* with it; a
     removed row removes none. Equal vectors are collapsed before, so a bucket
     holds each vector once and a group of exact copies of any size is one row.
-    Buckets of different vectors are split by the code's bits.
+    A bucket of more than BUCKET_ROWS different vectors is split by as many
+    planes again, so no task compares an unbounded group.
     """
     rows = df.filter(F.col(vec_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(cid), F.lit(-1)).cast("int").alias("c"), F.col(vec_col).cast("array<double>").alias("v")).withColumn("h", F.xxhash64("v"))
     heads = rows.groupBy("c", "h", "v").agg(F.min("id").alias("id"))
@@ -162,9 +168,10 @@ def dedup_in_buckets(df: DataFrame, id_col: str, cid: str, vec_col: str, cosine:
             if not len(x):
                 continue
             if planes is None:
-                planes = np.random.default_rng(seed).normal(size=(x.shape[1], bits))
-            code = ((x @ planes > 0) * (1 << np.arange(bits))).sum(1)
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), pa.array(code)], names=["id", "c", "v", "code"])
+                planes = np.random.default_rng(seed).normal(size=(x.shape[1], 2 * bits))
+            side = (x @ planes > 0).astype(np.int64)
+            weight = 1 << np.arange(bits, dtype=np.int64)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), pa.array(side[:, :bits] @ weight), pa.array(side[:, bits:] @ weight)], names=["id", "c", "v", "code", "more"])
 
     def greedy(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("id")
@@ -176,8 +183,10 @@ def dedup_in_buckets(df: DataFrame, id_col: str, cid: str, vec_col: str, cosine:
                 keep[i + 1 :] &= x[i + 1 :] @ x[i] < cosine
         return pd.DataFrame({"id": pdf["id"], "kept": keep})
 
-    buckets = heads.select("id", "c", "v").mapInArrow(coded, "id long, c int, v array<double>, code long")
-    kept = buckets.groupBy("c", "code").applyInPandas(greedy, "id long, kept boolean")
+    buckets = heads.select("id", "c", "v").mapInArrow(coded, "id long, c int, v array<double>, code long, more long")
+    large = buckets.groupBy("c", "code").agg(F.count("*").alias("n")).filter(F.col("n") > BUCKET_ROWS).select("c", "code", F.lit(True).alias("large"))
+    buckets = buckets.join(large, ["c", "code"], "left").withColumn("more", F.when(F.col("large"), F.col("more")).otherwise(0))
+    kept = buckets.select("id", "c", "v", "code", "more").groupBy("c", "code", "more").applyInPandas(greedy, "id long, kept boolean")
     return rows.select("id").join(kept, "id", "left").select(F.col("id").alias(id_col), F.coalesce("kept", F.lit(False)).alias("kept"))
 
 
@@ -207,9 +216,8 @@ def local_sparsity(vectors: DataFrame, id_col: str, vec_col: str, k: int = 16, r
 
 def cluster_rarity(sparsity: DataFrame, cid: str, tau: float = 1.0, clip: float = 8.0) -> DataFrame:
     """(cid, rarity): median sparsity of the cluster over that of all, to the power tau, within [1/clip, clip]."""
-    whole = sparsity.agg(F.percentile("sparsity", 0.5).alias("m"))
-    all_rows = F.when(F.col("m") == 0, 1.0).otherwise(F.col("m"))
-    per = sparsity.groupBy(cid).agg(F.percentile("sparsity", 0.5).alias("mc")).crossJoin(F.broadcast(whole))
+    all_rows = sparsity.agg(F.percentile("sparsity", 0.5)).first()[0] or 1.0
+    per = sparsity.groupBy(cid).agg(F.percentile("sparsity", 0.5).alias("mc"))
     return per.select(cid, F.greatest(F.least(F.pow(F.col("mc") / all_rows, F.lit(tau)), F.lit(clip)), F.lit(1 / clip)).alias("rarity"))
 
 
@@ -220,10 +228,16 @@ def rarity_check(probed: DataFrame, least: int = 100) -> DataFrame:
     ties. Too few rows or one class only: 0, 0.
     """
     t = probed.filter((F.col("tier") != "invalid") & F.col("sparsity").isNotNull()).select("sparsity", F.col("tier").isin("medium", "hard").cast("double").alias("y"))
-    # Average ranks from value counts: rows of one value share a rank, so no row-level sort of everything.
+    # Average ranks from value counts: rows of one value share a rank. Values are ranked inside ranges between
+    # approximate quantiles, whose totals are added up first, so no task sorts them all.
     values = t.groupBy("sparsity").agg(F.count("*").alias("n"), F.sum("y").alias("ny"))
-    before = F.coalesce(F.sum("n").over(Window.orderBy("sparsity").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    ranked = values.withColumn("rx", before + (F.col("n") + 1) / 2)
+    cuts = t.agg(F.percentile_approx("sparsity", [i / RANK_RANGES for i in range(1, RANK_RANGES)])).first()[0] or []
+    splits = [-float("inf"), *sorted(set(cuts)), float("inf")]
+    values = Bucketizer(splits=splits, inputCol="sparsity", outputCol="range").transform(values) if len(splits) > 2 else values.withColumn("range", F.lit(0.0))
+    earlier = F.coalesce(F.sum("m").over(Window.partitionBy(F.lit(0)).orderBy("range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))  # one row per range
+    totals = values.groupBy("range").agg(F.sum("n").alias("m")).select("range", earlier.alias("earlier"))
+    inside = F.coalesce(F.sum("n").over(Window.partitionBy("range").orderBy("sparsity").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    ranked = values.join(F.broadcast(totals), "range").withColumn("rx", F.col("earlier") + inside + (F.col("n") + 1) / 2)
     g = ranked.agg(F.sum("n").alias("n"), F.sum("ny").alias("ny"), F.sum(F.col("n") * F.col("rx")).alias("sx"), F.sum(F.col("n") * F.col("rx") * F.col("rx")).alias("sxx"), F.sum(F.col("ny") * F.col("rx")).alias("sxy"))
     n, ny = F.col("n").cast("double"), F.col("ny")
     cov = F.col("sxy") - F.col("sx") * ny / n

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from folioforge.functions.vector import squared_distance
-
 
 def contingency(df: DataFrame, found: str, true: str) -> DataFrame:
     return df.groupBy(found, true).agg(F.count("*").alias("n"))
@@ -36,20 +38,29 @@ def diversity(sample: DataFrame, pool: DataFrame, cls: str) -> DataFrame:
     per = sample.groupBy(cls).agg(F.count("*").alias("n"))
     whole = Window.partitionBy()  # one row per class
     t = per.withColumn("p", F.col("n") / F.sum("n").over(whole))
-    classes = pool.select(cls).distinct().agg(F.count("*").alias("k"))
+    classes = pool.select(cls).distinct().count()
     g = t.agg(F.exp(-F.sum(F.col("p") * F.ln("p"))).alias("effective"), F.max("p").alias("head"), F.count("*").alias("seen"), F.sum("n").alias("n_sample"))
-    return g.crossJoin(F.broadcast(classes)).select("n_sample", F.round("effective", 6).alias("effective"), F.round("head", 6).alias("head_share"), F.round(F.col("seen") / F.col("k"), 6).alias("coverage"))
+    return g.select("n_sample", F.round("effective", 6).alias("effective"), F.round("head", 6).alias("head_share"), F.round(F.col("seen") / F.lit(max(classes, 1)), 6).alias("coverage"))
 
 
-def simplified_silhouette(df: DataFrame, centroids: DataFrame, vec: str, cid: str) -> DataFrame:
+def simplified_silhouette(df: DataFrame, centroids: list[tuple[int, list[float]]], vec: str, cid: str) -> DataFrame:
     """One row: mean of (b - a) / max(a, b), with a and b the distances to the own and the nearest other centroid.
 
     Distances to centroids stand for those to all rows of a cluster, so no pairs
-    of rows are formed; the centroids are one row per cluster.
+    of rows are formed; the centroids are a bounded matrix, multiplied per batch.
     """
-    c = centroids.select(F.collect_list(F.struct(F.col(cid).alias("k"), F.col("centroid").alias("v"))).alias("cs"))
-    d = F.transform("cs", lambda x: F.struct(F.sqrt(squared_distance(F.col(vec), x["v"])).alias("d"), x["k"].alias("k")))
-    t = df.crossJoin(F.broadcast(c)).select(F.col(cid), d.alias("d"))
-    own = F.array_min(F.transform(F.filter("d", lambda x: x["k"] == F.col(cid)), lambda x: x["d"]))
-    other = F.array_min(F.transform(F.filter("d", lambda x: x["k"] != F.col(cid)), lambda x: x["d"]))
-    return t.select(own.alias("a"), other.alias("b")).agg(F.round(F.avg((F.col("b") - F.col("a")) / F.greatest("a", "b", F.lit(1e-12))), 6).alias("silhouette"))
+    ordered = sorted(centroids)
+    sent = df.sparkSession.sparkContext.broadcast((np.array([k for k, _ in ordered]), np.array([v for _, v in ordered], np.float64)))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, c = sent.value
+        for b in batches:
+            if not len(b):
+                continue
+            x = b.column(1).flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(b), -1)
+            d = np.sqrt(np.maximum(((x[:, None, :] - c[None, :, :]) ** 2).sum(2), 0.0))
+            own = ids[None, :] == b.column(0).to_numpy()[:, None]
+            yield pa.RecordBatch.from_arrays([pa.array(np.where(own, d, np.inf).min(1)), pa.array(np.where(own, np.inf, d).min(1))], names=["a", "b"])
+
+    t = df.filter(F.col(vec).isNotNull()).select(F.col(cid).cast("int"), vec).mapInArrow(run, "a double, b double")
+    return t.agg(F.round(F.avg((F.col("b") - F.col("a")) / F.greatest("a", "b", F.lit(1e-12))), 6).alias("silhouette"))

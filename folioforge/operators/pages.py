@@ -6,7 +6,7 @@ from functools import reduce
 
 from pyspark.ml.feature import PCA
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from folioforge.functions.constants import LABEL_SUBTASK
@@ -54,8 +54,9 @@ def workload(tasks: DataFrame, mode: str) -> DataFrame:
     """(mode, n, share) of all three modes, 0 where there are none."""
     dim = tasks.sparkSession.createDataFrame([("quick_review",), ("adjudicate",), ("retype",)], "mode string")
     per = tasks.groupBy(F.col(mode).alias("mode")).agg(F.count("*").alias("n"))
-    total = tasks.agg(F.greatest(F.count("*"), F.lit(1)).alias("total"))
-    return dim.join(per, "mode", "left").crossJoin(F.broadcast(total)).select("mode", F.coalesce("n", F.lit(0)).alias("n"), F.round(F.coalesce("n", F.lit(0)) / F.col("total"), 6).alias("share"))
+    n = F.coalesce("n", F.lit(0))
+    total = F.greatest(F.sum(n).over(Window.partitionBy()), F.lit(1))  # three rows
+    return dim.join(per, "mode", "left").select("mode", n.alias("n"), F.round(n / total, 6).alias("share"))
 
 
 def response_text(reply: Column) -> Column:
@@ -73,8 +74,8 @@ def centred_pca(vectors: DataFrame, id_col: str, vec_col: str, k: int) -> DataFr
         return rows.select(id_col, F.array().cast("array<double>").alias("projected"))
     model = PCA(k=k, inputCol="f", outputCol="p").fit(rows)
     at = model.transform(rows).select(id_col, vector_to_array("p").alias("p"))
-    mean = at.agg(F.array(*[F.avg(F.col("p")[i]) for i in range(k)]).alias("m"))
-    return at.crossJoin(F.broadcast(mean)).select(id_col, F.zip_with("p", "m", lambda a, b: a - b).alias("projected"))
+    mean = at.agg(*[F.avg(F.col("p")[i]) for i in range(k)]).first()
+    return at.select(id_col, F.array(*[F.col("p")[i] - mean[i] for i in range(k)]).alias("projected"))
 
 
 def observed(df: DataFrame, stage: str) -> tuple[DataFrame, Observation]:

@@ -11,7 +11,7 @@ def order_key(seed: int, *ids: str) -> Column:
     return F.md5(F.concat_ws(":", F.lit(str(seed)), *[F.col(i).cast("string") for i in ids]))
 
 
-def draw(members: DataFrame, quotas: DataFrame, cell: list[str], id_col: str, quota: str = "quota", seed: int = 7, ranges: int = 64) -> DataFrame:
+def draw(members: DataFrame, quotas: DataFrame, cell: list[str], id_col: str, quota: str = "quota", seed: int = 7, ranges: int = 4096) -> DataFrame:
     """Of every cell of *members* its first *quota* ids in seeded order; all where there are fewer.
 
     A cell is ranked in *ranges* ranges of the order's leading digits: pages in
@@ -29,10 +29,11 @@ def draw(members: DataFrame, quotas: DataFrame, cell: list[str], id_col: str, qu
 
 
 def first_share(df: DataFrame, id_col: str, rate: float, seed: int = 7) -> DataFrame:
-    """max(1, rate x rows, halves to even) rows in seeded order; none of an empty table. A top-k, not a sort of all."""
+    """max(1, rate x rows, halves to even) rows in seeded order; none of an empty table. Drawn as one cell, in many tasks."""
     n = df.count()
     k = max(1, round(n * rate)) if n else 0
-    return df.orderBy(order_key(seed, id_col), id_col).limit(k)
+    one = df.sparkSession.createDataFrame([(0, k)], "_all int, quota long")
+    return draw(df.withColumn("_all", F.lit(0)), one, ["_all"], id_col, seed=seed).drop("_all", "rank")
 
 
 def queue_quotas(queue: DataFrame, weakness: DataFrame, by: str, budget: int, floor: int) -> DataFrame:
@@ -68,7 +69,7 @@ def split_stages(records: DataFrame, weakness: DataFrame, by: str, id_col: str,
     n = records.groupBy(by).agg(F.count("*").alias("n")).join(weakness, by, "left")
     w = Window.partitionBy()  # one row per subtask
     open_rows = n.filter(F.col(by).isin(verifiable)).withColumn("ahead", F.coalesce(F.sum("n").over(w.orderBy(F.desc(F.coalesce("weakness", F.lit(0.0))), by).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    cap = n.agg(F.floor(F.sum("n") * ratio).alias("cap"))
-    quota = open_rows.crossJoin(F.broadcast(cap)).select(by, F.greatest(F.least(F.col("n"), F.col("cap") - F.col("ahead")), F.lit(0)).alias("quota"))
+    cap = int(records.count() * ratio)
+    quota = open_rows.select(by, F.greatest(F.least(F.col("n"), F.lit(cap) - F.col("ahead")), F.lit(0)).alias("quota"))
     chosen = draw(records, quota, [by], id_col).select(id_col, F.lit("reinforce").alias("stage"))
     return records.join(chosen, id_col, "left").withColumn("stage", F.coalesce("stage", F.lit("finetune")))

@@ -80,7 +80,8 @@ def confusion(spark: SparkSession, d: str) -> DataFrame:
 
 def silhouette(spark: SparkSession, d: str) -> DataFrame:
     n = nearest(spark, d).select("vec_id", "cid").join(table(spark, d, "embeddings").select("vec_id", "embedding"), "vec_id")
-    return evaluation.simplified_silhouette(n, centroids(spark, d).withColumnRenamed("label", "cid"), "embedding", "cid")
+    cs = [(r["label"], r["centroid"]) for r in centroids(spark, d).collect()]  # one row per label
+    return evaluation.simplified_silhouette(n, cs, "embedding", "cid")
 
 
 def diversity_metrics(spark: SparkSession, d: str) -> DataFrame:
