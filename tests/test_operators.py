@@ -152,6 +152,8 @@ def test_tree_weights(spark):
     leaves = spark.createDataFrame([(1, 0, "0/0", 10), (1, 1, "0/1", 30), (1, 2, "1", 5), (1, 3, "tail", 1), (2, 0, "0", 4)], "r int, cid int, path string, n long")
     got = {(r.r, r.cid): r.weight for r in allocation.hierarchical_weights(leaves, ["r"], 0.5).collect()}
     assert abs(sum(w for (r, _), w in got.items() if r == 1) - 1) < 1e-12 and abs(got[2, 0] - 1) < 1e-12
+    none = allocation.hierarchical_weights(spark.createDataFrame([(1, 0, "0/0", 0), (1, 1, "0/1", 0), (1, 2, "1", 3)], "r int, cid int, path string, n long"), ["r"]).collect()
+    assert {r.cid: r.weight for r in none} == {0: 0.0, 1: 0.0, 2: 1.0}
     top = {"0": 40**0.5, "1": 5**0.5, "tail": 1.0}
     assert abs(got[1, 0] - top["0"] / sum(top.values()) * 10**0.5 / (10**0.5 + 30**0.5)) < 1e-12
 
