@@ -75,7 +75,7 @@ def fill(df: DataFrame, parent: list[str], quota: str, weight: str, cap: str, ke
     before = p.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     onward = p.orderBy(*order).rowsBetween(Window.currentRow, Window.unboundedFollowing)
     usable = F.when(w > 0, c).otherwise(F.lit(0.0))
-    level = (F.col(quota).cast("double") - F.coalesce(F.sum(usable).over(before), F.lit(0.0))) / F.sum(w).over(onward)
+    level = F.try_divide(F.col(quota).cast("double") - F.coalesce(F.sum(usable).over(before), F.lit(0.0)), F.sum(w).over(onward))
     df = df.withColumn("_full", F.when(w > 0, level >= ratio).otherwise(F.lit(True))).withColumn("_level", level).withColumn("_usable", usable).withColumn("_ratio", ratio)
     first_open = F.first(F.when(~F.col("_full"), F.col("_level")), ignorenulls=True).over(p.orderBy("_ratio", *key).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
     share = F.when(F.col("_full"), F.col("_usable")).otherwise(F.greatest(first_open * w, F.lit(0.0)))

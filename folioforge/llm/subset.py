@@ -164,8 +164,7 @@ def select(pages: DataFrame, requests: DataFrame, cells: int = clusters.CELLS) -
                 )
 
         out = pages.mapInArrow(run, SCHEMA)
-        parts = pages.rdd.getNumPartitions()
-        if parts > 4 * MERGE_TASKS:  # thin the proposals before they reach the driver
+        if spark.sparkContext.defaultParallelism > 4 * MERGE_TASKS:  # thin the proposals before they reach the driver
             found = materialize(out, "subset-proposals")
             thinned = found.filter("page_id is not null").repartition(MERGE_TASKS, "page_id").mapInArrow(run, SCHEMA)
             return thinned.filter("page_id is not null").collect() + found.filter("page_id is null").groupBy("request_id").agg(F.lit(None).alias("page_id"), F.max("gain").alias("gain"), F.lit(None).alias("idx"), F.lit(None).alias("mass")).collect()

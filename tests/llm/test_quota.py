@@ -34,6 +34,8 @@ def test_fill_against_brute_force(spark):
         cells = [(k, rnd.choice([0.0, 0.3, 1.0, 2.5, 7.0]), rnd.randint(0, 14)) for k in range(rnd.randint(1, 8))]
         want[p] = (brute(cells, q), min(q, sum(c for _, w, c in cells if w > 0)))
         rows += [(p, k, q, w, c) for k, w, c in cells]
+    rows += [(100, 0, 9, 0.0, 5), (100, 1, 9, 0.0, 0), (101, 0, 0, 1.0, 5)]
+    want |= {100: ({0: 0.0, 1: 0.0}, 0), 101: ({0: 0.0}, 0)}
     df = spark.createDataFrame(rows, "p int, k int, q long, w double, c long").repartition(4)
     got = {}
     for r in quota.fill(df, ["p"], "q", "w", "c", ["k"], "x").collect():
