@@ -83,3 +83,8 @@ def weakness(sims: DataFrame, by: str, s_mp: Column, s_mq: Column) -> DataFrame:
     known = F.filter(F.array(s_mp, s_mq), lambda x: x.isNotNull())
     mean = F.when(F.size(known) > 0, F.aggregate(known, F.lit(0.0), lambda a, x: a + x) / F.size(known))
     return sims.select(by, mean.alias("m")).groupBy(by).agg((1 - F.avg("m")).alias("weakness")).filter("weakness is not null")
+
+
+def tier_or_invalid(tier: Column, error: Column) -> Column:
+    """A sample whose parser failed has no tier of its own: it is invalid, whatever its similarities say."""
+    return F.when(error.isNotNull(), "invalid").otherwise(tier)

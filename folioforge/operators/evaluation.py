@@ -64,3 +64,10 @@ def simplified_silhouette(df: DataFrame, centroids: list[tuple[int, list[float]]
 
     t = df.filter(F.col(vec).isNotNull()).select(F.col(cid).cast("int"), vec).mapInArrow(run, "a double, b double")
     return t.agg(F.round(F.avg((F.col("b") - F.col("a")) / F.greatest("a", "b", F.lit(1e-12))), 6).alias("silhouette"))
+
+
+def probe_error(estimated: DataFrame, true: DataFrame, by: str, shares: list[str]) -> DataFrame:
+    """One row: median over clusters of the largest difference between an estimated and a true share."""
+    e, t = estimated.alias("e"), true.alias("t")
+    worst = F.greatest(*[F.abs(F.col(f"e.{c}") - F.col(f"t.{c}")) for c in shares]) if len(shares) > 1 else F.abs(F.col(f"e.{shares[0]}") - F.col(f"t.{shares[0]}"))
+    return e.join(t, by).agg(F.count("*").alias("n"), F.round(F.percentile(worst, 0.5), 6).alias("median_error"))

@@ -91,3 +91,9 @@ def _measure_all(it: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataF
 def scan_measures(pixels: Column | str, width: Column | str) -> Column:
     """STRUCT<blur, ink, contrast, skew> of gray images given as (pixels row by row, width); NULLs for no image."""
     return F.pandas_udf(_measure_all, "struct<blur:double,ink:double,contrast:double,skew:double>")(pixels, width)
+
+
+def error_fixed(content: Column, must: Column, must_not: Column) -> Column:
+    """Is a known error mended: does the label hold *must* and not *must_not*? NULL *must_not* forbids nothing; no label mends nothing."""
+    gone = F.coalesce(~F.contains(content, must_not), F.lit(True))
+    return F.coalesce(F.contains(content, must), F.lit(False)) & gone

@@ -50,3 +50,9 @@ def page_files(spark: SparkSession, root: str, pattern: str = "*") -> DataFrame:
     """(page_id, path, content) of image files, sorted by their path when collected; bytes stay with the row."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", "true").load(root)
     return files.select(F.regexp_extract("path", "([^/]+)$", 1).alias("page_id"), "path", "content")
+
+
+def first_of_base(files: DataFrame, path: str, suffix: str = "(_aug\\d*|_rot\\d*|-copy\\d*)?\\.[^.]+$") -> DataFrame:
+    """One file of each base name: variants that differ in *suffix* only count once, the first by path."""
+    base = F.regexp_replace(F.col(path), suffix, "")
+    return files.join(files.groupBy(base.alias("_b")).agg(F.min(path).alias(path)).select(path), path, "left_semi")

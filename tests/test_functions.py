@@ -135,3 +135,12 @@ def test_vectors(spark):
         vector.combine([(F.col("v"), 0.0)])
     h = one(spark, vector.entropy([F.col("a"), F.col("b"), F.col("c")]), "a int, b int, c int", (1, 1, 0), (0, 0, 0))
     assert abs(h[0] - math.log(2)) < 1e-12 and h[1] == 0.0
+
+
+def test_traps(spark):
+    assert one(spark, text.squash(F.col("a")), "a string", ("a\xa0\u2007 b\u3000",)) == ["a b"]  # blanks of all kinds
+    assert one(spark, sequence.positional_similarity(F.col("a"), F.col("b"), text.edit_similarity), "a array<string>, b array<string>", (["x", "y", "z"], ["y", "z"]), ([], [])) == [0.0, 1.0]  # one missing shifts all
+    small = one(spark, box.absolute_box(F.col("b"), F.lit(1000), F.lit(1000), "auto"), "b array<double>", ([0.0, 0.0, 1.2, 1.2], ), ([0.0, 0.0, 900.0, 900.0],))
+    assert small[0] == [0.0, 0.0, 1000.0, 1000.0] and small[1] == [0.0, 0.0, 900.0, 900.0]  # auto misreads small boxes
+    assert one(spark, box.area(F.col("b")), "b array<double>", (None,)) == [None]
+    assert one(spark, text.is_empty_result(F.col("t"), F.col("b")), "t string, b array<int>", (None, None), ("\n", []), ("x", None), ("", [1])) == [True, True, False, False]

@@ -41,6 +41,11 @@ def test_files(spark, tmp_path):
     assert jsonl.page_files(spark, str(tmp_path / "d"), "1.png").count() == 2
 
 
+def test_variants_count_once(spark):
+    df = spark.createDataFrame([("a/x.png",), ("a/x_aug1.png",), ("a/x_rot2.jpg",), ("a/y.png",)], "path string")
+    assert [r.path for r in jsonl.first_of_base(df, "path").orderBy("path").collect()] == ["a/x.png", "a/y.png"]
+
+
 def test_runner_and_cache(spark):
     df = spark.createDataFrame([("k1", "ok"), ("k2", "boom"), ("k3", "again"), ("k1", "ok")], "key string, t string")
 

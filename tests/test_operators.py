@@ -272,3 +272,43 @@ def test_tail(spark, value, size):
     rows = [(i, i % 2, float(i)) for i in range(40)]
     t = clustering.tail(spark.createDataFrame(rows, "id int, cid int, dist double"), "cid", "dist", value, 5)
     assert t.filter("cid = -1").count() == size
+
+
+def test_failed_parsers_and_mended_errors(spark):
+    df = spark.createDataFrame([("easy", None), ("easy", "boom"), (None, None)], "t string, e string")
+    assert [r[0] for r in df.select(consistency.tier_or_invalid(F.col("t"), F.col("e"))).collect()] == ["easy", "invalid", None]
+    df = spark.createDataFrame([("a fixed b", "fixed", None), ("a fixed bad", "fixed", "bad"), ("none", "fixed", None), (None, "x", None)], "c string, m string, n string")
+    assert [r[0] for r in df.select(quality.error_fixed(F.col("c"), F.col("m"), F.col("n"))).collect()] == [True, False, False, False]
+
+
+def test_probe_error(spark):
+    a = spark.createDataFrame([(1, 0.5, 0.5), (2, 0.2, 0.8), (3, 1.0, 0.0)], "cid int, p0 double, p1 double")
+    b = spark.createDataFrame([(1, 0.4, 0.6), (2, 0.2, 0.8), (3, 0.7, 0.3)], "cid int, p0 double, p1 double")
+    r = evaluation.probe_error(a, b, "cid", ["p0", "p1"]).collect()[0]
+    assert (r.n, r.median_error) == (3, 0.1)
+
+
+def test_streaks_across_hours(spark):
+    from datetime import datetime, timedelta
+
+    t0 = datetime(2024, 1, 1, 0, 50)
+    marks = "xx.xxx..x" * 3
+    rows = [("u", t0 + timedelta(minutes=7 * i), i, m == "x") for i, m in enumerate(marks)] + [("v", t0, 1, True)]
+    got = calls.failure_streaks(spark.createDataFrame(rows, "u string, ts timestamp, i int, f boolean"), "u", ["ts", "i"], F.col("f")).collect()
+    want, run = [], 0
+    for m in marks + ".":
+        if m == "x":
+            run += 1
+        else:
+            want += [run] if run >= 2 else []
+            run = 0
+    assert sorted(r.n for r in got) == sorted(want)
+
+
+def test_large_buckets_are_split(spark, monkeypatch):
+    monkeypatch.setattr(clustering, "BUCKET_ROWS", 5)
+    rng = np.random.default_rng(1)
+    rows = [(i, 0, (rng.normal(size=4)).tolist()) for i in range(60)]
+    df = spark.createDataFrame(rows, "id int, c int, v array<double>")
+    got = {r.id: r.kept for r in clustering.dedup_in_buckets(df, "id", "c", "v", bits=2).collect()}
+    assert set(got) == set(range(60))
