@@ -39,8 +39,9 @@ def latex_tokens(c: Column) -> Column:
     s = F.coalesce(c, F.lit(""))
     for k, v in LATEX_SAME:
         s = F.replace(s, F.lit(k), F.lit(v))
-    s = F.regexp_replace(s, LATEX_SILENT.replace("{", "\\{").replace("}", "\\}"), " ")
-    return F.regexp_extract_all(s, F.lit("(\\\\[a-zA-Z]+|\\d|[^\\s])"), F.lit(1))
+    # (?U): blanks, digits and word ends are those of all alphabets.
+    s = F.regexp_replace(s, "(?U)" + LATEX_SILENT.replace("{", "\\{").replace("}", "\\}"), " ")
+    return F.regexp_extract_all(s, F.lit("(?U)(\\\\[a-zA-Z]+|\\d|[^\\s])"), F.lit(1))
 
 
 def formula_similarity(a: Column, b: Column) -> Column:

@@ -22,7 +22,7 @@ def _weakness(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _hard(spark: SparkSession, d: str) -> DataFrame:
-    return elements(spark, d).filter("tier = 'hard'").select("element_id", F.col("etype").alias("subtask"))
+    return elements(spark, d, "tier", "etype").filter("tier = 'hard'").select("element_id", F.col("etype").alias("subtask"))
 
 
 def judge_selection(spark: SparkSession, d: str) -> DataFrame:
@@ -35,7 +35,7 @@ def judge_selection(spark: SparkSession, d: str) -> DataFrame:
 def expert_priority(spark: SparkSession, d: str) -> DataFrame:
     """The 100 verdicts that people should see first."""
     v = table(spark, d, "judge_verdict").groupBy("verdict_id").agg(F.max(F.struct("received_at", "element_id", "has_error", "confidence")).alias("r")).select("verdict_id", "r.*")
-    items = v.join(elements(spark, d).select("element_id", F.col("etype").alias("subtask")), "element_id").filter("has_error").withColumn("located", F.col("has_error"))
+    items = v.join(elements(spark, d, "etype").select("element_id", F.col("etype").alias("subtask")), "element_id").filter("has_error").withColumn("located", F.col("has_error"))
     return sampling.priority(items, _weakness(spark, d), "subtask", "verdict_id", budget=100).select("verdict_id", "subtask", "confidence")
 
 
@@ -48,14 +48,14 @@ def stage_split(spark: SparkSession, d: str) -> DataFrame:
 
 def double_annotation(spark: SparkSession, d: str) -> DataFrame:
     """Five in a hundred elements for a second annotator."""
-    return sampling.first_share(elements(spark, d).select("element_id"), "element_id", 0.05).select("element_id")
+    return sampling.first_share(table(spark, d, "page_element").select("element_id").distinct(), "element_id", 0.05).select("element_id")
 
 
 def _rounds(spark: SparkSession, d: str) -> DataFrame:
     """Refinement of every judged element, the judge's rounds as the script."""
     v = table(spark, d, "judge_verdict").filter("element_id is not null and round_no is not null").groupBy("element_id", "round_no").agg(F.max(F.struct("received_at", "verdict_id", "has_error", "confidence", "corrected")).alias("r"))
     v = v.select("element_id", F.col("round_no").alias("round"), "r.has_error", "r.confidence", "r.corrected")
-    e = elements(spark, d).join(v.select("element_id").distinct(), "element_id", "left_semi")
+    e = elements(spark, d, "etype", "content").join(v.select("element_id").distinct(), "element_id", "left_semi")
     items = e.select("element_id", F.col("etype").alias("subtask"), F.coalesce(F.try_element_at("content", F.lit("qwen3-vl-8b")), F.try_element_at("content", F.lit("mistral-ocr-4"))).alias("draft"))
     return refine.refine(items, v, "element_id", JUDGEABLE)
 

@@ -15,18 +15,18 @@ from .inputs import CHEAP, EXPENSIVE, SQL_ELEMENTS, TARGET, elements, sql_simila
 
 def page_results(spark: SparkSession, d: str) -> DataFrame:
     """The target parser's pages put together from their elements."""
-    e = elements(spark, d).filter("page_id is not null and page_id <> '0'").select("page_id", "eid", F.struct("eid", F.coalesce("label", F.lit("text")).alias("label"), F.try_element_at("content", F.lit(TARGET)).alias("content")).alias("b"))
+    e = elements(spark, d, "page_id", "eid", "label", "content").filter("page_id is not null and page_id <> '0'").select("page_id", "eid", F.struct("eid", F.coalesce("label", F.lit("text")).alias("label"), F.try_element_at("content", F.lit(TARGET)).alias("content")).alias("b"))
     r = e.groupBy("page_id").agg(ops.page_result(F.array_sort(F.collect_list("b"))).alias("r"))
     return r.select("page_id", F.md5("r.text").alias("text_md5"), F.size("r.formulas").alias("n_formulas"), F.size("r.tables").alias("n_tables"))
 
 
 def subtask_counts(spark: SparkSession, d: str) -> DataFrame:
-    return elements(spark, d).groupBy(ops.subtask_of(F.col("label")).alias("subtask")).agg(F.count("*").alias("n"))
+    return elements(spark, d, "label").groupBy(ops.subtask_of(F.col("label")).alias("subtask")).agg(F.count("*").alias("n"))
 
 
 def expert_tasks(spark: SparkSession, d: str) -> DataFrame:
     """How people would take up the hard elements: by the agreement of the two outside parsers."""
-    e = elements(spark, d).filter("tier = 'hard'")
+    e = elements(spark, d, "tier", "content").filter("tier = 'hard'")
     a, b = (F.try_element_at("content", F.lit(k)) for k in (CHEAP, EXPENSIVE))
     agreement = F.when(a.isNotNull() & b.isNotNull(), sequence.text_similarity(a, b))
     return ops.workload(e.select(ops.review_mode(agreement).alias("mode")), "mode")
@@ -34,7 +34,7 @@ def expert_tasks(spark: SparkSession, d: str) -> DataFrame:
 
 def crop_boxes(spark: SparkSession, d: str) -> DataFrame:
     """Whole-pixel crops of all elements on pages of 1700 x 2400."""
-    b = elements(spark, d).select("element_id", ops.crop_box(F.transform("box", lambda v: v.cast("double")), F.lit(1700), F.lit(2400)).alias("c"))
+    b = elements(spark, d, "box").select("element_id", ops.crop_box(F.transform("box", lambda v: v.cast("double")), F.lit(1700), F.lit(2400)).alias("c"))
     return b.select("element_id", *[F.col("c")[i].alias(n) for i, n in enumerate(("x1", "y1", "x2", "y2"))])
 
 

@@ -14,7 +14,7 @@ from .inputs import CHEAP, SQL_ELEMENTS, TARGET, elements, sql_similarity, sql_s
 
 def _readings(spark: SparkSession, d: str, etype: str) -> DataFrame:
     """(element_id, m, p) of the elements that target and cheap parser both read."""
-    e = elements(spark, d).filter(F.col("etype") == etype)
+    e = elements(spark, d, "etype", "content").filter(F.col("etype") == etype)
     return e.select("element_id", F.try_element_at("content", F.lit(TARGET)).alias("m"), F.try_element_at("content", F.lit(CHEAP)).alias("p")).filter("m is not null and p is not null")
 
 
@@ -65,7 +65,7 @@ def label_canon(spark: SparkSession, d: str) -> DataFrame:
 
 def box_normalize(spark: SparkSession, d: str) -> DataFrame:
     """Elements' boxes as pixels of a page of 1700 x 2400, from coordinates in thousandths."""
-    e = elements(spark, d).select("element_id", box.absolute_box(F.transform("box", lambda v: v.cast("double") / 2), F.lit(1700), F.lit(2400), "norm1000").alias("b"))
+    e = elements(spark, d, "box").select("element_id", box.absolute_box(F.transform("box", lambda v: v.cast("double") / 2), F.lit(1700), F.lit(2400), "norm1000").alias("b"))
     return e.select("element_id", *[F.round(F.col("b")[i], 4).alias(n) for i, n in enumerate(("x1", "y1", "x2", "y2"))])
 
 
@@ -84,7 +84,7 @@ def page_refs(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _boxes(spark: SparkSession, d: str) -> DataFrame:
-    e = elements(spark, d).filter("page_id is not null and page_id <> '0' and size(box) = 4")
+    e = elements(spark, d, "page_id", "eid", "label", "box").filter("page_id is not null and page_id <> '0' and size(box) = 4")
     return e.select("element_id", "page_id", "eid", "label", F.transform("box", lambda v: v.cast("double")).alias("box"))
 
 
@@ -136,10 +136,15 @@ def _iou(a: str, b: str) -> str:
 
 
 def _tokens(c: str) -> str:
-    """SQL of a formula's tokens."""
-    same = f"replace(replace(replace({c}, '\\dfrac', '\\frac'), '\\tfrac', '\\frac'), '\\ast', '*')"
-    silent = "\\\\(?:left|right|,|;|!|quad|qquad|displaystyle|limits)\\b|\\s+|\\{|\\}"
-    return f"regexp_extract_all(regexp_replace({same}, '{silent}', ' ', 'g'), '\\\\[a-zA-Z]+|\\d|[^\\s]')"
+    """SQL of a formula's tokens. DuckDB's word ends are ASCII, so the sign after a command is matched and put back;
+    a sign that begins the next command is matched in the second pass."""
+    word = "\\p{L}\\p{M}\\p{Nd}\\p{Pc}\\x{200C}\\x{200D}"
+    s = f"replace(replace(replace({c}, '\\dfrac', '\\frac'), '\\tfrac', '\\frac'), '\\ast', '*')"
+    for _ in range(2):
+        s = f"regexp_replace({s}, '\\\\(?:left|right|quad|qquad|displaystyle|limits)([^{word}]|$)', ' \\1', 'g')"
+    s = f"regexp_replace({s}, '\\\\[,;!]([{word}])', ' \\1', 'g')"
+    blanks = "\\s\\x{0B}\\x{85}\\x{A0}\\x{1680}\\x{2000}-\\x{200A}\\x{2028}\\x{2029}\\x{202F}\\x{205F}\\x{3000}"
+    return f"regexp_extract_all(regexp_replace({s}, '[{blanks}]+|\\{{|\\}}', ' ', 'g'), '\\\\[a-zA-Z]+|[^{blanks}]')"
 
 
 ORACLES = {

@@ -13,7 +13,7 @@ from .inputs import CHEAP, SQL_ELEMENTS, TARGET, elements, sql_squash
 
 
 def _sims(spark: SparkSession, d: str) -> DataFrame:
-    e = elements(spark, d)
+    e = elements(spark, d, "page_id", "etype", "tier", "content", "sims")
     s = [F.try_element_at("sims", F.lit(k)).alias(n) for k, n in (("M-P", "s_mp"), ("M-Q", "s_mq"), ("P-Q", "s_pq"))]
     return e.select("element_id", "page_id", "etype", "tier", "content", *s)
 
