@@ -8,9 +8,11 @@ reads that setting and only picks a folder of its own where it is unset
 from __future__ import annotations
 
 import atexit
+import os
 import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -61,6 +63,20 @@ def shared_dir(spark: SparkSession) -> str:
     return held
 
 
+def reachable(spark: SparkSession) -> None:
+    """Let Python workers import the package from where the driver has it.
+
+    Workers started later get its folder in their PYTHONPATH, whatever the
+    directory that the driver was started in. A cluster without a shared file
+    system is given the package with --py-files instead.
+    """
+    root = str(Path(__file__).resolve().parents[1])
+    env = spark.sparkContext.environment
+    paths = [x for x in env.get("PYTHONPATH", "").split(os.pathsep) if x]
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([root, *paths])
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Cut the lineage: write *df* as a table in the shared folder, read it back.
 
