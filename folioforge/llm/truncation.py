@@ -13,7 +13,8 @@ and rows at that point, as far as that can be told from the left.
 
 Thresholds come from the scores' histogram of each language and column: the
 emptiest stretch between the two humps. Afterwards an exact check compares the
-value's last characters with the other models' readings of the same element.
+value's last characters with the other models' readings of the same element, and
+lets stand what ends a sentence with nothing left open.
 
 Defined results: NULL, blank and invisible values are no values; a record delivered twice
 counts once per source; labels that are NULL are a column of their own.
@@ -46,6 +47,8 @@ CHUNK = 1 << 18
 #: What the score changes by when another model's reading goes on (of an end that is unlikely already,
 #: below UNLIKELY), when the value has just a field limit's length, or when another reading ends at the same place, which two cuts hardly ever do.
 GOES_ON, ENDS_TOO, UNLIKELY = 3.0, 20.0, -1.0
+# Signs that end a sentence or a list item, as folded code points.
+SENTENCE_ENDS = [ord(c) for c in ".!?;。！？；"]
 #: A length is a field limit of a source if it is met this often as its neighbours within LIMIT_REACH, and LIMIT_LEAST times.
 LIMIT_TIMES, LIMIT_REACH, LIMIT_LEAST = 6.0, 6, 8
 #: Range and bins of the score histograms; default threshold and rows from which a group has its own.
@@ -127,6 +130,7 @@ class Laid:
         run = np.cumsum(step, dtype=np.int32)
         per_value = sizes + PAD
         depth = np.clip(run - np.repeat(run[self.first - 1], per_value), -1, 2) + 1
+        self.level = depth[self.last] == 1  # nothing is left open at the end
         state = np.repeat(labels.astype(np.int32) * 16, per_value) + depth * 4
         for i in np.flatnonzero((c[self.first] == 124) & (sizes > 2)):
             self._rows(state, int(self.first[i]), int(self.last[i]) + 1)
@@ -258,6 +262,8 @@ def final_contexts(values: DataFrame) -> DataFrame:
                 slots = [OFFSETS[k] + laid.slots(k, laid.last) for k in range(len(ORDERS))] + [OFFSETS[-2] + laid.whole()]
                 low = laid.language & (~laid.language + 1)  # the lowest bit takes precedence
                 lang = np.array(["other", *LANGUAGES])[np.where(low > 0, np.log2(np.maximum(low, 1)).astype(int) + 1, 0)]
+                whole = laid.level & np.isin(laid.codes[laid.last], SENTENCE_ENDS) & (labels[s:e] != 4) & (labels[s:e] != 5)
+                check[s:e][whole] = -1
                 row = pa.array(rows[s:e])
                 yield pa.RecordBatch.from_arrays(
                     [b.column("tbl").take(row), b.column("rec_id").take(row), sources.take(pa.array(places[s:e])), pa.array(check[s:e]), pa.array(lengths[s:e]), pa.array(labels[s:e].astype(np.int32)), pa.array(lang.tolist(), pa.string()), *[pa.array(x.astype(np.int32)) for x in slots]],
