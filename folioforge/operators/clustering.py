@@ -17,8 +17,10 @@ from folioforge.functions.constants import CLUSTER
 from folioforge.functions.vector import dot, norm
 from folioforge.session import discard, materialize
 
-#: Centroids up to which they are broadcast as one matrix; rows of a reference set likewise.
+#: Centroids up to which they are broadcast as one matrix.
 BROADCAST_ROWS = 200_000
+#: Rows of a reference set that are broadcast at once, and distances that a task holds at once.
+REFERENCE_BLOCK, DISTANCES = 65_536, 1 << 22
 #: Ranges in which values are ranked side by side.
 RANK_RANGES = 256
 #: Different vectors in a bucket from which it is split by more planes.
@@ -190,28 +192,79 @@ def dedup_in_buckets(df: DataFrame, id_col: str, cid: str, vec_col: str, cosine:
     return rows.select("id").join(kept, "id", "left").select(F.col("id").alias(id_col), F.coalesce("kept", F.lit(False)).alias("kept"))
 
 
-def local_sparsity(vectors: DataFrame, id_col: str, vec_col: str, k: int = 16, reference: int = 2048, seed: int = 7) -> DataFrame:
-    """(id, sparsity): distance to the k-th nearest of a fixed-size reference set in seeded order.
+def _reference_blocks(rows: DataFrame, reference: int, seed: int) -> Iterator[np.ndarray]:
+    """The first *reference* rows of (id, v) in seeded order, as matrices of REFERENCE_BLOCK rows at most or of one range.
 
-    The set's size is a parameter, not a share, so its broadcast is bounded. A
-    row that is in the set is its own nearest. All rows get a value.
+    Rows are counted in ranges of the order's leading digits, so only the range in which the set ends is ranked.
     """
-    pick = vectors.filter(F.col(vec_col).isNotNull()).orderBy(F.md5(F.concat(F.lit(f"{seed}:"), F.col(id_col).cast("string"))), id_col).limit(min(reference, BROADCAST_ROWS)).select(vec_col).collect()
-    ref = _matrix([r[0] for r in pick]) if pick else np.zeros((0, 1))
-    sent = vectors.sparkSession.sparkContext.broadcast(ref)
+    n = rows.count()
+    if n <= min(reference, REFERENCE_BLOCK):
+        yield _batch(pa.concat_arrays(rows.select("v").toArrow().column(0).chunks)) if n else np.zeros((0, 1))
+        return
+    keyed = rows.withColumn("k", F.md5(F.concat(F.lit(f"{seed}:"), F.col("id").cast("string")))).withColumn("range", F.left("k", F.lit(4)))
+    counts = keyed.groupBy("range").agg(F.count("*").alias("n")).orderBy("range").collect()  # 65,536 at most
+    parts, left, last, ending = [], reference, None, 0
+    for r in counts:
+        take = min(r["n"], left)
+        if take <= 0:
+            break
+        if parts and parts[-1][2] + take <= REFERENCE_BLOCK:
+            parts[-1] = (parts[-1][0], r["range"], parts[-1][2] + take)
+        else:
+            parts.append((r["range"], r["range"], take))
+        left, last, ending = left - take, r["range"], take
+    ranked = keyed.filter(F.col("range") == last).withColumn("rank", F.row_number().over(Window.partitionBy("range").orderBy("k", "id")))
+    tail = ranked.filter(F.col("rank") <= ending).drop("rank")
+    held = materialize(keyed.filter(F.col("range") < last).unionByName(tail).select("range", "v").repartitionByRange("range").sortWithinPartitions("range"), "sparsity-reference")
+    for first, end, _ in parts:
+        yield _batch(pa.concat_arrays(held.filter(F.col("range").between(first, end)).select("v").toArrow().column(0).chunks))
+    discard(held)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        r = sent.value
-        half, at = (r * r).sum(1), min(k, len(r)) - 1
-        for b in batches:
-            x = _batch(b.column(1))
-            if not len(x):
-                continue
-            d = np.maximum(half[None, :] - 2 * (x @ r.T) + (x * x).sum(1)[:, None], 0.0)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(np.sqrt(np.partition(d, at, axis=1)[:, at]))], names=["id", "sparsity"])
 
-    rows = vectors.filter(F.col(vec_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), vec_col)
-    return rows.mapInArrow(run, "id long, sparsity double").select(F.col("id").alias(id_col), "sparsity")
+def local_sparsity(vectors: DataFrame, id_col: str, vec_col: str, k: int = 16, reference: int = 2_000_000, seed: int = 7) -> DataFrame:
+    """(id, sparsity): distance to the k-th nearest of the first *reference* rows in seeded order, or of all rows where there are no more.
+
+    All rows are searched exactly. The set is broadcast in blocks, one pass over
+    the rows each, and every row carries its k smallest distances so far. A row
+    that is in the set is its own nearest. All rows get a value.
+    """
+    rows = vectors.filter(F.col(vec_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).cast("array<double>").alias("v"))
+    schema = "id long, v array<double>, best array<double>"
+    state, old, seen, sent = rows.withColumn("best", F.array().cast("array<double>")), None, 0, None
+
+    def search(block):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            r = block.value
+            half = (r * r).sum(1)
+            step = max(1, DISTANCES // max(1, len(r)))
+            for b in batches:
+                x = _batch(b.column(1))
+                if not len(x):
+                    continue
+                best = b.column(2).flatten().to_numpy(zero_copy_only=False).reshape(len(x), -1)
+                found = []
+                for s in range(0, len(x), step):
+                    q = x[s : s + step]
+                    d = np.maximum(half[None, :] - 2 * (q @ r.T) + (q * q).sum(1)[:, None], 0.0)
+                    if d.shape[1] > k:
+                        d = np.partition(d, k - 1, axis=1)[:, :k]
+                    found.append(np.sort(np.concatenate((d, best[s : s + step]), axis=1), axis=1)[:, :k])
+                near = np.concatenate(found)
+                ends = pa.array(np.arange(0, near.size + 1, near.shape[1], dtype=np.int32))
+                yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.ListArray.from_arrays(ends, pa.array(near.ravel()))], names=["id", "v", "best"])
+
+        return run
+
+    for block in _reference_blocks(rows, reference, seed):
+        if seen:  # a further block: keep what the blocks before it gave
+            new = materialize(state, "sparsity-state")
+            discard(old)
+            sent.destroy()
+            state = old = new
+        sent = vectors.sparkSession.sparkContext.broadcast(block)
+        state = state.mapInArrow(search(sent), schema)
+        seen += len(block)
+    return state.select(F.col("id").alias(id_col), F.sqrt(F.element_at("best", -1)).alias("sparsity"))
 
 
 def cluster_rarity(sparsity: DataFrame, cid: str, tau: float = 1.0, clip: float = 8.0) -> DataFrame:

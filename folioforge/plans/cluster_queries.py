@@ -52,7 +52,7 @@ def lsh_dedup(spark: SparkSession, d: str) -> DataFrame:
 
 def _sparse(spark: SparkSession, d: str) -> DataFrame:
     e = table(spark, d, "embeddings")
-    return clustering.local_sparsity(e, "vec_id", "embedding", k=8, reference=256).join(e.select("vec_id", "label"), "vec_id")
+    return clustering.local_sparsity(e, "vec_id", "embedding").join(e.select("vec_id", "label"), "vec_id")
 
 
 def local_sparsity(spark: SparkSession, d: str) -> DataFrame:

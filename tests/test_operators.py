@@ -1,5 +1,6 @@
 """Operators on hand-made rows: rules, brute force, invariants and odd inputs."""
 
+import hashlib
 import random
 
 import numpy as np
@@ -8,6 +9,7 @@ from pyspark.sql import functions as F
 
 from folioforge.functions.constants import GAINS, SAMPLER, TIERS
 from folioforge.operators import allocation, assembly, calls, clustering, consistency, elements, evaluation, quality, refine, sampling
+from folioforge.plans import cluster_queries
 
 
 def test_tier_table(spark):
@@ -210,6 +212,32 @@ def test_sparsity_against_brute_force(spark):
         assert abs(got[i] - np.sort(np.linalg.norm(x - x[i], axis=1))[3]) < 1e-6  # itself is the first
 
 
+def test_sparsity_searches_a_reference_in_blocks(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(500, 5))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id int, v array<double>").repartition(3)
+    far = np.sort(np.linalg.norm(x[:, None] - x[None], axis=2), axis=1)
+    monkeypatch.setattr(clustering, "REFERENCE_BLOCK", 64)
+    got = {r.id: r.sparsity for r in clustering.local_sparsity(df, "id", "v").collect()}
+    assert all(abs(got[i] - far[i, 15]) < 1e-6 for i in range(500))
+    picked = sorted(range(500), key=lambda i: hashlib.md5(f"7:{i}".encode()).hexdigest())[:150]
+    part = np.sort(np.linalg.norm(x[:, None] - x[picked][None], axis=2), axis=1)
+    got = {r.id: r.sparsity for r in clustering.local_sparsity(df, "id", "v", k=3, reference=150).collect()}
+    assert all(abs(got[i] - part[i, 2]) < 1e-6 for i in range(500))
+
+
+def test_sparsity_queries_use_all_rows(spark, tmp_path):
+    rng = np.random.default_rng(6)
+    x = np.concatenate((rng.normal(size=(400, 4)), rng.normal(size=(20, 4)) * 0.01 + 30)).astype(np.float32)  # a small dense group far off
+    rows = [(i, v.tolist(), int(i >= 400)) for i, v in enumerate(x)]
+    spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").write.parquet(f"{tmp_path}/embeddings.parquet")
+    far = np.sort(np.linalg.norm(x[:, None].astype(float) - x[None].astype(float), axis=2), axis=1)[:, 15]
+    got = {r.vec_id: r.sparsity for r in cluster_queries.local_sparsity(spark, str(tmp_path)).collect()}
+    assert len(got) == 420 and all(abs(got[i] - far[i]) < 2e-5 for i in range(420))
+    rare = {r.label: r.rarity for r in cluster_queries.cluster_rarity(spark, str(tmp_path)).collect()}
+    assert all(abs(rare[c] - min(max(np.median(far[s]) / np.median(far), 0.125), 8)) < 2e-5 for c, s in ((0, slice(0, 400)), (1, slice(400, 420))))
+
+
 def test_clusters_and_measures(spark):
     rng = np.random.default_rng(5)
     centres = rng.normal(size=(4, 8)) * 5
