@@ -2,11 +2,12 @@
 
 A backward character n-gram model: the contexts that end a value, read from its
 end, are counted once as ends and once wherever they occur at all, for several
-context lengths and per label. The model is a table of fixed size (contexts are
-hashed into slots), so every task counts into arrays, only the slots in use are
-shuffled, and what is broadcast does not grow with the data. A value's score is
-the log-odds of "ends here" against "goes on" after its own final context, with
-the value itself (and copies of it) left out of the counts.
+context lengths and per label. The model is a table keyed by each context's
+64-bit hash. It holds only contexts that some value ends in: a bitmap of fixed
+size that is broadcast drops most others where they are counted, and the table
+by full key the rest, so no two contexts are added up. A value's score is the
+log-odds of "ends here" against "goes on" after its own final context, with the
+value itself (and copies of it) left out of the counts.
 
 A context also holds how deep the text stands in brackets, environments, tags
 and rows at that point, as far as that can be told from the left.
@@ -30,20 +31,21 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from folioforge.session import materialize
+from folioforge.session import discard, materialize
 
 from .charfold import flatten, folded
 
-#: Context lengths, and the slots of each as a power of two. The last table holds whole values.
+#: Context lengths.
 ORDERS = (2, 4, 7, 12)
-SLOT_BITS = (16, 19, 20, 20, 20)
+#: Size of the bitmap of ending contexts as a power of two: least and most. It only spares work; beyond its size more contexts pass it.
+FILTER_BITS = (18, 26)
 #: Weight of the shorter context's estimate, in occurrences, and what that estimate is at least:
 #: nested contexts repeat one observation, so their doubts must not multiply.
 BACKOFF, BACKOFF_LEAST = 2.0, 0.02
 #: Copies of a value that are left out of its own evidence; more copies than that count as evidence.
 OWN_COPIES = 4
-#: Characters handed to the counter at once.
-CHUNK = 1 << 18
+#: Characters handed to the counter at once, and occurrences that a task holds before it adds them up.
+CHUNK, HELD = 1 << 18, 1 << 20
 #: What the score changes by when another model's reading goes on (of an end that is unlikely already,
 #: below UNLIKELY), when the value has just a field limit's length, or when another reading ends at the same place, which two cuts hardly ever do.
 GOES_ON, ENDS_TOO, UNLIKELY = 3.0, 20.0, -1.0
@@ -57,7 +59,6 @@ DEFAULT_THRESHOLD, MIN_ROWS = -2.5, 200
 #: Range in which a group's own threshold may lie.
 THRESHOLD_RANGE = (-4.0, -1.5)
 
-OFFSETS = np.concatenate(([0], np.cumsum([1 << b for b in SLOT_BITS]))).astype(np.int64)
 PAD = max(ORDERS)
 BASE = 0x9E3779B97F4A7C15
 
@@ -152,11 +153,11 @@ class Laid:
             state[start:end] += 1 + (pipe - before == head)
 
     def slots(self, order: int, at: np.ndarray) -> np.ndarray:
-        """Slot of the context of ORDERS[order] characters that ends at each cell of *at*."""
+        """Key of the context of ORDERS[order] characters that ends at each cell of *at*."""
         n = ORDERS[order]
         with np.errstate(over="ignore"):
             key = (self.prefix[at + 1] - self.prefix[at + 1 - n]) * self.inverse[at + 1 - n]
-            return self._slot(key ^ self.state[at], order)
+            return self._key(key ^ self.state[at], order)
 
     def everywhere(self, order: int) -> np.ndarray:
         """The same at every cell that holds a character; contiguous, without a gather."""
@@ -168,19 +169,21 @@ class Laid:
         with np.errstate(over="ignore"):
             key = (self.prefix[n:] - self.prefix[:-n]) * self.inverse[: len(self.prefix) - n]
             key ^= self.state[n - 1 :]
-        return self._slot(key[self.holds[n - 1 :]], order)
+        return self._key(key[self.holds[n - 1 :]], order)
 
     def whole(self) -> np.ndarray:
-        """Slot of each whole value."""
+        """Key of each whole value."""
         with np.errstate(over="ignore"):
             key = (self.prefix[self.last + 1] - self.prefix[self.first]) * self.inverse[self.first]
-            return self._slot(key ^ (self.state[self.first - 1] + (self.last - self.first).astype(np.uint64)), len(ORDERS))
+            return self._key(key ^ (self.state[self.first - 1] + (self.last - self.first).astype(np.uint64)), len(ORDERS))
 
     @staticmethod
-    def _slot(key: np.ndarray, table: int) -> np.ndarray:
+    def _key(key: np.ndarray, table: int) -> np.ndarray:
+        """*key* mixed one to one, differently in each table."""
+        key = key ^ np.uint64((table + 1) * 0x9FB21C651E98DF25 % (1 << 64))
         key = (key ^ (key >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
         key = (key ^ (key >> np.uint64(32))) * np.uint64(0x94D049BB133111EB)
-        return (key >> np.uint64(64 - SLOT_BITS[table])).astype(np.int64)
+        return (key ^ (key >> np.uint64(31))).view(np.int64)
 
 
 def _chunks(labels: list, texts: list[str]) -> Iterator[tuple[int, int]]:
@@ -194,23 +197,8 @@ def _chunks(labels: list, texts: list[str]) -> Iterator[tuple[int, int]]:
         yield start, len(texts)
 
 
-def _gather(parts: DataFrame) -> np.ndarray:
-    """Sums of (slot, n) as one array of the model's fixed size."""
-    got = parts.groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
-    out = np.zeros(int(OFFSETS[-1]), np.int64)
-    out[got.column("slot").to_numpy()] = got.column("n").to_numpy()
-    return out
-
-
-def _emit(total: np.ndarray) -> Iterator[pa.RecordBatch]:
-    used = np.flatnonzero(total)
-    for i in range(0, len(used), 1 << 16):
-        part = used[i : i + (1 << 16)]
-        yield pa.RecordBatch.from_arrays([pa.array(part.astype(np.int32)), pa.array(total[part].astype(np.int64))], names=["slot", "n"])
-
-
 KEEP = ["tbl", "rec_id", "source", "check", "n_chars", "label_id"]
-FINAL = [f"s{k}" for k in range(len(SLOT_BITS))]
+KEYS = [f"k{k}" for k in range(len(ORDERS))]
 
 
 def readable(b: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, pa.Array, list[str]]:
@@ -241,7 +229,11 @@ def compare(text: str, others: Iterable[str]) -> int:
 
 
 def final_contexts(values: DataFrame) -> DataFrame:
-    """Every value's final contexts as slots s0, s1, ..., the last one the whole value's, and its language."""
+    """Every value with its language and its own key (whole).
+
+    The first of its kind in a batch has its final contexts' keys k0, k1, ...,
+    its text and how many copies the batch has; these are NULL for the others.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -257,80 +249,97 @@ def final_contexts(values: DataFrame) -> DataFrame:
                 elif e - s > 1:
                     for i in range(s, e):
                         check[i] = compare(texts[i], texts[s:i] + texts[i + 1 : e])
+            wholes, keys, langs = np.zeros(len(texts), np.int64), np.zeros((len(ORDERS), len(texts)), np.int64), []
             for s, e in _chunks(labels, texts):
                 laid = Laid(texts[s:e], labels[s:e], with_language=True)
-                slots = [OFFSETS[k] + laid.slots(k, laid.last) for k in range(len(ORDERS))] + [OFFSETS[-2] + laid.whole()]
                 low = laid.language & (~laid.language + 1)  # the lowest bit takes precedence
                 lang = np.array(["other", *LANGUAGES])[np.where(low > 0, np.log2(np.maximum(low, 1)).astype(int) + 1, 0)]
                 whole = laid.level & np.isin(laid.codes[laid.last], SENTENCE_ENDS) & (labels[s:e] != 4) & (labels[s:e] != 5)
                 check[s:e][whole] = -1
-                row = pa.array(rows[s:e])
-                yield pa.RecordBatch.from_arrays(
-                    [b.column("tbl").take(row), b.column("rec_id").take(row), sources.take(pa.array(places[s:e])), pa.array(check[s:e]), pa.array(lengths[s:e]), pa.array(labels[s:e].astype(np.int32)), pa.array(lang.tolist(), pa.string()), *[pa.array(x.astype(np.int32)) for x in slots]],
-                    names=[*KEEP, "lang", *FINAL],
-                )
-
-    return values.mapInArrow(run, "tbl string, rec_id long, source string, check int, n_chars int, label_id int, lang string, " + ", ".join(f"{c} int" for c in FINAL))
-
-
-def count_ends(contexts: DataFrame) -> np.ndarray:
-    """How many values end in each slot."""
+                wholes[s:e], langs = laid.whole(), [*langs, *lang.tolist()]
+                for k in range(len(ORDERS)):
+                    keys[k, s:e] = laid.slots(k, laid.last)
+            if not texts:
+                continue
+            _, first, copies = np.unique(wholes, return_index=True, return_counts=True)
+            repeats, n = np.ones(len(texts), bool), np.zeros(len(texts), np.int64)
+            repeats[first], n[first] = False, copies
+            row = pa.array(rows)
+            yield pa.RecordBatch.from_arrays(
+                [b.column("tbl").take(row), b.column("rec_id").take(row), sources.take(pa.array(places)), pa.array(check), pa.array(lengths), pa.array(labels.astype(np.int32)), pa.array(langs, pa.string()), pa.array(wholes), pa.array([None if r else t for t, r in zip(texts, repeats.tolist())], pa.string()), pa.array(n, mask=repeats), *[pa.array(x, mask=repeats) for x in keys]],
+                names=[*KEEP, "lang", "whole", "text", "n", *KEYS],
+            )
+
+    return values.mapInArrow(run, "tbl string, rec_id long, source string, check int, n_chars int, label_id int, lang string, whole long, text string, n long, " + ", ".join(f"{c} long" for c in KEYS))
+
+
+def ending_filter(contexts: DataFrame) -> np.ndarray:
+    """A bitmap of the leading digits of all keys that some value ends in; its size is a power of two within FILTER_BITS."""
+    firsts = contexts.filter("text is not null")
+    bits = int(np.clip((32 * len(ORDERS) * max(firsts.count(), 1)).bit_length(), *FILTER_BITS))
+    at = firsts.select(F.explode(F.array(*[F.shiftrightunsigned(k, 64 - bits) + 1 for k in KEYS])).alias("at"))
+    parts = at.groupBy(F.bitmap_bucket_number("at").alias("part")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("at")).alias("bits"))
+    out = np.zeros((1 << bits) // 8, np.uint8)
+    for r in parts.collect():  # parts of 4 KB, 2,048 at most
+        out[(r["part"] - 1) * 4096 : r["part"] * 4096] = np.frombuffer(r["bits"], np.uint8)
+    return out
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(int(OFFSETS[-1]), np.int32)
-        for b in batches:
-            for i in range(len(FINAL)):
-                np.add.at(total, b.column(i).to_numpy(), 1)
-        yield from _emit(total)
 
-    return _gather(contexts.select(*FINAL).mapInArrow(run, "slot int, n long"))
+def _totals(order: int, held: list[tuple[np.ndarray, np.ndarray]], ends: bool) -> pa.RecordBatch:
+    """Sums of (keys, counts) by key."""
+    keys, n = (np.concatenate(x) for x in zip(*held))
+    by = np.argsort(keys)
+    keys, n = keys[by], n[by]
+    first = np.flatnonzero(np.diff(keys, prepend=keys[0] - 1)) if len(keys) else np.zeros(0, np.int64)
+    total = np.add.reduceat(n, first) if len(keys) else n
+    none = np.zeros(len(first), np.int64)
+    return pa.RecordBatch.from_arrays([pa.array(np.full(len(first), order, np.int32)), pa.array(keys[first]), pa.array(total if ends else none), pa.array(none if ends else total)], names=["o", "key", "n_end", "n_all"])
 
 
-def count_everywhere(values: DataFrame, wanted: np.ndarray) -> np.ndarray:
-    """How often the contexts of the slots *wanted* occur anywhere in the values."""
-    sent = values.sparkSession.sparkContext.broadcast(np.packbits(wanted))
-    size = int(OFFSETS[-1])
+def count_contexts(contexts: DataFrame) -> DataFrame:
+    """(o, key, n_end, n_all) of every context that some value ends in: how many values do, and how often it occurs anywhere."""
+    sent = contexts.sparkSession.sparkContext.broadcast(ending_filter(contexts))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(size, np.int32)
+        wanted = sent.value
+        shift = np.uint64(64 - (len(wanted) * 8).bit_length() + 1)
+        held: dict[tuple[int, bool], list] = {}
+        size = 0
         for b in batches:
-            rows, _, _, texts = readable(b)
-            labels = b.column("label_id").to_numpy()[rows]
+            labels, texts, n = b.column("label_id").to_numpy(), b.column("text").to_pylist(), b.column("n").to_numpy()
             for s, e in _chunks(labels, texts):
                 laid = Laid(texts[s:e], labels[s:e])
+                times = np.repeat(n[s:e], laid.last - laid.first + 1)
                 for k in range(len(ORDERS)):
-                    total[OFFSETS[k] : OFFSETS[k + 1]] += np.bincount(laid.everywhere(k), minlength=1 << SLOT_BITS[k]).astype(np.int32)
-        total[np.unpackbits(sent.value, count=size) == 0] = 0
-        yield from _emit(total)
-
-    return _gather(values.select("label_id", "content").mapInArrow(run, "slot int, n long"))
-
-
-def train(values: DataFrame, contexts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """(ends, occurrences) of every slot that some value ends in."""
-    ends = count_ends(contexts)
-    return ends.astype(np.int32), np.maximum(count_everywhere(values, ends > 0), ends).astype(np.int32)
-
-
-def score(contexts: DataFrame, model: tuple[np.ndarray, np.ndarray]) -> DataFrame:
-    """*contexts* with logodds: ends here against goes on, after the value's final context."""
-    sent = contexts.sparkSession.sparkContext.broadcast(model)
-    base = float(model[0][: OFFSETS[1]].sum() + 1) / float(model[1][: OFFSETS[1]].sum() + 2)
-    keep = [*KEEP, "lang"]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ends, total = sent.value
-        for b in batches:
-            slots = [b.column(len(keep) + k).to_numpy() for k in range(len(FINAL))]
-            copies = np.clip(ends[slots[-1]], 1, OWN_COPIES)
-            p = np.full(len(copies), base)
-            for slot in slots[:-1]:
-                n_end, n_all = np.maximum(ends[slot] - copies, 0), np.maximum(total[slot] - copies, 0)
-                p = (n_end + BACKOFF * np.maximum(p, BACKOFF_LEAST)) / (np.maximum(n_all, n_end) + BACKOFF)
-            p = np.clip(p, 1e-9, 1 - 1e-9)
-            yield pa.RecordBatch.from_arrays([*[b.column(i) for i in range(len(keep))], pa.array(np.log(p) - np.log1p(-p))], names=[*keep, "logodds"])
-
-    return contexts.select(*keep, *FINAL).mapInArrow(run, "tbl string, rec_id long, source string, check int, n_chars int, label_id int, lang string, logodds double")
+                    keys = laid.everywhere(k)
+                    at = keys.view(np.uint64) >> shift
+                    hit = (wanted[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
+                    held.setdefault((k, False), []).append((keys[hit], times[hit]))
+                    held.setdefault((k, True), []).append((laid.slots(k, laid.last), n[s:e]))
+                    size += int(hit.sum())
+                if size > HELD:
+                    yield from (_totals(k, x, ends) for (k, ends), x in held.items())
+                    held, size = {}, 0
+        yield from (_totals(k, x, ends) for (k, ends), x in held.items())
+
+    rows = contexts.filter("text is not null").select("label_id", "text", "n").mapInArrow(run, "o int, key long, n_end long, n_all long")
+    return rows.groupBy("o", "key").agg(F.sum("n_end").alias("n_end"), F.sum("n_all").alias("n_all")).filter("n_end > 0")
+
+
+def score(contexts: DataFrame, counts: DataFrame) -> DataFrame:
+    """*contexts* with logodds: ends here against goes on, after the value's final context. One score per different value."""
+    g = counts.filter("o = 0").agg(F.sum("n_end").alias("ends"), F.sum(F.greatest("n_all", "n_end")).alias("all")).first()
+    values = contexts.filter("text is not null").groupBy("whole").agg(F.sum("n").alias("copies"), *[F.first(k).alias(k) for k in KEYS])
+    looked = values.select("whole", "copies", F.explode(F.array(*KEYS)).alias("key")).join(counts, "key")
+    of = lambda c, k: F.max(F.when(F.col("o") == k, F.col(c)))
+    values = looked.groupBy("whole").agg(F.least(F.max("copies"), F.lit(OWN_COPIES)).alias("copies"), *[of(c, k).alias(f"{c}{k}") for k in range(len(ORDERS)) for c in ("n_end", "n_all")])
+    p = F.lit(float((g["ends"] or 0) + 1) / float((g["all"] or 0) + 2))
+    for k in range(len(ORDERS)):
+        n_end, n_all = (F.greatest(F.col(f"{c}{k}") - F.col("copies"), F.lit(0)) for c in ("n_end", "n_all"))
+        values = values.withColumn("p", (n_end + BACKOFF * F.greatest(p, F.lit(BACKOFF_LEAST))) / (F.greatest(n_all, n_end) + BACKOFF))
+        p = F.col("p")
+    p = F.least(F.greatest(p, F.lit(1e-9)), F.lit(1 - 1e-9))
+    return contexts.select(*KEEP, "lang", "whole").join(values.select("whole", (F.log(p) - F.log1p(-p)).alias("logodds")), "whole").drop("whole")
 
 
 # Labels, in the order of their ids; what is none of them has the next id.
@@ -397,9 +406,12 @@ def detect(elements: DataFrame, verdicts: DataFrame) -> DataFrame:
     values = page_values(elements).unionByName(judge_values(verdicts, elements))
     contexts = materialize(final_contexts(values), "truncation-contexts")
     limits = field_limits(contexts).select("tbl", "source", "n_chars", F.lit(True).alias("at_limit"))
-    scored = score(contexts, train(values, contexts)).join(F.broadcast(limits), ["tbl", "source", "n_chars"], "left")
+    counts = materialize(count_contexts(contexts), "truncation-counts")
+    scored = score(contexts, counts).join(F.broadcast(limits), ["tbl", "source", "n_chars"], "left")
     doubt = ((F.col("check") == 1) | F.coalesce("at_limit", F.lit(False))) & (F.col("logodds") < UNLIKELY)
     scored = scored.withColumn("score", F.col("logodds") - GOES_ON * doubt.cast("int") + ENDS_TOO * (F.col("check") == -1).cast("int"))
     scored = materialize(scored, "truncation-scores")
+    discard(counts)
+    discard(contexts)
     out = scored.join(F.broadcast(thresholds(scored)), ["tbl", "label_id", "lang"], "left")
     return out.withColumn("cut", F.col("score") < F.coalesce("threshold", F.lit(DEFAULT_THRESHOLD)))

@@ -30,6 +30,31 @@ def test_everywhere_counts_each_character_once():
     assert n[int(laid.slots(0, laid.last)[0])] == 3  # "bc" in one state, three times
 
 
+def test_no_two_contexts_share_a_key():
+    rnd = random.Random(2)
+    texts = ["".join(rnd.choice("abcdefghijklmnop") for _ in range(12)) for _ in range(60000)]
+    laid = truncation.Laid(texts, np.zeros(len(texts), np.int64))
+    for k, n in enumerate(truncation.ORDERS):
+        assert len(set(laid.slots(k, laid.last).tolist())) == len({t[-n:] for t in texts})
+    assert len(set(laid.whole().tolist())) == len(set(texts))
+
+
+def test_counts_against_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(truncation, "FILTER_BITS", (18, 18))  # small, so that contexts which end no value pass the bitmap
+    rnd = random.Random(3)
+    texts = sorted({"".join(rnd.choice("abcdefghijklmnop ") for _ in range(rnd.randint(14, 60))).strip() + "q" for _ in range(6000)})
+    rows = [(i, "text", {"m": t}, T0, None, None) for i, t in enumerate(texts)]
+    contexts = truncation.final_contexts(truncation.page_values(spark.createDataFrame(rows, ELEMENT).repartition(3)))
+    counts = truncation.count_contexts(contexts).collect()
+    laid = truncation.Laid(texts, np.zeros(len(texts), np.int64))
+    for k, n in enumerate(truncation.ORDERS):
+        ends, everywhere = Counter(t[-n:] for t in texts), Counter()
+        for t in texts:
+            everywhere.update(x for j in range(1, len(t) + 1) if (x := t[max(j - n, 0) : j]) in ends)
+        got = {r.key: (r.n_end, r.n_all) for r in counts if r.o == k}
+        assert got == {key: (ends[t[-n:]], everywhere[t[-n:]]) for key, t in zip(laid.slots(k, laid.last).tolist(), texts)}
+
+
 def made(n=1200, seed=4):
     rnd = random.Random(seed)
     subjects, verbs, things = ["The parser", "This annotation batch", "The second reviewer", "A nested table", "The intake team"], ["repeats", "covers", "misreads", "contradicts"], ["the numbered list", "a torn corner", "the survey map", "the footnotes", "an empty region"]
