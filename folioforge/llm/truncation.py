@@ -3,11 +3,12 @@
 A backward character n-gram model: the contexts that end a value, read from its
 end, are counted once as ends and once wherever they occur at all, for several
 context lengths and per label. The model is a table keyed by each context's
-64-bit hash. It holds only contexts that some value ends in: a bitmap of fixed
+64-bit hash. Copies of a value (one text under one label, as folded) count once.
+It holds only contexts that some value ends in: a bitmap of fixed
 size that is broadcast drops most others where they are counted, and the table
 by full key the rest, so no two contexts are added up. A value's score is the
 log-odds of "ends here" against "goes on" after its own final context, with the
-value itself (and copies of it) left out of the counts.
+value itself, and so all its copies, left out of the counts.
 
 A context also holds how deep the text stands in brackets, environments, tags
 and rows at that point, as far as that can be told from the left.
@@ -42,8 +43,6 @@ FILTER_BITS = (18, 26)
 #: Weight of the shorter context's estimate, in occurrences, and what that estimate is at least:
 #: nested contexts repeat one observation, so their doubts must not multiply.
 BACKOFF, BACKOFF_LEAST = 2.0, 0.02
-#: Copies of a value that are left out of its own evidence; more copies than that count as evidence.
-OWN_COPIES = 4
 #: Characters handed to the counter at once, and occurrences that a task holds before it adds them up.
 CHUNK, HELD = 1 << 18, 1 << 20
 #: What the score changes by when another model's reading goes on (of an end that is unlikely already,
@@ -228,11 +227,25 @@ def compare(text: str, others: Iterable[str]) -> int:
     return goes_on
 
 
+def fold(text: str) -> str:
+    c = folded(False)[np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)]
+    return c[c != 0].tobytes().decode("utf-32-le", "surrogatepass")
+
+
+def compare_spellings(text: str, others: list[str]) -> int:
+    """The same; where no other reading ends alike as written, accents, alphabets and invisible signs are left aside."""
+    plain = compare(text, others)
+    if plain < 0:
+        return plain
+    bare = compare(fold(text), map(fold, others))
+    return bare if bare < 0 else max(plain, bare)
+
+
 def final_contexts(values: DataFrame) -> DataFrame:
     """Every value with its language and its own key (whole).
 
-    The first of its kind in a batch has its final contexts' keys k0, k1, ...,
-    its text and how many copies the batch has; these are NULL for the others.
+    The first of its kind in a batch has its final contexts' keys k0, k1, ...
+    and its text; these are NULL for the others.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -245,10 +258,10 @@ def final_contexts(values: DataFrame) -> DataFrame:
             bounds = np.flatnonzero(np.diff(rows, prepend=-1)).tolist() + [len(rows)]
             for s, e in zip(bounds, bounds[1:]):
                 if tails[rows[s]]:
-                    check[s] = -1 if compare(texts[s], tails[rows[s]]) < 0 else 0
+                    check[s] = -1 if compare_spellings(texts[s], tails[rows[s]]) < 0 else 0
                 elif e - s > 1:
                     for i in range(s, e):
-                        check[i] = compare(texts[i], texts[s:i] + texts[i + 1 : e])
+                        check[i] = compare_spellings(texts[i], texts[s:i] + texts[i + 1 : e])
             wholes, keys, langs = np.zeros(len(texts), np.int64), np.zeros((len(ORDERS), len(texts)), np.int64), []
             for s, e in _chunks(labels, texts):
                 laid = Laid(texts[s:e], labels[s:e], with_language=True)
@@ -261,16 +274,15 @@ def final_contexts(values: DataFrame) -> DataFrame:
                     keys[k, s:e] = laid.slots(k, laid.last)
             if not texts:
                 continue
-            _, first, copies = np.unique(wholes, return_index=True, return_counts=True)
-            repeats, n = np.ones(len(texts), bool), np.zeros(len(texts), np.int64)
-            repeats[first], n[first] = False, copies
+            repeats = np.ones(len(texts), bool)
+            repeats[np.unique(wholes, return_index=True)[1]] = False
             row = pa.array(rows)
             yield pa.RecordBatch.from_arrays(
-                [b.column("tbl").take(row), b.column("rec_id").take(row), sources.take(pa.array(places)), pa.array(check), pa.array(lengths), pa.array(labels.astype(np.int32)), pa.array(langs, pa.string()), pa.array(wholes), pa.array([None if r else t for t, r in zip(texts, repeats.tolist())], pa.string()), pa.array(n, mask=repeats), *[pa.array(x, mask=repeats) for x in keys]],
-                names=[*KEEP, "lang", "whole", "text", "n", *KEYS],
+                [b.column("tbl").take(row), b.column("rec_id").take(row), sources.take(pa.array(places)), pa.array(check), pa.array(lengths), pa.array(labels.astype(np.int32)), pa.array(langs, pa.string()), pa.array(wholes), pa.array([None if r else t for t, r in zip(texts, repeats.tolist())], pa.string()), *[pa.array(x, mask=repeats) for x in keys]],
+                names=[*KEEP, "lang", "whole", "text", *KEYS],
             )
 
-    return values.mapInArrow(run, "tbl string, rec_id long, source string, check int, n_chars int, label_id int, lang string, whole long, text string, n long, " + ", ".join(f"{c} long" for c in KEYS))
+    return values.mapInArrow(run, "tbl string, rec_id long, source string, check int, n_chars int, label_id int, lang string, whole long, text string, " + ", ".join(f"{c} long" for c in KEYS))
 
 
 def ending_filter(contexts: DataFrame) -> np.ndarray:
@@ -285,19 +297,16 @@ def ending_filter(contexts: DataFrame) -> np.ndarray:
     return out
 
 
-def _totals(order: int, held: list[tuple[np.ndarray, np.ndarray]], ends: bool) -> pa.RecordBatch:
-    """Sums of (keys, counts) by key."""
-    keys, n = (np.concatenate(x) for x in zip(*held))
-    by = np.argsort(keys)
-    keys, n = keys[by], n[by]
-    first = np.flatnonzero(np.diff(keys, prepend=keys[0] - 1)) if len(keys) else np.zeros(0, np.int64)
-    total = np.add.reduceat(n, first) if len(keys) else n
-    none = np.zeros(len(first), np.int64)
-    return pa.RecordBatch.from_arrays([pa.array(np.full(len(first), order, np.int32)), pa.array(keys[first]), pa.array(total if ends else none), pa.array(none if ends else total)], names=["o", "key", "n_end", "n_all"])
+def _totals(order: int, held: list[np.ndarray], ends: bool) -> pa.RecordBatch:
+    """How often each key is among *held*."""
+    keys = np.sort(np.concatenate(held))
+    first = np.flatnonzero(np.concatenate((np.ones(min(len(keys), 1), bool), keys[1:] != keys[:-1])))
+    n, none = np.diff(first, append=len(keys)), np.zeros(len(first), np.int64)
+    return pa.RecordBatch.from_arrays([pa.array(np.full(len(first), order, np.int32)), pa.array(keys[first]), pa.array(n if ends else none), pa.array(none if ends else n)], names=["o", "key", "n_end", "n_all"])
 
 
 def count_contexts(contexts: DataFrame) -> DataFrame:
-    """(o, key, n_end, n_all) of every context that some value ends in: how many values do, and how often it occurs anywhere."""
+    """(o, key, n_end, n_all) of every context that some value ends in: how many different values do, and how often it occurs anywhere in them."""
     sent = contexts.sparkSession.sparkContext.broadcast(ending_filter(contexts))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -305,37 +314,41 @@ def count_contexts(contexts: DataFrame) -> DataFrame:
         shift = np.uint64(64 - (len(wanted) * 8).bit_length() + 1)
         held: dict[tuple[int, bool], list] = {}
         size = 0
+        before = np.zeros(0, np.int64)
         for b in batches:
-            labels, texts, n = b.column("label_id").to_numpy(), b.column("text").to_pylist(), b.column("n").to_numpy()
+            whole = b.column("whole").to_numpy()
+            new = np.flatnonzero(np.diff(np.concatenate((before, whole))) if len(before) else np.diff(whole, prepend=~whole[:1]))  # copies stand side by side
+            before = whole[-1:] if len(whole) else before
+            labels, texts = b.column("label_id").to_numpy()[new], b.column("text").take(pa.array(new)).to_pylist()
             for s, e in _chunks(labels, texts):
                 laid = Laid(texts[s:e], labels[s:e])
-                times = np.repeat(n[s:e], laid.last - laid.first + 1)
                 for k in range(len(ORDERS)):
                     keys = laid.everywhere(k)
                     at = keys.view(np.uint64) >> shift
                     hit = (wanted[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
-                    held.setdefault((k, False), []).append((keys[hit], times[hit]))
-                    held.setdefault((k, True), []).append((laid.slots(k, laid.last), n[s:e]))
+                    held.setdefault((k, False), []).append(keys[hit])
+                    held.setdefault((k, True), []).append(laid.slots(k, laid.last))
                     size += int(hit.sum())
                 if size > HELD:
                     yield from (_totals(k, x, ends) for (k, ends), x in held.items())
                     held, size = {}, 0
         yield from (_totals(k, x, ends) for (k, ends), x in held.items())
 
-    rows = contexts.filter("text is not null").select("label_id", "text", "n").mapInArrow(run, "o int, key long, n_end long, n_all long")
+    firsts = contexts.filter("text is not null").select("whole", "label_id", "text")
+    rows = firsts.repartition("whole").sortWithinPartitions("whole").mapInArrow(run, "o int, key long, n_end long, n_all long")
     return rows.groupBy("o", "key").agg(F.sum("n_end").alias("n_end"), F.sum("n_all").alias("n_all")).filter("n_end > 0")
 
 
 def score(contexts: DataFrame, counts: DataFrame) -> DataFrame:
     """*contexts* with logodds: ends here against goes on, after the value's final context. One score per different value."""
     g = counts.filter("o = 0").agg(F.sum("n_end").alias("ends"), F.sum(F.greatest("n_all", "n_end")).alias("all")).first()
-    values = contexts.filter("text is not null").groupBy("whole").agg(F.sum("n").alias("copies"), *[F.first(k).alias(k) for k in KEYS])
-    looked = values.select("whole", "copies", F.explode(F.array(*KEYS)).alias("key")).join(counts, "key")
+    values = contexts.filter("text is not null").groupBy("whole").agg(*[F.first(k).alias(k) for k in KEYS])
+    looked = values.select("whole", F.explode(F.array(*KEYS)).alias("key")).join(counts, "key")
     of = lambda c, k: F.max(F.when(F.col("o") == k, F.col(c)))
-    values = looked.groupBy("whole").agg(F.least(F.max("copies"), F.lit(OWN_COPIES)).alias("copies"), *[of(c, k).alias(f"{c}{k}") for k in range(len(ORDERS)) for c in ("n_end", "n_all")])
+    values = looked.groupBy("whole").agg(*[of(c, k).alias(f"{c}{k}") for k in range(len(ORDERS)) for c in ("n_end", "n_all")])
     p = F.lit(float((g["ends"] or 0) + 1) / float((g["all"] or 0) + 2))
     for k in range(len(ORDERS)):
-        n_end, n_all = (F.greatest(F.col(f"{c}{k}") - F.col("copies"), F.lit(0)) for c in ("n_end", "n_all"))
+        n_end, n_all = (F.greatest(F.col(f"{c}{k}") - 1, F.lit(0)) for c in ("n_end", "n_all"))
         values = values.withColumn("p", (n_end + BACKOFF * F.greatest(p, F.lit(BACKOFF_LEAST))) / (F.greatest(n_all, n_end) + BACKOFF))
         p = F.col("p")
     p = F.least(F.greatest(p, F.lit(1e-9)), F.lit(1 - 1e-9))

@@ -75,6 +75,16 @@ def test_held_out_cuts(spark):
     assert len(found & cut) / len(cut) > 0.9 and len(found - cut) < 0.02 * len(rows)
 
 
+def test_copies_are_no_evidence_for_their_own_end(spark):
+    rows, _ = made()
+    cut = "The second reviewer contradicts the footno"
+    once = truncation.detect(spark.createDataFrame([*rows, (5000, "text", {"m": cut}, T0, None, None)], ELEMENT), spark.createDataFrame([], VERDICT))
+    many = truncation.detect(spark.createDataFrame([*rows, *[(5000 + i, "text", {"m": cut}, T0, None, None) for i in range(600)]], ELEMENT).repartition(5), spark.createDataFrame([], VERDICT))
+    one = [r.logodds for r in once.filter("rec_id >= 5000").collect()]
+    all_copies = [(r.logodds, r.cut) for r in many.filter("rec_id >= 5000").collect()]
+    assert len(all_copies) == 600 and all(c and abs(x - one[0]) < 1e-9 for x, c in all_copies)
+
+
 def test_other_readings_decide(spark):
     assert truncation.compare("The table lists the survey m", ["The table lists the survey map."]) == 1
     assert truncation.compare("A title – the survey map", ["Q title – the survey map"]) == -1
@@ -93,3 +103,11 @@ def test_field_limit_is_seen(spark):
     rows = [("t", "m", 100 + i % 60, 1) for i in range(300)] + [("t", "m", 240, 1)] * 40
     df = spark.createDataFrame(rows, "tbl string, source string, n_chars int, x int")
     assert [(r.source, r.n_chars) for r in truncation.field_limits(df).collect()] == [("m", 240)]
+
+
+def test_other_spellings_end_alike():
+    assert truncation.compare("Moi o gộp", ["Mỗi ô gộp"]) == 0
+    assert truncation.compare_spellings("Moi o gộp", ["Mỗi ô gộp"]) == -1
+    assert truncation.compare_spellings("Thứ​ tự đọc", ["THU TU ĐOC"]) == -1
+    assert truncation.compare_spellings("The tаble lists the survey m", ["The table lists the survey map."]) == 1
+    assert truncation.compare_spellings("A title", ["something else"]) == 0
