@@ -23,8 +23,8 @@ BROADCAST_ROWS = 200_000
 REFERENCE_BLOCK, DISTANCES = 65_536, 1 << 22
 #: Ranges in which values are ranked side by side.
 RANK_RANGES = 256
-#: Different vectors in a bucket from which it is split by more planes.
-BUCKET_ROWS = 20_000
+#: Different vectors in a bucket up to which one task compares it; larger ones go in blocks of so many, this many buckets side by side.
+BUCKET_ROWS, BUCKETS_AT_ONCE = 20_000, 16
 
 
 def _matrix(rows: list) -> np.ndarray:
@@ -151,14 +151,73 @@ def plane_code(vec: Column, width: int, bits: int = 24, seed: int = 0) -> Column
     return code
 
 
+def _unit_rows(x: np.ndarray) -> np.ndarray:
+    return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)
+
+
+def _greedy(cosine: float):
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("id")
+        x = _unit_rows(np.stack(pdf["v"].to_numpy()))
+        keep = np.ones(len(x), bool)
+        for i in range(len(x)):
+            if keep[i]:
+                keep[i + 1 :] &= x[i + 1 :] @ x[i] < cosine
+        return pdf.loc[keep, ["id", "c", "code", "v"]]
+
+    return run
+
+
+def _greedy_in_blocks(rows: DataFrame, cosine: float) -> Iterator[DataFrame]:
+    """Kept ids, block by block, of a few large buckets (id, c, v, code): what the greedy pass over each whole bucket keeps.
+
+    Of every bucket the first BUCKET_ROWS ids still there are compared in one
+    task. What they keep is broadcast and removes its near duplicates among all
+    later rows, in all tasks; the next block is taken from what is left.
+    """
+    left, old = rows, None
+    first = Window.partitionBy("c", "code").orderBy("id")
+    while True:
+        block = left.withColumn("rank", F.row_number().over(first)).filter(F.col("rank") <= BUCKET_ROWS)
+        ends = {(r["c"], r["code"]): r["last"] for r in block.groupBy("c", "code").agg(F.max("id").alias("last")).collect()}
+        if not ends:
+            break
+        kept = materialize(block.drop("rank").groupBy("c", "code").applyInPandas(_greedy(cosine), "id long, c int, code long, v array<double>"), "dedup-kept")
+        yield kept.select("id")
+        got = kept.select("c", "code", "v").toArrow()
+        bucket = list(zip(got.column("c").to_pylist(), got.column("code").to_pylist()))
+        vectors = _unit_rows(_batch(pa.concat_arrays(got.column("v").chunks)))
+        at = {b: np.flatnonzero([x == b for x in bucket]) for b in ends}
+        sent = rows.sparkSession.sparkContext.broadcast({b: (last, vectors[at[b]]) for b, last in ends.items()})
+
+        def later(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                ids, x = b.column(0).to_numpy(), _batch(b.column(2))
+                c, code = b.column(1).to_numpy(), b.column(3).to_numpy()
+                stays = np.zeros(len(ids), bool)
+                for (kc, kcode), (last, v) in sent.value.items():
+                    own = np.flatnonzero((c == kc) & (code == kcode) & (ids > last))
+                    step = max(1, DISTANCES // max(1, len(v)))
+                    for s in range(0, len(own), step):
+                        part = own[s : s + step]
+                        stays[part] = ~((_unit_rows(x[part]) @ v.T) >= cosine).any(1)
+                yield b.filter(pa.array(stays))
+
+        new = materialize(left.mapInArrow(later, "id long, c int, v array<double>, code long"), "dedup-left")
+        discard(old)
+        sent.destroy()
+        left = old = new
+    discard(old)
+
+
 def dedup_in_buckets(df: DataFrame, id_col: str, cid: str, vec_col: str, cosine: float = CLUSTER["dedup_cosine"], bits: int = 24, seed: int = 0) -> DataFrame:
     """(id, kept): first-come greedy removal of near duplicates inside each (cluster, plane code).
 
     A row is removed if a kept row before it (by id) has *cosine* with it; a
     removed row removes none. Equal vectors are collapsed before, so a bucket
     holds each vector once and a group of exact copies of any size is one row.
-    A bucket of more than BUCKET_ROWS different vectors is split by as many
-    planes again, so no task compares an unbounded group.
+    A bucket of more than BUCKET_ROWS different vectors gives the same result in
+    blocks (:func:`_greedy_in_blocks`), so no task holds an unbounded group.
     """
     rows = df.filter(F.col(vec_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(cid), F.lit(-1)).cast("int").alias("c"), F.col(vec_col).cast("array<double>").alias("v")).withColumn("h", F.xxhash64("v"))
     heads = rows.groupBy("c", "h", "v").agg(F.min("id").alias("id"))
@@ -170,26 +229,21 @@ def dedup_in_buckets(df: DataFrame, id_col: str, cid: str, vec_col: str, cosine:
             if not len(x):
                 continue
             if planes is None:
-                planes = np.random.default_rng(seed).normal(size=(x.shape[1], 2 * bits))
+                planes = np.random.default_rng(seed).normal(size=(x.shape[1], 2 * bits))[:, :bits]  # drawn as ever, so the codes stay
             side = (x @ planes > 0).astype(np.int64)
             weight = 1 << np.arange(bits, dtype=np.int64)
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), pa.array(side[:, :bits] @ weight), pa.array(side[:, bits:] @ weight)], names=["id", "c", "v", "code", "more"])
-
-    def greedy(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("id")
-        x = np.stack(pdf["v"].to_numpy())
-        x = x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)
-        keep = np.ones(len(x), bool)
-        for i in range(len(x)):
-            if keep[i]:
-                keep[i + 1 :] &= x[i + 1 :] @ x[i] < cosine
-        return pd.DataFrame({"id": pdf["id"], "kept": keep})
-
-    buckets = heads.select("id", "c", "v").mapInArrow(coded, "id long, c int, v array<double>, code long, more long")
-    large = buckets.groupBy("c", "code").agg(F.count("*").alias("n")).filter(F.col("n") > BUCKET_ROWS).select("c", "code", F.lit(True).alias("large"))
-    buckets = buckets.join(large, ["c", "code"], "left").withColumn("more", F.when(F.col("large"), F.col("more")).otherwise(0))
-    kept = buckets.select("id", "c", "v", "code", "more").groupBy("c", "code", "more").applyInPandas(greedy, "id long, kept boolean")
-    return rows.select("id").join(kept, "id", "left").select(F.col("id").alias(id_col), F.coalesce("kept", F.lit(False)).alias("kept"))
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), pa.array(side @ weight)], names=["id", "c", "v", "code"])
+
+    buckets = materialize(heads.select("id", "c", "v").mapInArrow(coded, "id long, c int, v array<double>, code long"), "dedup-buckets")
+    large = [(r["c"], r["code"]) for r in buckets.groupBy("c", "code").agg(F.count("*").alias("n")).filter(F.col("n") > BUCKET_ROWS).orderBy("c", "code").select("c", "code").collect()]  # at most rows / BUCKET_ROWS
+    names = buckets.sparkSession.createDataFrame(large, "c int, code long")
+    small = buckets.join(names, ["c", "code"], "left_anti") if large else buckets
+    kept = small.groupBy("c", "code").applyInPandas(_greedy(cosine), "id long, c int, code long, v array<double>").select("id")
+    for i in range(0, len(large), BUCKETS_AT_ONCE):
+        some = buckets.sparkSession.createDataFrame(large[i : i + BUCKETS_AT_ONCE], "c int, code long")
+        for part in _greedy_in_blocks(buckets.join(F.broadcast(some), ["c", "code"]).select("id", "c", "v", "code"), cosine):
+            kept = kept.unionByName(part)
+    return rows.select("id").join(kept.withColumn("kept", F.lit(True)), "id", "left").select(F.col("id").alias(id_col), F.coalesce("kept", F.lit(False)).alias("kept"))
 
 
 def _reference_blocks(rows: DataFrame, reference: int, seed: int) -> Iterator[np.ndarray]:

@@ -340,3 +340,24 @@ def test_large_buckets_are_split(spark, monkeypatch):
     df = spark.createDataFrame(rows, "id int, c int, v array<double>")
     got = {r.id: r.kept for r in clustering.dedup_in_buckets(df, "id", "c", "v", bits=2).collect()}
     assert set(got) == set(range(60))
+
+
+def test_large_buckets_give_the_whole_result(spark, monkeypatch):
+    rng = np.random.default_rng(2)
+    centres = rng.normal(size=(25, 6))
+    rows = [(i, int(i % 2), (centres[rng.integers(25)] + rng.normal(size=6) * 0.1).tolist()) for i in range(600)]
+    df = spark.createDataFrame(rows, "id int, c int, v array<double>").repartition(3)
+    whole = {r.id: r.kept for r in clustering.dedup_in_buckets(df, "id", "c", "v", bits=1).collect()}
+    monkeypatch.setattr(clustering, "BUCKET_ROWS", 40)
+    monkeypatch.setattr(clustering, "BUCKETS_AT_ONCE", 2, raising=False)
+    assert {r.id: r.kept for r in clustering.dedup_in_buckets(df, "id", "c", "v", bits=1).collect()} == whole
+    assert 100 < sum(whole.values()) < 500
+    want, planes = {}, np.random.default_rng(0).normal(size=(6, 2))[:, :1]
+    for b in {(c, bool(np.array(v) @ planes[:, 0] > 0)) for _, c, v in rows}:
+        held = []
+        for i, c, v in rows:
+            if (c, bool(np.array(v) @ planes[:, 0] > 0)) == b:
+                u = np.array(v) / np.linalg.norm(v)
+                want[i] = all(u @ h < 0.98 for h in held)
+                held += [u] if want[i] else []
+    assert whole == want
