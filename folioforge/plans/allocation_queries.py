@@ -10,7 +10,7 @@ from folioforge.operators import allocation, sampling
 from folioforge.operators.clustering import cluster_rarity as rarity
 from folioforge.sources.tables import table
 
-from .inputs import SQL_CELLS, SQL_NEAREST, SQL_PAGES, SQL_TREE, cells, nearest, pages, tree
+from .inputs import SQL_CELLS, SQL_NEAREST, SQL_PAGES, SQL_TREE, cells, nearest, page_sparsity, pages, tree
 
 BUDGET = 300
 
@@ -102,9 +102,8 @@ def stratified_sample(spark: SparkSession, d: str) -> DataFrame:
 
 
 def rarity_prior_allocation(spark: SparkSession, d: str) -> DataFrame:
-    """Nested allocation with cells' rarity as prior; distances to the earlier cells stand for sparsity."""
-    s = table(spark, d, "cluster_index").filter("page_id is not null and dist is not null").select(F.coalesce("assign", F.lit(-1)).alias("cid"), F.col("dist").alias("sparsity"))
-    r = rarity(s, "cid")
+    """Nested allocation with cells' rarity as prior, from the local sparsity of their pages' features."""
+    r = rarity(pages(spark, d).select("page_id", "cid").join(page_sparsity(spark, d), "page_id"), "cid")
     return allocation.allocate_nested(_weighted(spark, d).join(r, "cid", "left"), ["subtask"], "text", prior="rarity").select("subtask", "cid", "tier", "n", "quota")
 
 

@@ -9,7 +9,7 @@ from folioforge.functions.vector import unit
 from folioforge.operators import clustering, evaluation
 from folioforge.sources.tables import table
 
-from .inputs import SQL_NEAREST, SQL_PAGES, centroids, nearest, pages
+from .inputs import SQL_NEAREST, SQL_PAGES, WIDTH, centroids, nearest, page_sparsity, pages
 
 
 def nearest_centroid(spark: SparkSession, d: str) -> DataFrame:
@@ -17,9 +17,9 @@ def nearest_centroid(spark: SparkSession, d: str) -> DataFrame:
 
 
 def kmeans_lloyd_step(spark: SparkSession, d: str) -> DataFrame:
-    """New centroids after one assignment: size and the first members of the mean."""
+    """New centroids after one assignment: size and all members of the mean."""
     n = nearest(spark, d).select("vec_id", "cid").join(table(spark, d, "embeddings").select("vec_id", "embedding"), "vec_id")
-    return n.groupBy("cid").agg(F.count("*").alias("n"), *[F.round(F.avg(F.col("embedding")[i].cast("double")), 6).alias(f"m{i}") for i in range(4)])
+    return n.groupBy("cid").agg(F.count("*").alias("n"), *[F.round(F.avg(F.col("embedding")[i].cast("double")), 6).alias(f"m{i}") for i in range(WIDTH)])
 
 
 def kmeans_flattened(spark: SparkSession, d: str) -> DataFrame:
@@ -64,10 +64,9 @@ def cluster_rarity(spark: SparkSession, d: str) -> DataFrame:
 
 
 def rarity_check(spark: SparkSession, d: str) -> DataFrame:
-    """Does the distance to the earlier cell tell medium and hard pages?"""
+    """Does the local sparsity of a page's features tell medium and hard pages?"""
     p = pages(spark, d).select("page_id", "tier")
-    c = table(spark, d, "cluster_index").filter("page_id is not null").groupBy("page_id").agg(F.max("dist").alias("sparsity"))
-    return clustering.rarity_check(p.join(c, "page_id"))
+    return clustering.rarity_check(p.join(page_sparsity(spark, d), "page_id"))
 
 
 def purity_nmi(spark: SparkSession, d: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+from datetime import datetime
 
 import numpy as np
 import pytest
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 
 from folioforge.functions.constants import GAINS, SAMPLER, TIERS
 from folioforge.operators import allocation, assembly, calls, clustering, consistency, elements, evaluation, quality, refine, sampling
-from folioforge.plans import cluster_queries
+from folioforge.plans import cluster_queries, inputs
 
 
 def test_tier_table(spark):
@@ -361,3 +362,22 @@ def test_large_buckets_give_the_whole_result(spark, monkeypatch):
                 want[i] = all(u @ h < 0.98 for h in held)
                 held += [u] if want[i] else []
     assert whole == want
+
+
+def test_lloyd_step_has_every_member(spark):
+    d = "/root/testdata/sf0.001"
+    got = cluster_queries.kmeans_lloyd_step(spark, d).first().asDict()
+    assert [c for c in got if c[0] == "m"] == [f"m{i}" for i in range(64)] and all(got[f"m{i}"] is not None for i in range(64))
+
+
+def test_rarity_is_of_the_pages_features(spark, tmp_path):
+    rng = np.random.default_rng(8)
+    x = [rng.normal(size=32) + 8 if i % 2 else rng.normal(size=32) * 4 + 1 for i in range(240)]
+    rows = [(i, "text", 0, 1.0, "hard" if i % 2 == 0 else "easy", v.tolist(), datetime(2025, 1, 1)) for i, v in enumerate(x)]  # one distance for all: it tells nothing
+    spark.createDataFrame(rows, "page_id long, subtask string, assign int, dist double, tier string, features array<float>, indexed_at timestamp").write.parquet(f"{tmp_path}/cluster_index.parquet")
+    u = np.array([v / np.linalg.norm(v) for v in np.array(x, np.float32).astype(float)])
+    want = np.sort(np.linalg.norm(u[:, None] - u[None], axis=2), axis=1)[:, 15]
+    got = {r.page_id: r.sparsity for r in inputs.page_sparsity(spark, str(tmp_path)).collect()}
+    assert len(got) == 240 and all(abs(got[i] - want[i]) < 1e-6 for i in got)
+    r = cluster_queries.rarity_check(spark, str(tmp_path)).first()
+    assert r.n == 240 and r.rho > 0.5 and r.tau == 1.0
