@@ -13,10 +13,14 @@ value itself, and so all its copies, left out of the counts.
 A context also holds how deep the text stands in brackets, environments, tags
 and rows at that point, as far as that can be told from the left.
 
-Thresholds come from the scores' histogram of each language and column: the
-emptiest stretch between the two humps. Afterwards an exact check compares the
-value's last characters with the other models' readings of the same element, and
-lets stand what ends a sentence with nothing left open.
+The model adapts to the element: the estimate from all values is the prior of the
+same estimate from the other models' readings of the element (of a verdict: all
+its element's readings), whole, at the contexts of LOCAL_ORDERS. Other readings
+are one more source of counts; no rule overrides the log-odds.
+
+A value is cut if its log-odds are below the threshold of its language and
+column: the emptiest stretch between the two humps of the group's histogram.
+Languages are told by a model trained on labelled documents (``language``).
 
 Defined results: NULL, blank and invisible values are no values; a record delivered twice
 counts once per source; labels that are NULL are a column of their own.
@@ -24,7 +28,7 @@ counts once per source; labels that are NULL are a column of their own.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 from functools import cache
 
 import numpy as np
@@ -35,6 +39,7 @@ from pyspark.sql import functions as F
 from folioforge.session import discard, materialize
 
 from .charfold import flatten, folded
+from .language import Languages, fit_languages
 
 #: Context lengths.
 ORDERS = (2, 4, 7, 12)
@@ -45,18 +50,15 @@ FILTER_BITS = (18, 26)
 BACKOFF, BACKOFF_LEAST = 2.0, 0.02
 #: Characters handed to the counter at once, and occurrences that a task holds before it adds them up.
 CHUNK, HELD = 1 << 18, 1 << 20
-#: What the score changes by when another model's reading goes on (of an end that is unlikely already,
-#: below UNLIKELY), when the value has just a field limit's length, or when another reading ends at the same place, which two cuts hardly ever do.
-GOES_ON, ENDS_TOO, UNLIKELY = 3.0, 20.0, -1.0
-# Signs that end a sentence or a list item, as folded code points.
-SENTENCE_ENDS = [ord(c) for c in ".!?;。！？；"]
+#: Context lengths of the counts in an element's other readings, and the weight of the shorter context's estimate there.
+LOCAL_ORDERS, LOCAL_BACKOFF = (7, 12), 4.0
+#: Slots of the table of elements that have verdicts, which is broadcast to leave most others out of a shuffle.
+ELEMENT_SLOTS = 1 << 20
 #: A length is a field limit of a source if it is met this often as its neighbours within LIMIT_REACH, and LIMIT_LEAST times.
 LIMIT_TIMES, LIMIT_REACH, LIMIT_LEAST = 6.0, 6, 8
-#: Range and bins of the score histograms; default threshold and rows from which a group has its own.
+#: Range and bins of the score histograms; the threshold of an empty histogram, and how many rows the histogram of all values weighs in a group's.
 LOW, HIGH, BINS = -12.0, 8.0, 80
-DEFAULT_THRESHOLD, MIN_ROWS = -2.5, 200
-#: Range in which a group's own threshold may lie.
-THRESHOLD_RANGE = (-4.0, -1.5)
+DEFAULT_THRESHOLD, PRIOR_ROWS = -2.5, 200
 
 PAD = max(ORDERS)
 BASE = 0x9E3779B97F4A7C15
@@ -85,30 +87,16 @@ def steps() -> np.ndarray:
     return t
 
 
-# Languages of the thresholds, told by letters that only they have, in order of precedence.
-LANGUAGES = ["zh", "ru", "vi", "de", "es", "fr"]
-
-
-@cache
-def language_bits() -> np.ndarray:
-    t = np.zeros(0x110000, np.uint8)
-    t[0x4E00:0xA000], t[0x430:0x450] = 1, 2
-    t[0x1EA0:0x1EFA] = 4
-    for bit, letters in ((4, "\u0103\u0111\u01a1\u01b0"), (8, "äöüß"), (16, "ñ¿¡ó"), (32, "çèêœù")):
-        t[[ord(c) for c in letters]] |= bit
-    return t
-
-
 class Laid:
     """Values laid end to end, each after PAD cells, with the state at every cell."""
 
-    def __init__(self, texts: list[str], labels: np.ndarray, with_language: bool = False):
+    def __init__(self, texts: list[str], labels: np.ndarray, languages: Languages | None = None):
         sizes = np.fromiter(map(len, texts), np.int64, len(texts))
         gap = "\x01" * PAD
         codes = np.frombuffer((gap + gap.join(texts)).encode("utf-32-le", "surrogatepass"), np.uint32)
         self.n = len(texts)
-        if with_language:
-            self.language = np.bitwise_or.reduceat(language_bits()[codes], np.cumsum(sizes + PAD) - sizes - PAD)
+        if languages is not None:
+            self.languages = languages.of(codes, np.cumsum(sizes + PAD) - sizes - PAD)
         c = folded(True)[codes]
         if not c.all():  # drop what leaves no trace
             kept = c != 0
@@ -130,7 +118,6 @@ class Laid:
         run = np.cumsum(step, dtype=np.int32)
         per_value = sizes + PAD
         depth = np.clip(run - np.repeat(run[self.first - 1], per_value), -1, 2) + 1
-        self.level = depth[self.last] == 1  # nothing is left open at the end
         state = np.repeat(labels.astype(np.int32) * 16, per_value) + depth * 4
         for i in np.flatnonzero((c[self.first] == 124) & (sizes > 2)):
             self._rows(state, int(self.first[i]), int(self.last[i]) + 1)
@@ -196,7 +183,8 @@ def _chunks(labels: list, texts: list[str]) -> Iterator[tuple[int, int]]:
         yield start, len(texts)
 
 
-KEEP = ["tbl", "rec_id", "source", "check", "n_chars", "label_id"]
+LOCAL = [f"{c}{n}" for n in LOCAL_ORDERS for c in ("local_end", "local_all")]
+KEEP = ["tbl", "rec_id", "source", "n_chars", "label_id", *LOCAL]
 KEYS = [f"k{k}" for k in range(len(ORDERS))]
 
 
@@ -209,80 +197,66 @@ def readable(b: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, pa.Array, list[
     return rows[keep], places[keep], sources, [texts[i] for i in keep.tolist()]
 
 
-def compare(text: str, others: Iterable[str]) -> int:
-    """-1 if another reading ends with the same characters, 1 if one goes on after them, else 0.
-
-    The last quarter (6 to 12 characters) is compared; it must be found no
-    earlier than 12 characters before where it stands here.
-    """
-    size = len(text)
-    tail = text[-max(6, min(12, size // 4)) :]
-    goes_on = 0
-    for o in others:
-        if o.endswith(tail):
-            return -1
-        at = o.find(tail, max(size - len(tail) - 13, 0))
-        if at >= 0:
-            goes_on = 1
-    return goes_on
-
-
-def fold(text: str) -> str:
-    c = folded(False)[np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)]
-    return c[c != 0].tobytes().decode("utf-32-le", "surrogatepass")
+def spelt_plainly(texts: list[str]) -> list[str]:
+    """The texts as base letters of one alphabet, each after PAD cells, so readings in several spellings compare."""
+    gap = "\x01" * PAD
+    out = []
+    for s, e in _chunks([], texts):
+        codes = folded(False)[np.frombuffer(gap.join(["", *texts[s:e]]).encode("utf-32-le", "surrogatepass"), np.uint32)]
+        out += [gap + t for t in codes[codes != 0].tobytes().decode("utf-32-le", "surrogatepass").split(gap)[1:]]
+    return out
 
 
-def compare_spellings(text: str, others: list[str]) -> int:
-    """The same; where no other reading ends alike as written, accents, alphabets and invisible signs are left aside."""
-    plain = compare(text, others)
-    if plain < 0:
-        return plain
-    bare = compare(fold(text), map(fold, others))
-    return bare if bare < 0 else max(plain, bare)
+def local_counts(text: str, others: list[str]) -> list[int]:
+    """For each of LOCAL_ORDERS: how many of *others* end in the final context of *text*, and how often they hold it."""
+    out = []
+    for n in LOCAL_ORDERS:
+        tail = text[-n:]
+        out += [sum(o.endswith(tail) for o in others), sum(o.count(tail) for o in others)]
+    return out
 
 
-def final_contexts(values: DataFrame) -> DataFrame:
-    """Every value with its language and its own key (whole).
+def final_contexts(values: DataFrame, languages: Languages) -> DataFrame:
+    """Every value with its language, its own key (whole) and its counts in the element's other readings.
 
     The first of its kind in a batch has its final contexts' keys k0, k1, ...
     and its text; these are NULL for the others.
     """
+    known = values.sparkSession.sparkContext.broadcast(languages)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             rows, places, sources, texts = readable(b)
+            if not texts:
+                continue
             labels = b.column("label_id").to_numpy()[rows]
             lengths = np.fromiter(map(len, texts), np.int32, len(texts))
-            tails = b.column("tails").to_pylist()
-            check = np.zeros(len(texts), np.int32)
+            beside = b.column("readings").to_pylist()
+            plain = spelt_plainly(texts)
+            local = np.zeros((len(texts), len(LOCAL)), np.int32)
             bounds = np.flatnonzero(np.diff(rows, prepend=-1)).tolist() + [len(rows)]
             for s, e in zip(bounds, bounds[1:]):
-                if tails[rows[s]]:
-                    check[s] = -1 if compare_spellings(texts[s], tails[rows[s]]) < 0 else 0
-                elif e - s > 1:
+                given = beside[rows[s]]
+                given = spelt_plainly([t.rstrip() for t in given if t]) if given else []
+                if given or e - s > 1:
                     for i in range(s, e):
-                        check[i] = compare_spellings(texts[i], texts[s:i] + texts[i + 1 : e])
+                        local[i] = local_counts(plain[i], plain[s:i] + plain[i + 1 : e] + given)
             wholes, keys, langs = np.zeros(len(texts), np.int64), np.zeros((len(ORDERS), len(texts)), np.int64), []
             for s, e in _chunks(labels, texts):
-                laid = Laid(texts[s:e], labels[s:e], with_language=True)
-                low = laid.language & (~laid.language + 1)  # the lowest bit takes precedence
-                lang = np.array(["other", *LANGUAGES])[np.where(low > 0, np.log2(np.maximum(low, 1)).astype(int) + 1, 0)]
-                whole = laid.level & np.isin(laid.codes[laid.last], SENTENCE_ENDS) & (labels[s:e] != 4) & (labels[s:e] != 5)
-                check[s:e][whole] = -1
-                wholes[s:e], langs = laid.whole(), [*langs, *lang.tolist()]
+                laid = Laid(texts[s:e], labels[s:e], known.value)
+                wholes[s:e], langs = laid.whole(), [*langs, *laid.languages]
                 for k in range(len(ORDERS)):
                     keys[k, s:e] = laid.slots(k, laid.last)
-            if not texts:
-                continue
             repeats = np.ones(len(texts), bool)
             repeats[np.unique(wholes, return_index=True)[1]] = False
             row = pa.array(rows)
             yield pa.RecordBatch.from_arrays(
-                [b.column("tbl").take(row), b.column("rec_id").take(row), sources.take(pa.array(places)), pa.array(check), pa.array(lengths), pa.array(labels.astype(np.int32)), pa.array(langs, pa.string()), pa.array(wholes), pa.array([None if r else t for t, r in zip(texts, repeats.tolist())], pa.string()), *[pa.array(x, mask=repeats) for x in keys]],
+                [b.column("tbl").take(row), b.column("rec_id").take(row), sources.take(pa.array(places)), pa.array(lengths), pa.array(labels.astype(np.int32)), *[pa.array(x) for x in local.T], pa.array(langs, pa.string()), pa.array(wholes), pa.array([None if r else t for t, r in zip(texts, repeats.tolist())], pa.string()), *[pa.array(x, mask=repeats) for x in keys]],
                 names=[*KEEP, "lang", "whole", "text", *KEYS],
             )
 
-    return values.mapInArrow(run, "tbl string, rec_id long, source string, check int, n_chars int, label_id int, lang string, whole long, text string, " + ", ".join(f"{c} long" for c in KEYS))
+    counts = ", ".join(f"{c} int" for c in LOCAL)
+    return values.mapInArrow(run, f"tbl string, rec_id long, source string, n_chars int, label_id int, {counts}, lang string, whole long, text string, " + ", ".join(f"{c} long" for c in KEYS))
 
 
 def ending_filter(contexts: DataFrame) -> np.ndarray:
@@ -351,8 +325,21 @@ def score(contexts: DataFrame, counts: DataFrame) -> DataFrame:
         n_end, n_all = (F.greatest(F.col(f"{c}{k}") - 1, F.lit(0)) for c in ("n_end", "n_all"))
         values = values.withColumn("p", (n_end + BACKOFF * F.greatest(p, F.lit(BACKOFF_LEAST))) / (F.greatest(n_all, n_end) + BACKOFF))
         p = F.col("p")
+    scored = contexts.select(*KEEP, "lang", "whole").join(values.select("whole", p.alias("p")), "whole").drop("whole")
+    return scored.withColumn("general", log_odds(F.col("p"))).withColumn("logodds", log_odds(adapted(F.col("p")))).drop("p")
+
+
+def log_odds(p: Column) -> Column:
     p = F.least(F.greatest(p, F.lit(1e-9)), F.lit(1 - 1e-9))
-    return contexts.select(*KEEP, "lang", "whole").join(values.select("whole", (F.log(p) - F.log1p(-p)).alias("logodds")), "whole").drop("whole")
+    return F.log(p) - F.log1p(-p)
+
+
+def adapted(p: Column) -> Column:
+    """The chance of an end *p* after the counts in the element's other readings."""
+    for n in LOCAL_ORDERS:
+        ends, everywhere = F.col(f"local_end{n}"), F.col(f"local_all{n}")
+        p = (ends + LOCAL_BACKOFF * p) / (F.greatest(everywhere, ends) + LOCAL_BACKOFF)
+    return p
 
 
 # Labels, in the order of their ids; what is none of them has the next id.
@@ -365,18 +352,22 @@ def label_id(label: Column) -> Column:
 
 
 def page_values(elements: DataFrame) -> DataFrame:
-    """(tbl, rec_id, label_id, content, tails): an element's readings; they are compared with each other."""
-    return elements.filter("element_id is not null and content is not null").select(F.lit("page_element").alias("tbl"), F.col("element_id").alias("rec_id"), label_id(F.col("label")).alias("label_id"), "content", F.lit(None).cast("array<string>").alias("tails"))
+    """(tbl, rec_id, label_id, content, readings): an element's readings; they are compared with each other."""
+    return elements.filter("element_id is not null and content is not null").select(F.lit("page_element").alias("tbl"), F.col("element_id").alias("rec_id"), label_id(F.col("label")).alias("label_id"), "content", F.lit(None).cast("array<string>").alias("readings"))
 
 
 def judge_values(verdicts: DataFrame, elements: DataFrame) -> DataFrame:
-    """The same of a verdict's correction, under its element's label and beside the ends of its element's readings."""
+    """The same of a verdict's correction, under its element's label and beside its element's readings, whole.
+
+    Elements without a verdict are left out before the shuffle as far as a
+    table of at most ELEMENT_SLOTS rows can tell, the rest of them by the join.
+    """
     v = verdicts.filter("verdict_id is not null and length(trim(corrected)) > 0").select("verdict_id", F.coalesce("judge_model", F.lit("")).alias("judge_model"), "element_id", "corrected")
-    tails = F.transform(F.map_values("content"), lambda x: F.right(F.rtrim(x), F.lit(12)))
-    # Only the ends of the readings are shuffled, cut before the join.
-    e = elements.filter("element_id is not null").select("element_id", F.struct("loaded_at", label_id(F.col("label")).alias("label_id"), tails.alias("tails")).alias("r"))
-    e = e.join(v.select("element_id").distinct(), "element_id", "left_semi").groupBy("element_id").agg(F.max("r").alias("r")).select("element_id", "r.label_id", "r.tails")
-    return v.join(e, "element_id", "left").select(F.lit("judge_verdict").alias("tbl"), F.col("verdict_id").alias("rec_id"), F.coalesce("label_id", F.lit(6)).alias("label_id"), F.create_map("judge_model", "corrected").alias("content"), F.filter("tails", lambda t: t.isNotNull()).alias("tails"))
+    slot = F.pmod(F.xxhash64("element_id"), F.lit(ELEMENT_SLOTS)).cast("int")
+    e = elements.filter("element_id is not null").select("element_id", F.struct("loaded_at", label_id(F.col("label")).alias("label_id"), F.map_values("content").alias("readings")).alias("r"))
+    e = e.withColumn("slot", slot).join(F.broadcast(v.select(slot.alias("slot")).distinct()), "slot", "left_semi").drop("slot")
+    e = e.groupBy("element_id").agg(F.max("r").alias("r")).select("element_id", "r.label_id", "r.readings")
+    return v.join(e, "element_id", "left").select(F.lit("judge_verdict").alias("tbl"), F.col("verdict_id").alias("rec_id"), F.coalesce("label_id", F.lit(6)).alias("label_id"), F.create_map("judge_model", "corrected").alias("content"), F.filter("readings", lambda t: t.isNotNull()).alias("readings"))
 
 
 def field_limits(values: DataFrame) -> DataFrame:
@@ -388,43 +379,49 @@ def field_limits(values: DataFrame) -> DataFrame:
 
 
 def thresholds(scored: DataFrame) -> DataFrame:
-    """(tbl, label_id, lang, threshold): the emptiest stretch of each group's score histogram.
+    """(tbl, label_id, lang, threshold): the emptiest stretch of each group's histogram of log-odds.
 
-    The table of counts has at most bins x languages x columns rows.
+    The table of counts has at most bins x languages x columns rows. The
+    histogram of all values weighs PRIOR_ROWS rows in each group's, so that few
+    rows decide little, without a switch at some number of them.
     """
     width = (HIGH - LOW) / BINS
-    bin_of = F.greatest(F.least(F.floor((F.col("score") - LOW) / width), F.lit(BINS - 1)), F.lit(0)).cast("int")
+    bin_of = F.greatest(F.least(F.floor((F.col("logodds") - LOW) / width), F.lit(BINS - 1)), F.lit(0)).cast("int")
     counts: dict[tuple, np.ndarray] = {}
     for r in scored.groupBy("tbl", "label_id", "lang", bin_of.alias("bin")).agg(F.count("*").alias("n")).collect():
         counts.setdefault((r["tbl"], r["label_id"], r["lang"]), np.zeros(BINS))[r["bin"]] = r["n"]
-    rows = [(*k, float(valley(h, width))) for k, h in sorted(counts.items())]
+    everything = sum(counts.values(), np.zeros(BINS))
+    prior = everything * (PRIOR_ROWS / max(everything.sum(), 1.0))
+    rows = [(*k, float(valley(h + prior, width))) for k, h in sorted(counts.items())]
     return scored.sparkSession.createDataFrame(rows, "tbl string, label_id int, lang string, threshold double")
 
 
 def valley(histogram: np.ndarray, width: float) -> float:
-    """Middle of the emptiest stretch of the smoothed histogram in the allowed range."""
-    if histogram.sum() < MIN_ROWS:
+    """Middle of the emptiest stretch between the two humps: between the mean of what is below the default and of what is above."""
+    middle = LOW + (np.arange(len(histogram)) + 0.5) * width
+    below = middle < DEFAULT_THRESHOLD
+    if not histogram[below].sum() or not histogram[~below].sum():
         return DEFAULT_THRESHOLD
-    smooth = np.convolve(histogram, np.ones(3) / 3, mode="same")
-    a, b = (int((t - LOW) / width) for t in THRESHOLD_RANGE)
-    part = smooth[a : b + 1]
-    low = np.flatnonzero(part <= part.min() + 1e-9)
-    # Of equally empty bins the one nearest to the default.
-    at = min(low, key=lambda i: abs(LOW + (a + i + 0.5) * width - DEFAULT_THRESHOLD))
-    return LOW + (a + at + 0.5) * width
+    ends = [np.average(middle[side], weights=histogram[side]) for side in (below, ~below)]
+    between = np.flatnonzero((middle > ends[0]) & (middle < ends[1]))
+    if not len(between):
+        return DEFAULT_THRESHOLD
+    smooth = np.convolve(histogram, np.ones(3) / 3, mode="same")[between]
+    low = between[smooth <= smooth.min() * (1 + 1e-9)]
+    return float(middle[min(low, key=lambda i: abs(middle[i] - DEFAULT_THRESHOLD))])  # of equally empty ones the nearest to the default
+
 
+def detect(elements: DataFrame, verdicts: DataFrame, labelled: DataFrame | None = None) -> DataFrame:
+    """Every value: tbl, rec_id, source, label_id, lang, n_chars, its counts in other readings, general, logodds, threshold, cut.
 
-def detect(elements: DataFrame, verdicts: DataFrame) -> DataFrame:
-    """Every value: tbl, rec_id, source, label_id, lang, logodds, check, score, threshold, cut."""
+    *general* is the log-odds without the element's own counts; *labelled*
+    (doc_id, text, lang) trains the languages.
+    """
     values = page_values(elements).unionByName(judge_values(verdicts, elements))
-    contexts = materialize(final_contexts(values), "truncation-contexts")
-    limits = field_limits(contexts).select("tbl", "source", "n_chars", F.lit(True).alias("at_limit"))
+    contexts = materialize(final_contexts(values, fit_languages(labelled)), "truncation-contexts")
     counts = materialize(count_contexts(contexts), "truncation-counts")
-    scored = score(contexts, counts).join(F.broadcast(limits), ["tbl", "source", "n_chars"], "left")
-    doubt = ((F.col("check") == 1) | F.coalesce("at_limit", F.lit(False))) & (F.col("logodds") < UNLIKELY)
-    scored = scored.withColumn("score", F.col("logodds") - GOES_ON * doubt.cast("int") + ENDS_TOO * (F.col("check") == -1).cast("int"))
-    scored = materialize(scored, "truncation-scores")
+    scored = materialize(score(contexts, counts), "truncation-scores")
     discard(counts)
     discard(contexts)
     out = scored.join(F.broadcast(thresholds(scored)), ["tbl", "label_id", "lang"], "left")
-    return out.withColumn("cut", F.col("score") < F.coalesce("threshold", F.lit(DEFAULT_THRESHOLD)))
+    return out.withColumn("cut", F.col("logodds") < F.coalesce("threshold", F.lit(DEFAULT_THRESHOLD)))

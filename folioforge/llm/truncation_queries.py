@@ -11,7 +11,7 @@ from . import truncation
 
 
 def _detected(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return truncation.detect(table(spark, sf_dir, "page_element"), table(spark, sf_dir, "judge_verdict"))
+    return truncation.detect(table(spark, sf_dir, "page_element"), table(spark, sf_dir, "judge_verdict"), table(spark, sf_dir, "documents"))
 
 
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -26,9 +26,9 @@ def p4_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p4_limits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lengths at which a model's values pile up: its field limits."""
-    elements = table(spark, sf_dir, "page_element")
-    values = truncation.page_values(elements).unionByName(truncation.judge_values(table(spark, sf_dir, "judge_verdict"), elements))
-    return truncation.field_limits(truncation.final_contexts(values))
+    e = table(spark, sf_dir, "page_element").filter("element_id is not null").select(F.lit("page_element").alias("tbl"), F.explode("content").alias("source", "text"))
+    v = table(spark, sf_dir, "judge_verdict").filter("verdict_id is not null").select(F.lit("judge_verdict").alias("tbl"), F.coalesce("judge_model", F.lit("")).alias("source"), F.col("corrected").alias("text"))
+    return truncation.field_limits(e.unionByName(v).select("tbl", "source", F.length(F.regexp_replace("text", r"\s+$", "")).alias("n_chars")))
 
 
 QUERIES = {"p4_found": p4_found, "p4_rates": p4_rates, "p4_limits": p4_limits}

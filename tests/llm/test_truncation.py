@@ -7,6 +7,7 @@ from datetime import datetime
 import numpy as np
 
 from folioforge.llm import truncation
+from folioforge.llm.language import UNKNOWN, fit_languages
 
 ELEMENT = "element_id long, label string, content map<string,string>, loaded_at timestamp, tbl string, source string"
 VERDICT = "verdict_id long, element_id long, judge_model string, corrected string"
@@ -44,7 +45,7 @@ def test_counts_against_brute_force(spark, monkeypatch):
     rnd = random.Random(3)
     texts = sorted({"".join(rnd.choice("abcdefghijklmnop ") for _ in range(rnd.randint(14, 60))).strip() + "q" for _ in range(6000)})
     rows = [(i, "text", {"m": t}, T0, None, None) for i, t in enumerate(texts)]
-    contexts = truncation.final_contexts(truncation.page_values(spark.createDataFrame(rows, ELEMENT).repartition(3)))
+    contexts = truncation.final_contexts(truncation.page_values(spark.createDataFrame(rows, ELEMENT).repartition(3)), fit_languages(None))
     counts = truncation.count_contexts(contexts).collect()
     laid = truncation.Laid(texts, np.zeros(len(texts), np.int64))
     for k, n in enumerate(truncation.ORDERS):
@@ -85,10 +86,58 @@ def test_copies_are_no_evidence_for_their_own_end(spark):
     assert len(all_copies) == 600 and all(c and abs(x - one[0]) < 1e-9 for x, c in all_copies)
 
 
-def test_other_readings_decide(spark):
-    assert truncation.compare("The table lists the survey m", ["The table lists the survey map."]) == 1
-    assert truncation.compare("A title – the survey map", ["Q title – the survey map"]) == -1
-    assert truncation.compare("A title", ["something else"]) == 0
+def counted(text, others):
+    plain = truncation.spelt_plainly([text, *others])
+    return truncation.local_counts(plain[0], plain[1:])
+
+
+def test_other_readings_are_counted():
+    assert counted("The table lists the survey m", ["The table lists the survey map."]) == [0, 1, 0, 1]
+    assert counted("A title - the survey map", ["Q title - the survey map"]) == [1, 1, 1, 1]
+    assert counted("A title", ["something else"]) == [0, 0, 0, 0]
+    assert counted("a map", ["a map", "a map of the a map"]) == [1, 2, 1, 2]  # short values compare from their beginning
+
+
+def test_other_spellings_are_counted_alike():
+    assert counted("Moi o gộp", ["Mỗi ô gộp"]) == [1, 1, 1, 1]
+    assert counted("Thứ​ tự đọc", ["THU TU ĐOC"]) == [1, 1, 1, 1]
+    assert counted("The tаble lists the survey m", ["The table lists the survey map."]) == [0, 1, 0, 1]
+
+
+def test_whole_readings_are_counted_beside_verdicts(spark):
+    rows = [(1, "text", {"m": "The second reviewer repeats the survey map of the north." + " And more." * 40}, T0, None, None), (2, "text", {"m": "x"}, T0, None, None)]
+    verdicts = [(1, 1, "j", "The second reviewer repeats the survey m"), (2, 2, "j", "The second reviewer repeats the survey m")]
+    got = {r.rec_id: (r.local_end12, r.local_all12) for r in truncation.detect(spark.createDataFrame(rows, ELEMENT), spark.createDataFrame(verdicts, VERDICT)).filter("tbl = 'judge_verdict'").collect()}
+    assert got == {1: (0, 1), 2: (0, 0)}  # far from the reading's end, and the element's own readings only
+
+
+def test_element_counts_adapt_the_estimate(spark):
+    rows, _ = made()
+    title = "The second reviewer contradicts"
+    same = (5000, "text", {"m": title, "p": title + "", "q": "The  second reviewer contradicts"}, T0, None, None)
+    cut = (5001, "text", {"m": title, "p": title + " the footnotes on page 7.", "q": title + " the footnotes on page 7."}, T0, None, None)
+    got = truncation.detect(spark.createDataFrame([*rows, same, cut], ELEMENT), spark.createDataFrame([], VERDICT)).filter("rec_id >= 5000 and source = 'm'").collect()
+    assert {r.rec_id: r.cut for r in got} == {5000: False, 5001: True} and abs(got[0].general - got[1].general) < 1e-9
+
+
+def test_valley_lies_between_the_humps():
+    width = (truncation.HIGH - truncation.LOW) / truncation.BINS
+    middle = truncation.LOW + (np.arange(truncation.BINS) + 0.5) * width
+    two = 1000 * np.exp(-((middle - 1) ** 2)) + 100 * np.exp(-((middle + 7) ** 2))
+    assert -6 < truncation.valley(two, width) < -1
+    assert truncation.valley(np.zeros(truncation.BINS), width) == truncation.DEFAULT_THRESHOLD
+
+
+def test_languages_are_learned(spark):
+    words = {"en": "the table of the page with margins", "vi": "bảng của trang này với chữ đậm", "ru": "таблица этой страницы с полями"}
+    rows = [(i, " ".join(random.Random(i).sample(words[lang].split(), 5)), tag) for i, (lang, tag) in enumerate([("en", "EN"), ("vi", "vi-VN"), ("ru", "ru")] * 40)] + [(900, None, "en"), (901, "x", None), (902, "x", "")]
+    model = fit_languages(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert model.names == ["en", "ru", "vi"]
+    texts = list(words.values())
+    codes = np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32)
+    assert model.of(codes, np.cumsum([0, *map(len, texts[:-1])])) == ["en", "vi", "ru"]
+    empty = fit_languages(spark.createDataFrame([], "doc_id long, text string, lang string"))
+    assert empty.of(codes, np.array([0])) == [UNKNOWN]
 
 
 def test_odd_rows(spark):
@@ -103,11 +152,3 @@ def test_field_limit_is_seen(spark):
     rows = [("t", "m", 100 + i % 60, 1) for i in range(300)] + [("t", "m", 240, 1)] * 40
     df = spark.createDataFrame(rows, "tbl string, source string, n_chars int, x int")
     assert [(r.source, r.n_chars) for r in truncation.field_limits(df).collect()] == [("m", 240)]
-
-
-def test_other_spellings_end_alike():
-    assert truncation.compare("Moi o gộp", ["Mỗi ô gộp"]) == 0
-    assert truncation.compare_spellings("Moi o gộp", ["Mỗi ô gộp"]) == -1
-    assert truncation.compare_spellings("Thứ​ tự đọc", ["THU TU ĐOC"]) == -1
-    assert truncation.compare_spellings("The tаble lists the survey m", ["The table lists the survey map."]) == 1
-    assert truncation.compare_spellings("A title", ["something else"]) == 0
