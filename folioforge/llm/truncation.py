@@ -397,13 +397,16 @@ def thresholds(scored: DataFrame) -> DataFrame:
 
 
 def valley(histogram: np.ndarray, width: float) -> float:
-    """Middle of the emptiest stretch between the two humps: between the mean of what is below the default and of what is above."""
+    """Middle of the emptiest stretch between the two humps: between the mean of what is below the default and of what is above.
+
+    It is no higher than 0, where an end and a continuation are equally likely.
+    """
     middle = LOW + (np.arange(len(histogram)) + 0.5) * width
     below = middle < DEFAULT_THRESHOLD
     if not histogram[below].sum() or not histogram[~below].sum():
         return DEFAULT_THRESHOLD
     ends = [np.average(middle[side], weights=histogram[side]) for side in (below, ~below)]
-    between = np.flatnonzero((middle > ends[0]) & (middle < ends[1]))
+    between = np.flatnonzero((middle > ends[0]) & (middle < min(ends[1], 0.0)))
     if not len(between):
         return DEFAULT_THRESHOLD
     smooth = np.convolve(histogram, np.ones(3) / 3, mode="same")[between]

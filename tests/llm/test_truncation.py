@@ -126,6 +126,8 @@ def test_valley_lies_between_the_humps():
     two = 1000 * np.exp(-((middle - 1) ** 2)) + 100 * np.exp(-((middle + 7) ** 2))
     assert -6 < truncation.valley(two, width) < -1
     assert truncation.valley(np.zeros(truncation.BINS), width) == truncation.DEFAULT_THRESHOLD
+    three = 1000 * np.exp(-(((middle - 7) / 0.3) ** 2)) + 300 * np.exp(-((middle - 1) ** 2)) + 100 * np.exp(-((middle + 7) ** 2)) + 1
+    assert -6 < truncation.valley(three, width) <= 0  # not the empty stretch between two kinds of finished values
 
 
 def test_languages_are_learned(spark):
