@@ -1,27 +1,32 @@
 """Problem 3: text that looks the same and differs in its characters.
 
-Every value is mapped to a skeleton - look-alike letters to one alphabet, full
-width to normal, odd blanks to blanks, nothing invisible - and values are
-grouped by their skeleton under Spark's accent- and case-sensitive ``UNICODE``
-collation, which also makes composed and decomposed letters equal. Each class
-has one canonical member per alphabet: its least member in ordinary form. The
-classes' members are joined back to the values that are not in ordinary form; a
-class without an ordinary member gets the form that the rules below make.
-
-Whether a single word is a look-alike spelling or a real word of another
-alphabet is decided by its letters, by the value around it, and where that
-leaves it open by the words of all values in the same collation class: the
-spelling that is met most often in values of that alphabet is the real one.
-
-Defined results: NULL and '' stay; a value in ordinary form is its own
-canonical form; symbols that look different (fractions, superscripts, Greek
-symbols, numero signs) stay; joiners and selectors that an emoji or a script
-needs stay; repeated rows give one row per record.
+Every value is brought to ordinary signs first: composed letters, normal widths,
+ordinary blanks, nothing invisible (:func:`mapped`). Whether its words are spelt
+with the right letters is decided by classes: every word of every value, mapped
+to a skeleton (look-alike letters to one alphabet), is grouped with all words of
+the corpus under Spark's accent- and case-sensitive ``UNICODE`` collation. A class
+has one canonical member per alphabet of the value around it: of the spellings in
+a single alphabet the one that is met most often, ties by the alphabet around and
+the order of the words. The pure spellings of a word, in Latin and in Russian
+letters, count as members that are met 0 times, so that a class without a pure
+spelling gets one. Canonical members are joined back to the values' words, and a
+value is not in ordinary form if that or the mapping changes it.
+
+The alphabet around is told by the letters that only one alphabet has. Words of a
+single alphabet in a value of that alphabet stand as they are. Values of nothing
+but look-alike letters have no alphabet of their own (2, beside 0 for Latin and 1
+for Russian): their words are decided by the classes over all values.
+
+Defined results: NULL and '' stay; symbols that look different (fractions,
+superscripts, single Greek letters, numero signs) stay; Latin words of one or two
+letters in a Russian value count as words between two Russian words only, else
+they are marks or codes and stay, as do such words of a value without an alphabet;
+joiners and selectors that an emoji or a script needs stay; repeated rows give one
+row per record.
 """
 
 from __future__ import annotations
 
-import re
 import unicodedata
 from collections import Counter
 from collections.abc import Iterator
@@ -32,11 +37,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from folioforge.session import materialize
+from folioforge.session import discard, materialize
 
-from .charfold import flatten, folded
+from .charfold import flatten
 from .tokens import slice_keys
-from .truncation import powers
 
 # Letters of other alphabets and the Latin letters that they look like.
 CYRILLIC_LOOK = "авсеһіјкмнорԛѕтухԁԝү" "АВСЕҺІЈКМНОРԚЅТУХԜҮ"
@@ -58,16 +62,22 @@ TO_LATIN = dict(zip(CYRILLIC_LOOK + GREEK_LOOK + OTHER_LOOK, CYRILLIC_LATIN + GR
 TO_RUSSIAN = dict(zip(LATIN_IN_RUSSIAN, RUSSIAN))
 FOREIGN = "Ͱ-ϿЀ-ԯ԰-֏ɡ"
 
-_WORD = re.compile(r"[^\W\d_]+")
-_RUSSIAN_BEFORE, _RUSSIAN_AFTER = re.compile("[а-яё] $"), re.compile(" [а-яё]")
-_TAGS = re.compile(r"<[^<>]*>|\\[a-zA-Z]+")
 
 
 def skeleton(c: Column) -> Column:
     """The value with look-alikes as Latin letters, ordinary widths and blanks, and nothing invisible."""
     source = "".join(TO_LATIN) + WIDE + ODD_BLANKS + INVISIBLE
     target = "".join(TO_LATIN.values()) + NARROW + " " * len(ODD_BLANKS)
-    return F.translate(c, source, target)
+    c = F.translate(c, source, target)
+    for one, many in LIGATURES.items():
+        c = F.replace(c, F.lit(one), F.lit(many))
+    return c
+
+
+def spellings(word: Column) -> Column:
+    """The word in Latin and in Russian letters, as (word, pure)."""
+    latin, russian = F.translate(word, "".join(TO_LATIN), "".join(TO_LATIN.values())), F.translate(word, LATIN_IN_RUSSIAN, RUSSIAN)
+    return F.array(F.struct(latin.alias("word"), (~latin.rlike(f"[{FOREIGN}]")).alias("pure"), F.lit("L").alias("of")), F.struct(russian.alias("word"), russian.rlike("^[а-яёА-ЯЁ]+$").alias("pure"), F.lit("C").alias("of")))
 
 
 def collated(c: Column) -> Column:
@@ -121,52 +131,9 @@ def visible(text: str) -> str:
     return "".join(out)
 
 
-def main_script(text: str) -> str:
-    """The alphabet of most letters outside tags and commands; Latin where there is none."""
-    counts = {"L": 0, "C": 0, "G": 0, "A": 0, "J": 0}
-    for ch in _TAGS.sub(" ", text):
-        s = script(ch)
-        if s:
-            counts[s] += 1
-    return max("LCGAJ", key=lambda s: counts[s])
-
-
-def respell(word: str, around: str, between: bool = False) -> tuple[str, bool]:
-    """(the word in one alphabet, is it still open whether it is a real word of another alphabet).
-
-    *between* says that the word stands between two Russian words, where even
-    one or two letters may be a preposition rather than a mark or a code.
-    """
-    kinds = {script(ch) for ch in word} - {""}
-    if len(kinds) > 1:
-        latin = "".join(TO_LATIN.get(ch, ch) if script(ch) != "L" else ch for ch in word)
-        russian = "".join(TO_RUSSIAN.get(ch, ch) if script(ch) == "L" else ch for ch in word)
-        can_latin = all(script(ch) in ("L", "") for ch in latin)
-        can_russian = all(script(ch) in ("C", "") for ch in russian) and not NOT_RUSSIAN & set(russian)
-        if can_russian and (around == "C" or not can_latin):
-            return russian, False
-        if can_latin:
-            return latin, False
-        return word, False
-    if kinds <= {"L", "J"} or not kinds:
-        return word, around == "C" and (len(word) > 2 or between) and all(ch in TO_RUSSIAN for ch in word)
-    if all(ch in TO_LATIN for ch in word):
-        if kinds == {"A"} or NOT_RUSSIAN & set(word):
-            return "".join(TO_LATIN[ch] for ch in word), False
-        if around == "L" and not (kinds == {"G"} and len(word) < 2):
-            return word, True
-    return word, False
-
-
-def ordinary(text: str) -> tuple[str, list[str], str]:
-    """(the value in ordinary form, words that stay open, main alphabet)."""
-    t = text
-    if not t.isascii():
-        t = visible(t)
-        t = unicodedata.normalize("NFC", t)
-        if any(ch in LIGATURES for ch in t):
-            t = "".join(LIGATURES.get(ch, ch) for ch in t)
-    around = main_script(t)
+def mapped(text: str) -> str:
+    """The value in ordinary signs: composed, of normal width, with ordinary blanks and nothing invisible."""
+    t = unicodedata.normalize("NFC", visible(text))
     cjk = any(script(ch) == "J" for ch in t)
     out = []
     for ch in t:
@@ -176,104 +143,99 @@ def ordinary(text: str) -> tuple[str, list[str], str]:
             ch = small if small.isalnum() or not cjk else ch
         elif ch in ODD_BLANKS:
             ch = " "
-        out.append(ch)
-    t = "".join(out)
-    open_words: list[str] = []
-
-    def swap(m: re.Match) -> str:
-        between = around == "C" and len(m.group()) < 3 and bool(_RUSSIAN_BEFORE.search(t, max(m.start() - 2, 0), m.start()) and _RUSSIAN_AFTER.match(t, m.end()))
-        word, is_open = respell(m.group(), around, between)
-        if is_open:
-            open_words.append(word)
-        return word
-
-    return _WORD.sub(swap, t), open_words, around
+        out.append(LIGATURES.get(ch, ch))
+    return "".join(out)
 
 
-# Bits of a code point: a sign that ordinary form may not hold, a Latin letter, a letter of another look-alike
-# alphabet, one of it that Russian lacks, a letter that has or is a look-alike, any letter or mark.
-SIGN, LATIN_LETTER, FOREIGN_LETTER, NOT_RUSSIAN_LETTER, LOOK_LETTER, LETTER = 1, 2, 4, 8, 16, 32
-#: Characters handed to the scan at once; slots of the filter for classes in question.
-CHUNK, FILTER_BITS = 1 << 18, 24
+# Bits of a code point: a sign that ordinary form may not hold, a letter or mark, a letter of the Latin, Cyrillic, Greek
+# alphabet, one of no alphabet in use, one that has a look-alike in Latin or in Russian, a small Russian letter.
+SIGN, LETTER, LATIN, CYRILLIC, GREEK, ODD, AS_LATIN, AS_RUSSIAN, SMALL_RUSSIAN = (1 << i for i in range(9))
+ALPHABETS = LATIN | CYRILLIC | GREEK
+#: Characters handed to the scan at once; different words that a worker counts before it hands them on.
+CHUNK, HELD_WORDS = 1 << 18, 1 << 18
 
 
 @cache
 def code_bits() -> np.ndarray:
-    t = np.zeros(0x110000, np.uint8)
+    t = np.zeros(0x110000, np.uint16)
     for i in range(0x3100):
         c = chr(i)
         if c.isalpha() or unicodedata.combining(c):
             t[i] |= LETTER
         if unicodedata.combining(c):
             t[i] |= SIGN
-        kind = script(c)
-        if kind == "L":
-            t[i] |= LATIN_LETTER
-        elif kind in ("C", "G", "A"):
-            t[i] |= FOREIGN_LETTER
-    for c in ODD_BLANKS + INVISIBLE + WIDE + "".join(LIGATURES) + "ɡ\u212a\u212b\u2126":
+        t[i] |= {"L": LATIN, "C": CYRILLIC, "G": GREEK, "A": ODD}.get(script(c), 0)
+    for c in ODD_BLANKS + INVISIBLE + WIDE + "".join(LIGATURES) + "\u212a\u212b\u2126":
         t[ord(c)] |= SIGN
-    t[0x530:0x590] |= SIGN
     for c in NOT_RUSSIAN:
-        t[ord(c)] |= NOT_RUSSIAN_LETTER
-    for c in {*TO_LATIN, *TO_LATIN.values(), *TO_RUSSIAN, *RUSSIAN}:
-        t[ord(c)] |= LOOK_LETTER
+        t[ord(c)] |= ODD
+    for c in TO_LATIN:
+        t[ord(c)] |= AS_LATIN
+    for c in TO_RUSSIAN:
+        t[ord(c)] |= AS_RUSSIAN
+    t[0x430:0x450] |= SMALL_RUSSIAN
+    t[0x451] |= SMALL_RUSSIAN
     return t
 
 
-class Scan:
-    """Values laid end to end, each after one cell."""
+class Words:
+    """The words of values that are in ordinary signs, laid end to end, each value after one cell.
 
-    def __init__(self, texts: list[str]):
-        self.texts = texts
+    For each word: its value (owner), the alphabet around it (0, 1 or 2), whether
+    it is of one alphabet (pure), whether that is the one around it (fits), and
+    whether another spelling may be the right one (open).
+    """
+
+    def __init__(self, texts: list[str], skip: np.ndarray | None = None):
         sizes = np.fromiter(map(len, texts), np.int64, len(texts)) + 1
         self.joined = "\x01" + "\x01".join(texts)
-        self.codes = np.frombuffer(self.joined.encode("utf-32-le", "surrogatepass"), np.uint32)
-        self.starts = np.cumsum(sizes) - sizes
-        self.sizes = sizes
-        self.bits = code_bits()[self.codes]
-
-    def suspicious(self) -> np.ndarray:
-        """Can the value be in other than ordinary form? True for every value that is not."""
-        seen = np.bitwise_or.reduceat(self.bits, self.starts)
-        return (seen & (SIGN | NOT_RUSSIAN_LETTER) > 0) | ((seen & LATIN_LETTER > 0) & (seen & FOREIGN_LETTER > 0))
-
-    def loose(self) -> np.ndarray:
-        """A hash that values of one class share (and some of other classes too)."""
-        c = folded(False)[self.codes].astype(np.uint64)
-        kept = np.flatnonzero((c != 0) & (c != 1) & (c != 0x20))
-        owner = np.repeat(np.arange(len(self.texts)), self.sizes)[kept]
-        first = np.searchsorted(kept, self.starts)
-        place = np.arange(len(kept)) - first[owner]
-        with np.errstate(over="ignore"):
-            mixed = (c[kept] + np.uint64(0x51ED270B)) * powers(1 << max(10, int(place.max() if len(place) else 0).bit_length() + 1))[0][place]
-            total = np.zeros(len(self.texts), np.uint64)
-            at = np.flatnonzero(np.diff(owner, prepend=-1))
-            if len(at):
-                total[owner[at]] = np.add.reduceat(mixed, at)
-            total = (total ^ (total >> np.uint64(31))) * np.uint64(0x94D049BB133111EB)
-        return (total >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
-
-    def look_words(self) -> Iterator[tuple[str, str, int]]:
-        """(alphabet of the value, word, times) of the words made of look-alikes alone."""
-        letter = self.bits & LETTER > 0
-        edge = np.diff(letter.astype(np.int8), prepend=0, append=0)
+        codes = np.frombuffer(self.joined.encode("utf-32-le", "surrogatepass"), np.uint32)
+        starts = np.cumsum(sizes) - sizes
+        bits = code_bits()[codes]
+        self.signs = np.bitwise_or.reduceat(bits, starts) & SIGN > 0
+        edge = np.diff((bits & LETTER > 0).astype(np.int8), prepend=0, append=0)
         begin, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
-        if not len(begin):
-            return
-        bad = np.concatenate(([0], np.cumsum(letter & (self.bits & LOOK_LETTER == 0))))
-        good = bad[end] == bad[begin]
-        begin, end = begin[good], end[good]
-        if not len(begin):
-            return
-        run = np.cumsum((self.codes == 60).astype(np.int32) - (self.codes == 62))
-        outside = run - np.repeat(run[self.starts], self.sizes) <= 0
-        cyr = np.add.reduceat((outside & (self.bits & FOREIGN_LETTER > 0)).astype(np.int32), self.starts)
-        lat = np.add.reduceat((outside & (self.bits & LATIN_LETTER > 0)).astype(np.int32), self.starts)
-        russian = (cyr > lat)[np.searchsorted(self.starts, begin, side="right") - 1]
-        _, first, count = np.unique(slice_keys(self.codes, begin, end) ^ russian.astype(np.uint64), return_index=True, return_counts=True)
-        for i, n in zip(first.tolist(), count.tolist()):
-            yield ("C" if russian[i] else "L", self.joined[begin[i] : end[i]], n)
+        owner = np.searchsorted(starts, begin, side="right") - 1
+        if skip is not None:
+            kept = ~skip[owner]
+            begin, end, owner = begin[kept], end[kept], owner[kept]
+        self.codes, self.begin, self.end, self.owner = codes, begin, end, owner
+        size = end - begin
+        cuts = np.stack((begin, end), axis=1).ravel()
+        padded = np.append(bits, 0)
+        some = np.bitwise_or.reduceat(padded, cuts)[::2] if len(begin) else np.zeros(0, np.uint16)
+        every = np.bitwise_and.reduceat(padded, cuts)[::2] if len(begin) else np.zeros(0, np.uint16)
+        depth = np.cumsum((codes == 60).astype(np.int32) - (codes == 62))
+        text = (depth[begin] - depth[starts[owner]] <= 0) & (codes[begin - 1] != 92)  # not in a tag, not a command
+        # Letters that only one alphabet has tell the alphabet around; look-alikes do not.
+        n = len(texts)
+        sums = [np.concatenate(([0], np.cumsum((bits & (kind | alike)) == kind, dtype=np.int64))) for kind, alike in ((LATIN, AS_RUSSIAN), (CYRILLIC, AS_LATIN))]
+        latin, russian = (np.bincount(owner, text * (c[end] - c[begin]), n) for c in sums)
+        self.value_around = np.where((latin + russian == 0) & (np.bincount(owner, text, n) > 0), 2, np.where(russian > latin, 1, 0))
+        a = self.value_around[owner]
+        kinds = some & ALPHABETS
+        self.pure = ((kinds & (kinds - 1)) == 0) & (some & ODD == 0)
+        own = np.where(a == 1, kinds & (LATIN | GREEK) == 0, kinds & (CYRILLIC | GREEK) == 0)
+        self.fits = np.where(a == 2, True, own)
+        before, after = padded[np.maximum(begin - 2, 0)], padded[np.minimum(end + 1, len(codes))]
+        between = (codes[begin - 1] == 32) & (np.append(codes, 0)[end] == 32) & (before & (SMALL_RUSSIAN | AS_RUSSIAN) > 0) & (after & (SMALL_RUSSIAN | AS_RUSSIAN) > 0)
+        mark = np.where(a == 1, (kinds == LATIN) & (size < 3) & ~between, np.where(a == 2, self.pure & (size < 3), (kinds == GREEK) & (size < 2)))
+        alike = np.where(a == 1, every & AS_RUSSIAN > 0, np.where(a == 2, every & (AS_LATIN | AS_RUSSIAN) > 0, every & AS_LATIN > 0))
+        self.open = ~mark & (~self.pure | (alike & ~(self.fits & (a < 2))))
+        self.counted = ~mark
+        self.around = a
+
+    def word(self, i: int) -> str:
+        return self.joined[self.begin[i] : self.end[i]]
+
+    def counts(self) -> Iterator[tuple[tuple[int, str, bool, bool], int]]:
+        """((alphabet around, word, pure, fits), times) of every word that is no mark."""
+        at = np.flatnonzero(self.counted)
+        if len(at):
+            keys = slice_keys(self.codes, self.begin[at], self.end[at]) ^ self.around[at].astype(np.uint64)
+            _, first, n = np.unique(keys, return_index=True, return_counts=True)
+            for i, k in zip(at[first].tolist(), n.tolist()):
+                yield (int(self.around[i]), self.word(i), bool(self.pure[i]), bool(self.fits[i])), k
 
 
 def _chunks(texts: list[str]) -> Iterator[tuple[int, int]]:
@@ -293,38 +255,50 @@ def _values(b: pa.RecordBatch) -> tuple[np.ndarray, list[str]]:
     return rows[keep], [texts[i] for i in keep]
 
 
-def rule_forms(records: DataFrame) -> DataFrame:
-    """One pass over all values: rows of the suspicious ones, and counts of look-alike words.
+def scan_words(records: DataFrame) -> DataFrame:
+    """One pass over all values: the counts of all words, and the values that the mapping changes or that hold open words.
 
-    Value rows are (tbl, rec_id, text, form, open_words, around, loose), word
-    rows (around, word, n) with a NULL tbl; a worker adds its counts up first.
+    Value rows are (tbl, rec_id, text, form, around, open_words), word rows
+    (around, word, pure, fits, n) with a NULL tbl; a worker adds its counts up first.
     """
-    schema = "tbl string, rec_id long, text string, form string, open_words array<string>, around string, loose long, word string, n long"
+    schema = "tbl string, rec_id long, text string, form string, open_words array<string>, around int, word string, pure boolean, fits boolean, n long"
     names = [f.split()[0] for f in schema.split(", ")]
 
+    def values(b: pa.RecordBatch, rows: np.ndarray, texts: list[str], forms: list[str], words: Words) -> Iterator[pa.RecordBatch]:
+        found: dict[int, set[str]] = {i: set() for i, (t, f) in enumerate(zip(texts, forms)) if t is not f and t != f}
+        for i in np.flatnonzero(words.open).tolist():
+            found.setdefault(int(words.owner[i]), set()).add(words.word(i))
+        if found:
+            at = sorted(found)
+            row, none = pa.array(rows[at]), pa.nulls(len(at))
+            yield pa.RecordBatch.from_arrays(
+                [b.column("tbl").take(row), b.column("rec_id").take(row), pa.array([texts[i] for i in at]), pa.array([forms[i] for i in at]), pa.array([sorted(found[i]) for i in at], pa.list_(pa.string())), pa.array(words.value_around[at].astype(np.int32)), none.cast(pa.string()), none.cast(pa.bool_()), none.cast(pa.bool_()), none.cast(pa.int64())],
+                names=names,
+            )
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words: Counter = Counter()
+        held: Counter = Counter()
         for b in batches:
             rows, texts = _values(b)
             for s, e in _chunks(texts):
-                scan = Scan(texts[s:e])
-                for around, word, n in scan.look_words():
-                    words[around, word] += n
-                hit = np.flatnonzero(scan.suspicious())
-                if not len(hit):
-                    continue
-                got = [ordinary(texts[s + i]) for i in hit.tolist()]
-                row = pa.array(rows[s:e][hit])
-                none = pa.nulls(len(hit))
-                yield pa.RecordBatch.from_arrays(
-                    [b.column("tbl").take(row), b.column("rec_id").take(row), pa.array([texts[s + i] for i in hit.tolist()]), pa.array([g[0] for g in got]), pa.array([g[1] for g in got], pa.list_(pa.string())), pa.array([g[2] for g in got]), pa.array(scan.loose()[hit]), none.cast(pa.string()), none.cast(pa.int64())],
-                    names=names,
-                )
-            if len(words) > 1 << 18:
-                yield _word_rows(words, names)
-                words.clear()
-        if words:
-            yield _word_rows(words, names)
+                part, own = texts[s:e], rows[s:e]
+                words = Words(part)
+                odd = np.flatnonzero(words.signs)
+                if len(odd):  # values in other signs are read in ordinary ones
+                    raw = [part[i] for i in odd.tolist()]
+                    forms = [mapped(t) for t in raw]
+                    again = Words(forms)
+                    yield from values(b, own[odd], raw, forms, again)
+                    held.update(dict(again.counts()))
+                    words = Words(part, words.signs)
+                yield from values(b, own, part, part, words)
+                for key, n in words.counts():
+                    held[key] += n
+            if len(held) > HELD_WORDS:
+                yield _word_rows(held, names)
+                held.clear()
+        if held:
+            yield _word_rows(held, names)
 
     return records.mapInArrow(run, schema)
 
@@ -332,54 +306,41 @@ def rule_forms(records: DataFrame) -> DataFrame:
 def _word_rows(words: Counter, names: list[str]) -> pa.RecordBatch:
     none = pa.nulls(len(words))
     kinds = [pa.string(), pa.int64(), pa.string(), pa.string(), pa.list_(pa.string())]
-    return pa.RecordBatch.from_arrays([*[none.cast(k) for k in kinds], pa.array([a for a, _ in words]), none.cast(pa.int64()), pa.array([w for _, w in words]), pa.array(list(words.values()), pa.int64())], names=names)
-
-
-def class_members(records: DataFrame, wanted: np.ndarray) -> DataFrame:
-    """Values whose loose hash is among *wanted* and which no rule needs to look at; a second pass."""
-    sent = records.sparkSession.sparkContext.broadcast(np.packbits(wanted))
+    around, word, pure, fits = zip(*words)
+    return pa.RecordBatch.from_arrays([*[none.cast(k) for k in kinds], pa.array(around, pa.int32()), pa.array(word), pa.array(pure), pa.array(fits), pa.array(list(words.values()), pa.int64())], names=names)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.unpackbits(sent.value).astype(bool)
-        for b in batches:
-            _, texts = _values(b)
-            for s, e in _chunks(texts):
-                scan = Scan(texts[s:e])
-                hit = np.flatnonzero(bits[scan.loose()] & ~scan.suspicious())
-                if len(hit):
-                    yield pa.RecordBatch.from_arrays([pa.array(sorted({texts[s + i] for i in hit.tolist()}))], names=["text"])
 
-    return records.select("content").mapInArrow(run, "text string")
+def word_classes(words: DataFrame, asked: DataFrame) -> DataFrame:
+    """(around, word, real) of the words in *asked* whose class has another canonical member.
 
-
-def word_classes(words: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(skel, around, real): of each class of words in *wanted*, the spelling met most often in values of that alphabet."""
-    counts = words.groupBy("around", "word").agg(F.sum("n").alias("n")).withColumn("skel", collated(skeleton(F.col("word"))))
-    return counts.join(wanted, ["skel", "around"], "left_semi").groupBy("skel", "around").agg(F.max_by("word", F.struct("n", "word")).alias("real"))
+    All of *words* (around, word, pure, fits, n) are grouped under the collation,
+    and with them the pure spellings of *asked* (around, word). For N (2) a class
+    has the words of all values.
+    """
+    counts = words.groupBy("around", "word").agg(F.max("pure").alias("pure"), F.max("fits").alias("fits"), F.sum("n").alias("n"))
+    fits = (F.col("around") == 2) | ((F.col("around") == 1) == (F.col("s.of") == "C"))
+    made = asked.select("around", F.explode(spellings(F.col("word"))).alias("s")).select("around", "s.word", "s.pure", fits.alias("fits"), F.lit(0).cast("long").alias("n"))
+    undecided = asked.filter("around = 2").select(skeleton(F.col("word")).alias("skel")).distinct()
+    anywhere = counts.filter("around <> 2").withColumn("skel", skeleton(F.col("word"))).join(undecided, "skel", "left_semi").select(F.lit(2).alias("around"), "word", "pure", "fits", "n")
+    members = counts.unionByName(made).unionByName(anywhere).groupBy("around", "word").agg(F.max("pure").alias("pure"), F.max("fits").alias("fits"), F.sum("n").alias("n"))
+    skel = collated(skeleton(F.col("word")))
+    real = members.groupBy("around", skel.alias("skel")).agg(F.max_by("word", F.struct("pure", "n", "fits", "word")).alias("real"))
+    return asked.withColumn("skel", skel).join(real, ["around", "skel"]).filter(F.col("real") != F.col("word")).select("around", "word", "real")
 
 
 def canonical(records: DataFrame) -> DataFrame:
     """(tbl, rec_id, text, canonical) of the values that are not in ordinary form."""
-    passed = materialize(rule_forms(records), "lookalike-ruled")
-    ruled = passed.filter("tbl is not null").drop("word", "n")
-    # Words that the rules leave open, decided by their class.
-    open_words = ruled.filter(F.size("open_words") > 0).select("tbl", "rec_id", "text", "around", F.explode(F.array_distinct("open_words")).alias("word")).withColumn("skel", collated(skeleton(F.col("word"))))
-    if not open_words.isEmpty():
-        real = word_classes(passed.filter("tbl is null").select("around", "word", "n"), open_words.select("skel", "around").distinct())
-        other = open_words.join(real, ["skel", "around"]).filter(F.col("real") != F.col("word"))
-        changes = other.groupBy("tbl", "rec_id", "text").agg(F.map_from_entries(F.collect_set(F.struct("word", "real"))).alias("changes"))
-        ruled = ruled.join(changes, ["tbl", "rec_id", "text"], "left")
-        # Each change replaces the whole word wherever it stands in the value.
-        apply = F.expr("aggregate(map_entries(changes), form, (f, e) -> regexp_replace(f, concat('(?<!\\\\p{L})', e.key, '(?!\\\\p{L})'), e.value))")
-        ruled = ruled.withColumn("form", F.when(F.col("changes").isNotNull(), apply).otherwise(F.col("form"))).drop("changes")
-    odd = ruled.filter(F.col("form") != F.col("text")).select("tbl", "rec_id", "text", "form", "loose", collated(skeleton(F.col("text"))).alias("skel"))
-    # Classes of the values in question: ordinary members are looked up under the collation.
-    wanted = np.zeros(1 << FILTER_BITS, bool)
-    wanted[odd.select("loose").distinct().toArrow().column(0).to_numpy()] = True
-    keys = odd.select("skel").distinct()
-    regular = class_members(records, wanted).unionByName(ruled.filter(F.col("form") == F.col("text")).select("text"))
-    members = regular.withColumn("skel", collated(skeleton(F.col("text")))).join(keys, "skel", "left_semi").groupBy("skel").agg(F.min("text").alias("member"))
-    return odd.join(members, "skel", "left").select("tbl", "rec_id", "text", F.when(F.col("member").rlike(f"[{FOREIGN}]") == F.col("form").rlike(f"[{FOREIGN}]"), F.col("member")).otherwise(F.col("form")).alias("canonical"))
+    passed = materialize(scan_words(records), "lookalike-scanned")
+    values = passed.filter("tbl is not null").select("tbl", "rec_id", "text", "form", "around", "open_words")
+    open_words = values.filter(F.size("open_words") > 0).select("tbl", "rec_id", "text", "around", F.explode("open_words").alias("word"))
+    real = word_classes(passed.filter("tbl is null").select("around", "word", "pure", "fits", "n"), open_words.select("around", "word").distinct())
+    changes = open_words.join(real, ["around", "word"]).groupBy("tbl", "rec_id", "text").agg(F.map_from_entries(F.collect_set(F.struct("word", "real"))).alias("changes"))
+    # Each change replaces the whole word wherever it stands in the value.
+    apply = F.expr("aggregate(map_entries(changes), form, (f, e) -> regexp_replace(f, concat('(?<![\\\\p{L}\\\\p{M}])', e.key, '(?![\\\\p{L}\\\\p{M}])'), e.value))")
+    out = values.join(changes, ["tbl", "rec_id", "text"], "left").withColumn("canonical", F.when(F.col("changes").isNotNull(), apply).otherwise(F.col("form")))
+    out = materialize(out.filter(F.col("canonical") != F.col("text")).select("tbl", "rec_id", "text", "canonical"), "lookalike-canonical")
+    discard(passed)
+    return out
 
 
 def record_values(elements: DataFrame, records: DataFrame) -> DataFrame:

@@ -2,6 +2,7 @@
 
 import unicodedata
 
+import numpy as np
 import pytest
 
 from folioforge.llm import lookalike
@@ -14,20 +15,44 @@ STAY = ["½ x²", "α = 0.05 (Δ = 3 mm)", "№ 7, журнал in the margin",
 RECORD = "tbl string, rec_id long, content map<string,string>"
 
 
-@pytest.mark.parametrize("odd,plain", SAME)
-def test_forms(odd, plain):
-    assert lookalike.ordinary(odd)[0] == plain
+def forms(spark, texts):
+    """Each text's form where the texts are all there is."""
+    rows = [("t", i, {"m": t}) for i, t in enumerate(texts)]
+    changed = {r.rec_id: r.canonical for r in lookalike.canonical(spark.createDataFrame(rows, RECORD)).collect()}
+    return [changed.get(i, t) for i, t in enumerate(texts)]
 
 
-@pytest.mark.parametrize("text", STAY)
-def test_ordinary_text_stays(text):
-    assert lookalike.ordinary(text)[0] == text
+def test_forms(spark):
+    assert forms(spark, [odd for odd, _ in SAME]) == [plain for _, plain in SAME]
 
 
-def test_scan_marks_all_that_changes():
-    texts = [a for a, _ in SAME] + STAY
-    marked = lookalike.Scan([t for t in texts if t]).suspicious()
-    assert all(m for m, t in zip(marked, [t for t in texts if t]) if lookalike.ordinary(t)[0] != t)
+def test_ordinary_text_stays(spark):
+    assert forms(spark, STAY) == STAY
+
+
+def test_words_against_a_plain_loop():
+    texts = [a for a, _ in SAME if lookalike.mapped(a) == a] + [t for t in STAY if t and lookalike.mapped(t) == t]
+    words = lookalike.Words(texts)
+    found = [[] for _ in texts]
+    for i, o in enumerate(words.owner.tolist()):
+        found[o].append(words.word(i))
+    for t, got in zip(texts, found):
+        want, run = [], ""
+        for ch in t + " ":
+            if ch.isalpha() and ord(ch) < 0x3100:
+                run += ch
+            elif run:
+                want, run = [*want, run], ""
+        assert got == want
+    assert np.array_equal(words.pure, [len({lookalike.script(c) for c in words.word(i)} - {""}) < 2 and not set(words.word(i)) & (lookalike.NOT_RUSSIAN | {"ɡ"}) for i in range(len(words.owner))])
+
+
+def test_classes_of_all_words_decide(spark):
+    rows = [("t", i, {"m": "сор и мусор лежат рядом"}) for i in range(5)] + [("t", i, {"m": "the cop and the car"}) for i in range(10, 13)]
+    rows += [("t", 20, {"m": "the сор and the car"}), ("t", 21, {"m": "Касcовая книга"}), ("t", 22, {"m": "Кассовая книга"}), ("t", 23, {"m": "the Тһе scan"})]
+    rows += [("t", 30, {"m": "ТНЕ"}), ("t", 31, {"m": "ТНЕ"}), *[("t", 40 + i, {"m": f"THE scan of page {i}"}) for i in range(4)]]  # nothing but look-alikes: the class over all values
+    got = {r.rec_id: r.canonical for r in lookalike.canonical(spark.createDataFrame(rows, RECORD).repartition(4)).collect()}
+    assert got == {20: "the cop and the car", 21: "Кассовая книга", 23: "the The scan", 30: "THE", 31: "THE"}
 
 
 def test_open_words_follow_their_class(spark):
