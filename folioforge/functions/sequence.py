@@ -17,15 +17,23 @@ LATEX_SILENT = r"\\(?:left|right|,|;|!|quad|qquad|displaystyle|limits)\b|\s+|{|}
 LATEX_SAME = [("\\dfrac", "\\frac"), ("\\tfrac", "\\frac"), ("\\ast", "*")]
 
 
+#: Distinct tokens that a pair of sequences may hold: the code points beyond the basic plane.
+MAX_TOKENS = 0x100000
+#: Spans that a cell may name at most.
+MAX_SPAN = 2**31 - 1
+
+
 def token_similarity(a: Column, b: Column) -> Column:
     """1 - edit distance / longer length of two token arrays; 1 where both are empty.
 
-    Each distinct token of the pair becomes one private code point, so the
-    built-in edit distance of strings does the work inside the JVM. A pair may
-    hold 6,399 distinct tokens.
+    Each distinct token of the pair becomes one code point beyond the basic
+    plane, so the built-in edit distance of strings does the work inside the JVM.
+    A pair with more than MAX_TOKENS distinct tokens, for which there is no code
+    point left, is an error rather than a wrong number.
     """
     distinct = F.array_distinct(F.concat(a, b))
-    index = F.map_from_arrays(distinct, F.transform(distinct, lambda _, i: F.decode(F.unhex(F.hex(F.lit(0xE001) + i)), "UTF-16BE")))
+    distinct = F.when(F.size(distinct) > MAX_TOKENS, F.raise_error(F.lit(f"more than {MAX_TOKENS} distinct tokens"))).otherwise(distinct)
+    index = F.map_from_arrays(distinct, F.transform(distinct, lambda _, i: F.decode(F.unhex(F.lpad(F.hex(F.lit(0x10000) + i), 8, "0")), "UTF-32")))
 
     def coded(x: Column, m: Column) -> Column:
         return F.array_join(F.transform(x, lambda t: F.element_at(m, t)), "")
@@ -63,7 +71,7 @@ class _Grid(HTMLParser):
         elif tag in ("td", "th"):
             if not self.rows:
                 self.rows.append([])
-            spans = {k: int(v) for k, v in attrs if k in ("rowspan", "colspan") and v and v.isdigit()}
+            spans = {k: min(int(v), MAX_SPAN) for k, v in attrs if k in ("rowspan", "colspan") and v and v.isdecimal() and len(v) < 1000}
             self.cell = {"rs": spans.get("rowspan", 1), "cs": spans.get("colspan", 1), "txt": ""}
             self.rows[-1].append(self.cell)
 
@@ -78,7 +86,10 @@ class _Grid(HTMLParser):
 
 def _parse(html: str | None) -> list[list[dict]]:
     grid = _Grid()
-    grid.feed(html or "")
+    try:
+        grid.feed(html or "")
+    except (AssertionError, ValueError):  # what the parser gives up on ends the table there
+        pass
     rows = [[{**c, "txt": " ".join(unicodedata.normalize("NFKC", c["txt"]).split())} for c in r] for r in grid.rows]
     return [r for r in rows if r]
 
@@ -89,7 +100,7 @@ def _parse_all(it: Iterator[pd.Series]) -> Iterator[pd.Series]:
 
 
 def table_rows(html: Column | str) -> Column:
-    """Rows of an HTML table by the standard library's parser; '' and NULL -> []."""
+    """Rows of an HTML table by the standard library's parser; '' and NULL -> []. A span that is no decimal number counts as 1."""
     return F.pandas_udf(_parse_all, "array<array<struct<rs:int,cs:int,txt:string>>>")(html)
 
 

@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from folioforge.functions.constants import SCAN
 from folioforge.functions.text import squash
 
+from .ranking import exact_percentiles
+
 #: Characters per thousand square pixels above which a label is too long for its box.
 MAX_DENSITY = 12.0
 
@@ -57,29 +59,57 @@ def scan_reasons(blur: Column, ink: Column, contrast: Column, width: Column, hei
 
 def scan_thresholds(scans: DataFrame, measures: list[str], readable: str, recall: float = 0.99) -> DataFrame:
     """One row: per measure the value that keeps *recall* of the readable scans (linear interpolation)."""
-    return scans.filter(readable).agg(*[F.round(F.percentile(m, 1 - recall), 6).alias(f"min_{m}") for m in measures])
+    good = scans.filter(readable)
+    least = [exact_percentiles(good, m, [1 - recall])[0] for m in measures]
+    return scans.sparkSession.range(1).select(*[F.round(F.lit(x).cast("double"), 6).alias(f"min_{m}") for m, x in zip(measures, least)])
+
+
+#: Kernel of the Laplacian: what a pixel differs from its four neighbours by.
+LAPLACIAN = np.array([[0, 1, 0], [1, -4, 1], [0, 1, 0]], np.float64)
+
+
+def _ink_level(levels: np.ndarray, counts: np.ndarray) -> float:
+    """The gray level that splits the pixels into two classes with the least variance inside them; up to it is ink.
+
+    One level alone is no two classes: it is ink only if it is black.
+    """
+    if len(levels) < 2:
+        return 0.0
+    n, s, q = (np.cumsum(counts * levels**e) for e in (0, 1, 2))
+    inside = (q - s * s / n)[:-1] + (q[-1] - q - (s[-1] - s) ** 2 / np.maximum(n[-1] - n, 1))[:-1]
+    return float(levels[int(inside.argmin())])
+
+
+def _tilt(ink: np.ndarray) -> float:
+    """The whole degree, within SCAN["skew"], along which ink gathers in the fewest lines: the largest sum of squared line counts.
+
+    Of equal degrees the one nearest to 0 (then the lower); 0 without ink.
+    """
+    y, x = np.nonzero(ink)
+    if not len(y):
+        return 0.0
+    degrees = np.arange(-int(SCAN["skew"]), int(SCAN["skew"]) + 1)
+    degrees = degrees[np.lexsort((degrees, abs(degrees)))]
+    best, at = -1, 0
+    for d in degrees.tolist():
+        line = np.rint(y * np.cos(np.deg2rad(d)) - x * np.sin(np.deg2rad(d))).astype(np.int64)
+        mass = int((np.bincount(line - line.min()) ** 2).sum())
+        if mass > best:
+            best, at = mass, d
+    return float(at)
 
 
 def _measure(gray: np.ndarray) -> tuple[float, float, float, float]:
-    """(blur, ink, contrast, skew) of a gray image."""
-    g = gray.astype(np.float64)
-    if min(g.shape) < 3:
-        return 0.0, 0.0, float(g.std()), 0.0
-    around = g[:-2, 1:-1] + g[2:, 1:-1] + g[1:-1, :-2] + g[1:-1, 2:]
-    blur = float((around - 4 * g[1:-1, 1:-1]).var())
-    counts = np.bincount(np.clip(g, 0, 255).astype(int).ravel(), minlength=256) / g.size
-    low, mean = np.cumsum(counts), np.cumsum(counts * np.arange(256))
-    room = low * (1 - low)
-    between = np.divide((mean[-1] * low - mean) ** 2, room, out=np.zeros(256), where=room > 0)
-    ink = float((g <= between.argmax()).mean())
-    dark = 255 - g[:: max(1, g.shape[0] // 400), :: max(1, g.shape[1] // 400)]
-    y, x = np.nonzero(dark > dark.mean() + dark.std())
-    skew = 0.0
-    if len(y) >= 50 and min(dark.shape) >= 8:
-        angles = np.arange(-SCAN["skew"], SCAN["skew"] + 0.01)
-        spread = [np.var(np.histogram(y * np.cos(np.deg2rad(a)) - x * np.sin(np.deg2rad(a)), bins=max(8, dark.shape[0]))[0]) for a in angles]
-        skew = float(angles[int(np.argmax(spread))])
-    return blur, ink, float(g.std()), skew
+    """(blur, ink, contrast, skew) of a gray image: variance of the Laplacian, share of ink, deviation, tilt of the lines."""
+    if not gray.size:
+        return 0.0, 0.0, 0.0, 0.0
+    levels, inverse, counts = np.unique(gray, return_inverse=True, return_counts=True)
+    ink = (levels <= _ink_level(levels.astype(np.float64), counts.astype(np.float64)))[inverse].reshape(gray.shape)
+    blur = 0.0
+    if min(gray.shape) >= 3:
+        edges = np.einsum("ijkl,kl->ij", np.lib.stride_tricks.sliding_window_view(gray.astype(np.float64), (3, 3)), LAPLACIAN)
+        blur = float(edges.var())
+    return blur, float(ink.mean()), float(gray.std()), _tilt(ink & ~ink.all())
 
 
 def _measure_all(it: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
