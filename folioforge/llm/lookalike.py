@@ -7,7 +7,8 @@ to a skeleton (look-alike letters to one alphabet), is grouped with all words of
 the corpus under Spark's accent- and case-sensitive ``UNICODE`` collation. A class
 has one canonical member per alphabet of the value around it: of the spellings in
 a single alphabet the one that is met most often, ties by the alphabet around and
-the order of the words. The pure spellings of a word, in Latin and in Russian
+the order of the words; for a word of mixed letters, which is no word of either
+alphabet, those in the alphabet around come first. The pure spellings of a word, in Latin and in Russian
 letters, count as members that are met 0 times, so that a class without a pure
 spelling gets one. Canonical members are joined back to the values' words, and a
 value is not in ordinary form if that or the mapping changes it.
@@ -324,8 +325,10 @@ def word_classes(words: DataFrame, asked: DataFrame) -> DataFrame:
     anywhere = counts.filter("around <> 2").withColumn("skel", skeleton(F.col("word"))).join(undecided, "skel", "left_semi").select(F.lit(2).alias("around"), "word", "pure", "fits", "n")
     members = counts.unionByName(made).unionByName(anywhere).groupBy("around", "word").agg(F.max("pure").alias("pure"), F.max("fits").alias("fits"), F.sum("n").alias("n"))
     skel = collated(skeleton(F.col("word")))
-    real = members.groupBy("around", skel.alias("skel")).agg(F.max_by("word", F.struct("pure", "n", "fits", "word")).alias("real"))
-    return asked.withColumn("skel", skel).join(real, ["around", "skel"]).filter(F.col("real") != F.col("word")).select("around", "word", "real")
+    best = members.groupBy("around", skel.alias("skel")).agg(F.max_by("word", F.struct("pure", "n", "fits", "word")).alias("most"), F.max_by("word", F.struct("pure", "fits", "n", "word")).alias("nearest"))
+    mixed = F.col("word").rlike(f"[{FOREIGN}]") & F.col("word").rlike(r"\p{IsLatin}")
+    found = asked.withColumn("skel", skel).join(best, ["around", "skel"]).select("around", "word", F.when(mixed, F.col("nearest")).otherwise(F.col("most")).alias("real"))
+    return found.filter(F.col("real") != F.col("word"))
 
 
 def canonical(records: DataFrame) -> DataFrame:
