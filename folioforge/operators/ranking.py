@@ -12,7 +12,7 @@ HELD_VALUES = 1_000_000
 ACCURACY, RANGES = 10_000, 1_000
 
 
-def _value_at(df: DataFrame, rank: int, n: int) -> float:
+def value_at(df: DataFrame, rank: int, n: int) -> float:
     """The value of *rank* (from 0) among the *n* rows of (x): an interval around it is narrowed until one task can sort it."""
     below, reach = 0, 2 / ACCURACY
     while n > HELD_VALUES:
@@ -47,9 +47,9 @@ def exact_percentiles(df: DataFrame, value: Column | str, shares: list[float]) -
             out.append(None)
             continue
         at = share * (n - 1)
-        low, high = _value_at(rows, int(at), n), None
+        low, high = value_at(rows, int(at), n), None
         if at > int(at):
-            high = _value_at(rows, int(at) + 1, n)
+            high = value_at(rows, int(at) + 1, n)
         out.append(low if high is None or high == low else (int(at) + 1 - at) * low + (at - int(at)) * high)
     return out
 
