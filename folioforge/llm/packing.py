@@ -10,12 +10,14 @@ A document's rank within its bucket - counted in hash ranges, so that a bucket
 with any share of all documents is ranked in many tasks - tells its container.
 
 Buckets alone would leave half a container beside every item longer than half
-the capacity, so a batch begun in one bucket is topped up from shorter ones.
+the capacity, so a batch begun in one bucket is topped up from shorter ones;
+without *top_up* every container is of one bucket.
 
 Defined results: an item longer than the capacity is cut into full containers
 and a rest that is packed like any other; empty and NULL texts have no tokens
 and are spread over the containers; documents that share an id are packed
-apart; an empty table gives no rows.
+apart; an empty table gives no rows. Ranks follow the hash of a document's id,
+sizes and number among equal ones, so nothing depends on partitions.
 """
 
 from __future__ import annotations
@@ -35,7 +37,7 @@ from pyspark.sql import types as T
 from folioforge.session import materialize
 
 from . import tokens
-from .tokens import TOKENIZER_DIR, encoder, slice_keys, text_runs
+from .tokens import TOKENIZER_DIR, encoder, text_runs, unique_slices
 
 #: Length buckets per profile.
 BUCKETS = 256
@@ -70,7 +72,7 @@ class ByteCounter:
             keep = ~mark[begin]
             begin, end = begin[keep], end[keep]
             if len(begin):
-                _, first, inverse = np.unique(slice_keys(codes, begin, end), return_index=True, return_inverse=True)
+                first, inverse = unique_slices(joined, codes, begin, end, ~mark)
                 counts = np.array([self._word(joined[a:b]) for a, b in zip(begin[first].tolist(), end[first].tolist())], np.int64)
                 owner = np.searchsorted(starts, begin, side="right") - 1
                 for k in range(len(self.encoders)):
@@ -234,8 +236,8 @@ def bucket_bounds(lengths: np.ndarray, counts: np.ndarray, buckets: int = BUCKET
     return lengths[np.array(sorted(set(b for b in bounds if b > 0))) - 1]
 
 
-def patterns(bounds: np.ndarray, counts: np.ndarray, capacity: int) -> list[tuple[int, dict[int, int]]]:
-    """(repeats, {bucket: items}) of containers that hold all items, filled longest bucket first.
+def patterns(bounds: np.ndarray, counts: np.ndarray, capacity: int, top_up: bool = True) -> list[tuple[int, dict[int, int]]]:
+    """(repeats, {bucket: items}) of containers that hold all items, filled longest bucket first; of one bucket each without *top_up*.
 
     A pattern is repeated until one of its buckets runs short, so there are
     only about two patterns per bucket.
@@ -245,7 +247,7 @@ def patterns(bounds: np.ndarray, counts: np.ndarray, capacity: int) -> list[tupl
     while left.any():
         room, use = capacity, {}
         for b in range(len(bounds) - 1, -1, -1):
-            if left[b] and bounds[b] <= room:
+            if left[b] and bounds[b] <= room and (top_up or not use):
                 k = int(min(left[b], room // bounds[b]))
                 use[b] = k
                 room -= k * int(bounds[b])
@@ -256,14 +258,39 @@ def patterns(bounds: np.ndarray, counts: np.ndarray, capacity: int) -> list[tupl
     return out
 
 
-def pack(docs: DataFrame, profiles: DataFrame, directory: str = TOKENIZER_DIR, buckets: int = BUCKETS) -> DataFrame:
+#: Uses of one bucket are at most so many ranks apart, so that bucket and rank make one number.
+RANK_SPAN = 1 << 40
+
+
+def _place(use_rows: list[tuple]):
+    """(profile_id, bucket, rank, ...) -> the same with the number of the container; the uses are a sorted table of patterns x buckets."""
+    keys = {k: g for g, k in enumerate(sorted({(a, b) for a, b, *_ in use_rows}))}
+    uses = np.array(sorted((keys[a, b] * RANK_SPAN + low, low, first, per) for a, b, low, _, first, per in use_rows), np.int64).reshape(-1, 4)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not len(batch):
+                continue
+            profile, bucket, rank = (batch.column(i).to_numpy() for i in range(3))
+            pairs, inverse = np.unique(np.stack((profile, bucket)), axis=1, return_inverse=True)
+            group = np.array([keys[int(a), int(b)] for a, b in pairs.T], np.int64)[inverse.ravel()]
+            at = np.searchsorted(uses[:, 0], group * RANK_SPAN + rank, side="right") - 1
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(uses[at, 2] + (rank - uses[at, 1]) // uses[at, 3]), *batch.columns[3:]], names=["profile_id", "number", *batch.schema.names[3:]])
+
+    return run
+
+
+def pack(docs: DataFrame, profiles: DataFrame, directory: str = TOKENIZER_DIR, buckets: int = BUCKETS, top_up: bool = True) -> DataFrame:
     """(profile_id, container, doc_id, part, start, tokens): where every document, or part of one, goes."""
     spark = docs.sparkSession
     plans = profiles.filter("profile_id is not null and tokenizer is not null and capacity > 0").groupBy("profile_id").agg(F.max(F.struct("tokenizer", "capacity")).alias("p")).select("profile_id", "p.*").collect()
     names = sorted({p["tokenizer"] for p in plans})
     if not plans:
         return docs.filter("false").select(F.lit(0).alias("profile_id"), F.lit("").alias("container"), "doc_id", F.lit(0).alias("part"), F.lit(0).cast("long").alias("start"), F.lit(0).cast("long").alias("tokens"))
-    sizes = materialize(token_sizes(docs, names, directory).withColumn("uid", F.monotonically_increasing_id()), "packing-sizes")
+    # Equal rows are counted and numbered, so that every row has an id of its own whatever the partitions.
+    counted = token_sizes(docs, names, directory).groupBy("doc_id", *names).agg(F.count("*").alias("n"))
+    counted = counted.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n")))).drop("n")
+    sizes = materialize(counted.withColumn("uid", F.xxhash64("doc_id", *names, "copy")).drop("copy"), "packing-sizes")
     of = F.array(*[F.struct(F.lit(p["profile_id"]).alias("profile_id"), F.lit(p["capacity"]).cast("long").alias("capacity"), F.col(p["tokenizer"]).alias("size")) for p in plans])
     items = sizes.select("doc_id", "uid", F.explode(of).alias("s")).select("doc_id", "uid", "s.*")
     items = items.withColumn("rest", F.when(F.col("size") == 0, F.lit(0)).otherwise((F.col("size") - 1) % F.col("capacity") + 1)).withColumn("full", F.floor((F.col("size") - F.col("rest")) / F.col("capacity")))
@@ -284,14 +311,13 @@ def pack(docs: DataFrame, profiles: DataFrame, directory: str = TOKENIZER_DIR, b
             per_bucket = np.bincount(bucket_of, weights=counts, minlength=len(bounds)).astype(np.int64)
             bucket_rows += [(p["profile_id"], int(x), int(b)) for x, b in zip(lengths, bucket_of)]
             offset = np.zeros(len(bounds), np.int64)
-            for times, use in patterns(bounds, per_bucket, p["capacity"]):
+            for times, use in patterns(bounds, per_bucket, p["capacity"], top_up):
                 for b, k in use.items():
                     use_rows.append((p["profile_id"], int(b), int(offset[b]), int(offset[b]) + times * k, container, k))
                     offset[b] += times * k
                 container += times
         totals.append((p["profile_id"], max(container, 1)))
     lengths_df = spark.createDataFrame(bucket_rows, "profile_id int, rest long, bucket int")
-    uses = spark.createDataFrame(use_rows, "profile_id int, bucket int, rank_from long, rank_to long, container_from long, per_container long")
     total_df = spark.createDataFrame(totals, "profile_id int, n_containers long")
 
     # Rank within the bucket: hash ranges, their offsets, and the rank inside.
@@ -305,12 +331,12 @@ def pack(docs: DataFrame, profiles: DataFrame, directory: str = TOKENIZER_DIR, b
     before = held.groupBy(*key, "rng").agg(F.count("*").alias("c")).withColumn("before", F.coalesce(F.sum("c").over(Window.partitionBy(*key).orderBy("rng").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("c")
     inside = F.row_number().over(Window.partitionBy(*key, "rng").orderBy("h", "uid")) - 1
     ranked = held.withColumn("inside", inside).join(F.broadcast(before), [*key, "rng"]).withColumn("rank", F.col("before") + F.col("inside"))
-    u = F.broadcast(uses)
-    placed = ranked.alias("r").join(u.alias("u"), (F.col("r.profile_id") == F.col("u.profile_id")) & (F.col("r.bucket") == F.col("u.bucket")) & (F.col("r.rank") >= F.col("u.rank_from")) & (F.col("r.rank") < F.col("u.rank_to")))
-    number = F.col("u.container_from") + F.floor((F.col("r.rank") - F.col("u.rank_from")) / F.col("u.per_container"))
-    packed = placed.select("r.profile_id", F.concat(F.lit("c"), number.cast("string")).alias("container"), "doc_id", F.col("full").cast("int").alias("part"), (F.col("full") * F.col("capacity")).alias("start"), F.col("rest").alias("tokens"))
+    placed = ranked.select("profile_id", "bucket", "rank", "doc_id", F.col("full").cast("int").alias("part"), (F.col("full") * F.col("capacity")).alias("start"), F.col("rest").alias("tokens"))
+    doc = placed.schema["doc_id"].dataType.simpleString()
+    placed = placed.mapInArrow(_place(use_rows), f"profile_id int, number long, doc_id {doc}, part int, start long, tokens long")
+    packed = placed.select("profile_id", F.concat(F.lit("c"), F.col("number").cast("string")).alias("container"), "doc_id", "part", "start", "tokens")
     fulls = items.filter("full > 0").select("profile_id", "doc_id", "uid", "capacity", F.explode(F.sequence(F.lit(0), F.col("full").cast("int") - 1)).alias("part"))
-    fulls = fulls.select("profile_id", F.concat_ws("-", F.lit("f"), "uid", "part").alias("container"), "doc_id", "part", (F.col("part") * F.col("capacity")).alias("start"), F.col("capacity").alias("tokens"))
+    fulls = fulls.select("profile_id", F.concat_ws("-", F.lit("f"), F.hex("uid"), "doc_id", "part").alias("container"), "doc_id", "part", (F.col("part") * F.col("capacity")).alias("start"), F.col("capacity").alias("tokens"))
     empty = items.filter("size = 0").join(F.broadcast(total_df), "profile_id").select("profile_id", F.concat(F.lit("c"), F.pmod(F.xxhash64("uid"), F.col("n_containers")).cast("string")).alias("container"), "doc_id", F.lit(0).alias("part"), F.lit(0).cast("long").alias("start"), F.lit(0).cast("long").alias("tokens"))
     return packed.unionByName(fulls).unionByName(empty)
 

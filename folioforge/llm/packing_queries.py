@@ -19,4 +19,10 @@ def p8_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.fill_report(p8_containers(spark, sf_dir), table(spark, sf_dir, "pack_profile"))
 
 
-QUERIES = {"p8_containers": p8_containers, "p8_fill": p8_fill}
+def p8_fill_within_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same where every container is of one length bucket."""
+    profiles = table(spark, sf_dir, "pack_profile")
+    return packing.fill_report(packing.pack(table(spark, sf_dir, "documents"), profiles, top_up=False), profiles)
+
+
+QUERIES = {"p8_containers": p8_containers, "p8_fill": p8_fill, "p8_fill_within_buckets": p8_fill_within_buckets}

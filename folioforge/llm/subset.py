@@ -5,17 +5,23 @@ k-means cells; the subset maximises the sum over groups and cells of the square
 root of its mass there. A crowded group fills up soon and then gains little, so
 it cannot take most of the places.
 
-Selection runs in rounds with a falling threshold. In a round every partition
-goes through its records in order of gain and proposes those whose gain, given
-what it proposed itself, is at least the threshold; proposals are thinned the
-same way in a few tasks and at last on the driver, where never more than the
-places left per task arrive. All requests share each pass over the data. Only
-the requests' mass vectors (cells x requests) are sent to the workers.
+Selection runs in rounds with a falling threshold. A round computes every
+record's gain over what is selected, in one pass; records whose gain reaches the
+threshold line up behind the others of their main slot (the group, else the
+nearest cell), by gain, and each counts those before it in line as selected
+already. A line is cut where the gain falls below the threshold. As a record
+that fails behind its batch's records fails behind all of them too, a batch
+hands on only the part of its lines that passes; the rest of a line is ranked in
+salted parts first, so that a group with any share of all records is one task's
+only where it is short. Records that passed stand in the line of each of their
+slots once more, and stay if their gain behind all before them there still
+reaches the threshold. What is selected is a table; the driver holds the mass
+vectors (requests x slots) and one count per request.
 
 Defined results: a record counts once (its latest row), under its latest
 subtask; records without a usable vector have no mass and are taken only when
 nothing else is left; a request for more than there is gets all there is; ties
-go to the lower hash of the id, so partitions do not matter.
+go to the lower hash of the id, and nothing depends on partitions.
 """
 
 from __future__ import annotations
@@ -24,21 +30,23 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from folioforge.session import materialize
+from folioforge.operators.ranking import value_at
+from folioforge.operators.sampling import draw
+from folioforge.session import discard, materialize
 
 from . import clusters
 
 #: Cells a record spreads its mass over, the cosine from which a cell counts, and their mass against the group's 1.
 NEAREST, LEAST_COSINE, CELL_MASS = 3, 0.3, 0.03
-#: A round's threshold as a share of the best gain left, and rounds at most before the places left are filled by gain.
-FALL, MAX_ROUNDS = 0.7, 40
-#: Tasks that thin the proposals before the driver does.
-MERGE_TASKS = 16
+#: A round's threshold as a share of the best gain left, and the gain below which records count as without any.
+FALL, LEAST_GAIN = 0.7, 1e-9
+#: Parts in which a line is ranked before it is ranked whole.
+SALTS = 64
 
-SCHEMA = "request_id int, page_id long, gain double, idx array<int>, mass array<float>"
+LINED = "request_id int, page_id long, slot int, held double, mass float, rest double, gain double, tie double"
 
 
 def masses(index: DataFrame) -> DataFrame:
@@ -100,104 +108,133 @@ def _order(ids: np.ndarray) -> np.ndarray:
     return clusters._uniform(ids, 5)
 
 
-def propose(ids: np.ndarray, i: np.ndarray, m: np.ndarray, held: np.ndarray, threshold: float, places: int) -> tuple[list[int], float]:
-    """(rows whose gain, given those before, reaches the threshold; best gain left) by lazy greedy."""
-    held = held.copy()
-    g = gains(i, m, held)
-    hot = np.flatnonzero(g >= threshold)
-    hot = hot[np.lexsort((_order(ids[hot]), -g[hot]))]
-    if threshold <= 0:
-        chosen = hot[:places].tolist()
-        return chosen, 0.0
-    chosen: list[int] = []
-    for r in hot.tolist():
-        if len(chosen) >= places:
-            break
-        now = held[i[r]]
-        if (np.sqrt(now + m[r]) - np.sqrt(now)).sum() >= threshold:
-            chosen.append(r)
-            np.add.at(held, i[r], m[r])
-    taken = np.zeros(len(ids), bool)
-    taken[chosen] = True
-    rest = gains(i[~taken], m[~taken], held)
-    return chosen, float(rest.max()) if len(rest) else 0.0
+def line_up(slot: np.ndarray, gain: np.ndarray, tie: np.ndarray, held: np.ndarray, mass: np.ndarray, rest: np.ndarray, threshold: float) -> np.ndarray:
+    """The rows that pass: by slot, in order of gain and tie, up to the first whose gain behind those before it misses the threshold."""
+    order = np.lexsort((tie, -gain, slot))
+    s = slot[order]
+    place = np.arange(len(s)) - np.searchsorted(s, s)
+    before = held[order] + place * mass[order]
+    fails = np.sqrt(before + mass[order]) - np.sqrt(before) + rest[order] < threshold
+    return order[np.cumsum(fails) - np.concatenate(([0], np.cumsum(fails)))[np.searchsorted(s, s)] == 0]
+
+
+def _pass(todo: dict[int, tuple[np.ndarray, float]]):
+    """Records that pass in their batch's lines, and with a NULL id the best gain below the threshold."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best: dict[int, float] = {}
+        for b in batches:
+            if not len(b):
+                continue
+            ids, asked = b.column(1).to_numpy(), b.column(0).to_numpy()
+            i, m = _dense(b.column(2), b.column(3))
+            for k in np.unique(asked).tolist():
+                held, threshold = todo[k]
+                at = np.flatnonzero(asked == k)
+                now = held[i[at]]
+                each = np.sqrt(now + m[at]) - np.sqrt(now)
+                gain = each.sum(1)
+                low = gain < threshold
+                if low.any():
+                    best[k] = max(best.get(k, 0.0), float(gain[low].max()))
+                at, each, gain = at[~low], each[~low], gain[~low]
+                if not len(at):
+                    continue
+                main = m[at].argmax(1)[:, None]
+                slot, mass = (np.take_along_axis(x[at], main, 1)[:, 0] for x in (i, m))
+                rest = gain - np.take_along_axis(each, main, 1)[:, 0]
+                tie = _order(ids[at])
+                keep = line_up(slot, gain, tie, held[slot], mass, rest, threshold)
+                if len(keep) < len(at):  # what was cut gains just less than the threshold
+                    best[k] = threshold
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keep), k, np.int32)), pa.array(ids[at][keep]), pa.array(slot[keep].astype(np.int32)), pa.array(held[slot][keep]), pa.array(mass[keep].astype(np.float32)), pa.array(rest[keep]), pa.array(gain[keep]), pa.array(tie[keep])], names=[f.split()[0] for f in LINED.split(", ")])
+        for k, g in best.items():
+            yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([None], pa.int64()), pa.array([None], pa.int32()), pa.array([None], pa.float64()), pa.array([None], pa.float32()), pa.array([None], pa.float64()), pa.array([g]), pa.array([None], pa.float64())], names=[f.split()[0] for f in LINED.split(", ")])
+
+    return run
+
+
+def _cut(lined: DataFrame, thresholds: dict[int, float], *by: str) -> DataFrame:
+    """The part of each line that passes, lines being parted by *by* besides request and slot."""
+    w = Window.partitionBy("request_id", "slot", *by).orderBy(F.desc("gain"), "tie", "page_id")
+    limit = F.element_at(F.create_map(*[F.lit(x) for kv in thresholds.items() for x in kv]), F.col("request_id"))
+    before = F.col("held") + (F.row_number().over(w) - 1) * F.col("mass")
+    fails = F.sqrt(before + F.col("mass")) - F.sqrt(before) + F.col("rest") < limit - 1e-12
+    return lined.withColumn("fails", fails).withColumn("failed", F.max("fails").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))).filter("not failed").drop("fails", "failed")
+
+
+def _settle(passed: DataFrame, candidates: DataFrame, todo: dict[int, tuple[np.ndarray, float]]) -> DataFrame:
+    """(request_id, page_id, gain) of the *passed* whose gain behind all before them, in the lines of all their slots, reaches the threshold."""
+    slots = passed.select("request_id", "page_id", "gain", "tie").join(candidates, ["request_id", "page_id"]).select("request_id", "page_id", "gain", "tie", F.explode(F.arrays_zip("idx", "mass")).alias("s")).select("request_id", "page_id", "gain", "tie", F.col("s.idx").alias("slot"), F.col("s.mass").cast("double").alias("m")).filter("m > 0")
+    w = Window.partitionBy("request_id", "slot").orderBy(F.desc("gain"), "tie", "page_id").rowsBetween(Window.unboundedPreceding, -1)
+    now = passed.sparkSession.createDataFrame([(k, i, float(h)) for k, (held, _) in todo.items() for i, h in enumerate(held.tolist()) if h] or [(-1, -1, 0.0)], "request_id int, slot int, h double")
+    at = slots.withColumn("before", F.coalesce(F.sum("m").over(w), F.lit(0.0))).join(F.broadcast(now), ["request_id", "slot"], "left").withColumn("before", F.col("before") + F.coalesce("h", F.lit(0.0)))
+    each = F.sqrt(F.col("before") + F.col("m")) - F.sqrt("before")
+    limit = F.element_at(F.create_map(*[F.lit(x) for k, (_, t) in todo.items() for x in (k, t)]), F.col("request_id"))
+    return at.groupBy("request_id", "page_id").agg(F.sum(each).alias("gain")).filter(F.col("gain") >= limit - 1e-9)
 
 
 def select(pages: DataFrame, requests: DataFrame, cells: int = clusters.CELLS) -> DataFrame:
-    """(request_id, page_id, place, gain) of every request's subset, in the order of selection.
+    """(request_id, page_id, turn, gain) of every request's subset: the round that took the record, and its gain behind those before it.
 
-    The requests are few and their subsets of given size; they are what the driver holds.
+    The requests are few; their subsets are of any size.
     """
     spark = pages.sparkSession
     wanted = requests.filter("request_id is not null and subtask is not null and subset_size > 0").groupBy("request_id").agg(F.max(F.struct("subtask", "subset_size")).alias("r")).select("request_id", "r.*").collect()
-    state = {r["request_id"]: {"subtask": r["subtask"], "left": int(r["subset_size"]), "held": np.zeros(2 * cells), "chosen": [], "ids": set(), "threshold": None, "done": False} for r in wanted}
-    pages = pages.filter(F.col("subtask").isin(sorted({r["subtask"] for r in wanted}))) if wanted else pages.filter("false")
-
-    def one_round() -> list:
-        todo = {k: (s["subtask"], s["left"], s["held"], s["threshold"], np.array(sorted(s["ids"]), np.int64)) for k, s in state.items() if not s["done"]}
-        sent = spark.sparkContext.broadcast(todo)
-
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            held_batches = [b for b in batches if len(b)]
-            if not held_batches:
-                return
-            table = pa.Table.from_batches(held_batches).combine_chunks()
-            subtask = table.column("subtask").to_pylist() if "subtask" in table.column_names else None
-            ids = table.column("page_id").to_numpy()
-            i, m = _dense(table.column("idx").chunk(0), table.column("mass").chunk(0))
-            asked = table.column("request_id").to_numpy() if subtask is None else None
-            by_subtask = None if subtask is None else np.array(subtask, object)
-            for k, (sub, left, held, threshold, gone) in sent.value.items():
-                mine = np.flatnonzero(by_subtask == sub) if asked is None else np.flatnonzero(asked == k)
-                mine = mine[~np.isin(ids[mine], gone)]
-                if not len(mine):
-                    continue
-                if threshold is None:  # the first pass only looks for the best gain
-                    rows, best = [], float(gains(i[mine], m[mine], held).max())
-                else:
-                    rows, best = propose(ids[mine], i[mine], m[mine], held, threshold, left)
-                at = mine[rows] if len(rows) else np.zeros(0, np.int64)
-                g = gains(i[at], m[at], held) if len(at) else np.zeros(0)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(at) + 1, k, np.int32)), pa.array([*ids[at].tolist(), None], pa.int64()), pa.array([*g.tolist(), best]), pa.array([*i[at].tolist(), []], pa.list_(pa.int32())), pa.array([*m[at].tolist(), []], pa.list_(pa.float32()))],
-                    names=["request_id", "page_id", "gain", "idx", "mass"],
-                )
-
-        out = pages.mapInArrow(run, SCHEMA)
-        if spark.sparkContext.defaultParallelism > 4 * MERGE_TASKS:  # thin the proposals before they reach the driver
-            found = materialize(out, "subset-proposals")
-            thinned = found.filter("page_id is not null").repartition(MERGE_TASKS, "page_id").mapInArrow(run, SCHEMA)
-            return thinned.filter("page_id is not null").collect() + found.filter("page_id is null").groupBy("request_id").agg(F.lit(None).alias("page_id"), F.max("gain").alias("gain"), F.lit(None).alias("idx"), F.lit(None).alias("mass")).collect()
-        return out.collect()
-
-    for turn in range(MAX_ROUNDS + 2):
-        if all(s["done"] for s in state.values()):
-            break
-        rows = one_round()
-        for k, s in state.items():
-            if s["done"]:
+    names = spark.createDataFrame([(r["request_id"], r["subtask"]) for r in wanted], "request_id int, subtask string")
+    left = {r["request_id"]: int(r["subset_size"]) for r in wanted}
+    held = {k: np.zeros(2 * cells) for k in left}
+    threshold = dict.fromkeys(left, np.inf)  # the first pass only looks for the best gain
+    chosen: DataFrame | None = None
+    turn = 0
+    candidates = pages.join(F.broadcast(names), "subtask").select("request_id", "page_id", "idx", "mass")  # one row per request
+    while left:
+        open_rows = candidates.filter(F.col("request_id").isin(list(left)))
+        if chosen is not None:
+            open_rows = open_rows.join(chosen.select("request_id", "page_id"), ["request_id", "page_id"], "left_anti").select("request_id", "page_id", "idx", "mass")
+        todo = {k: (held[k], threshold[k]) for k in left}
+        ends = {k for k in left if threshold[k] <= 0}
+        lined = materialize(open_rows.mapInArrow(_pass(todo), LINED), "subset-lines")
+        rows = lined.filter("page_id is not null")
+        passed = rows.filter(~F.col("request_id").isin(list(ends))) if ends else rows
+        salted = _cut(passed.withColumn("salt", F.pmod(F.xxhash64("page_id"), F.lit(SALTS))), {k: t for k, t in threshold.items() if k in left}, "salt").drop("salt")
+        taken = _settle(_cut(salted, {k: t for k, t in threshold.items() if k in left}), candidates, todo)
+        if ends:  # records without gain, by their hash alone
+            taken = taken.unionByName(rows.filter(F.col("request_id").isin(list(ends))).select("request_id", "page_id", "gain"))
+        taken = materialize(taken, "subset-taken")
+        count = {r["request_id"]: r["n"] for r in taken.groupBy("request_id").agg(F.count("*").alias("n")).collect()}
+        over = {k: left[k] for k, n in count.items() if n > left[k]}
+        if over:  # the last round of these: their best, by a cut in their gains, and of those on the cut the first by hash
+            cuts = {k: value_at(taken.filter(F.col("request_id") == k).select(F.round("gain", 12).alias("x")), count[k] - n, count[k]) for k, n in over.items()}
+            cut = F.element_at(F.create_map(*[F.lit(x) for k in count for x in (k, cuts.get(k, -1.0))]), F.col("request_id"))
+            gain = F.round("gain", 12)
+            above = taken.filter(gain > cut)
+            n_above = {r["request_id"]: r["n"] for r in above.groupBy("request_id").agg(F.count("*").alias("n")).collect()}
+            quotas = spark.createDataFrame([(k, n - n_above.get(k, 0)) for k, n in over.items()], "request_id int, quota long")
+            part = materialize(above.unionByName(draw(taken.filter(gain == cut), quotas, ["request_id"], "page_id").select("request_id", "page_id", "gain")), "subset-drawn")
+            discard(taken)
+            taken = part
+        best = {r["request_id"]: (r["below"], r["offered"]) for r in lined.groupBy("request_id").agg(F.max(F.when(F.col("page_id").isNull(), F.col("gain"))).alias("below"), F.count("page_id").alias("offered")).collect()}
+        for r in taken.join(candidates, ["request_id", "page_id"]).select("request_id", F.explode(F.arrays_zip("idx", "mass")).alias("s")).groupBy("request_id", F.col("s.idx").alias("i")).agg(F.sum("s.mass").alias("m")).collect():  # requests x slots
+            held[r["request_id"]][r["i"]] += r["m"]
+        discard(lined)
+        new = taken.withColumn("turn", F.lit(turn))
+        if chosen is not None:
+            new = chosen.unionByName(new)
+        new = materialize(new, "subset-chosen")
+        discard(taken)
+        discard(chosen)
+        chosen, turn = new, turn + 1
+        for k in list(left):
+            below, offered = best.get(k, (None, 0))
+            got = min(count.get(k, 0), left[k])
+            left[k] -= got
+            if left[k] <= 0 or k in ends or k not in best:
+                del left[k]
                 continue
-            mine = [r for r in rows if r["request_id"] == k]
-            best = max([r["gain"] for r in mine if r["page_id"] is None], default=0.0)
-            proposals = [r for r in mine if r["page_id"] is not None]
-            if proposals:
-                ids = np.array([r["page_id"] for r in proposals], np.int64)
-                width = max(max(len(r["idx"]) for r in proposals), 1)
-                i, m = np.zeros((len(ids), width), np.int64), np.zeros((len(ids), width))
-                for n, r in enumerate(proposals):
-                    i[n, : len(r["idx"])], m[n, : len(r["mass"])] = r["idx"], r["mass"]
-                chosen, rest = propose(ids, i, m, s["held"], s["threshold"], s["left"])
-                for n in chosen:
-                    now = s["held"][i[n]]
-                    s["chosen"].append((int(ids[n]), float((np.sqrt(now + m[n]) - np.sqrt(now)).sum())))
-                    s["ids"].add(int(ids[n]))
-                    np.add.at(s["held"], i[n], m[n])
-                s["left"] -= len(chosen)
-                best = max(best, rest)
-            if s["left"] <= 0 or not mine or (s["threshold"] is not None and s["threshold"] <= 0):
-                s["done"] = True
-            # Where proposals met their match, gains are below the threshold now; follow the best gain left.
-            top = min(best, s["threshold"] if s["threshold"] is not None else best)
-            s["threshold"] = FALL * top if top > 1e-9 and turn < MAX_ROUNDS else 0.0
-    out = [(k, p, n + 1, g) for k, s in state.items() for n, (p, g) in enumerate(s["chosen"])]
-    return spark.createDataFrame(out, "request_id int, page_id long, place int, gain double")
+            # Where a line was cut, gains reach just below the threshold; else follow the best gain left.
+            top = threshold[k] if np.isfinite(threshold[k]) and offered > got else min(below or 0.0, threshold[k])
+            threshold[k] = FALL * top if top > LEAST_GAIN else 0.0
+    if chosen is None:
+        return spark.createDataFrame([], "request_id int, page_id long, turn int, gain double")
+    return chosen.select("request_id", "page_id", "turn", "gain")

@@ -162,8 +162,8 @@ class Encoder:
             import tiktoken
 
             core = tiktoken.Encoding(name, pat_str=r"[\s\S]+", mergeable_ranks=self.ranks, special_tokens={})
-            self.merge = core._core_bpe.encode_single_piece
-        except (ImportError, AttributeError):
+            self.merge = lambda piece: core.encode_ordinary(piece.decode())  # the pattern makes any piece one slice
+        except ImportError:
             self.merge = lambda piece: merge_pairs(piece, self.ranks)
 
     def ids_of(self, piece: bytes) -> list[int]:
@@ -190,8 +190,7 @@ class Encoder:
         keep = ~mark[begin]
         begin, end = begin[keep], end[keep]
         owner = np.searchsorted(starts, begin, side="right") - 1
-        key = slice_keys(codes, begin, end)
-        _, first, inverse = np.unique(key, return_index=True, return_inverse=True)
+        first, inverse = unique_slices(joined, codes, begin, end, ~mark)
         found = [self.ids_of(joined[a:b].encode("utf-8", "replace")) for a, b in zip(begin[first].tolist(), end[first].tolist())]
         lengths = np.fromiter(map(len, found), np.int64, len(found))
         pool = np.fromiter((i for f in found for i in f), np.int32, int(lengths.sum()))
@@ -205,6 +204,22 @@ class Encoder:
         return pool[index], per_text, begin - starts[owner] - 1, slices, per_slice
 
 
+def unique_slices(joined: str, codes: np.ndarray, begin: np.ndarray, end: np.ndarray, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(first, inverse) of the different slices. Slices cover the cells of *inside*, in order.
+
+    Slices are told apart by their keys, and every sign is compared with the one
+    in its key's first slice, so two slices of one key are found, not mixed up.
+    """
+    _, first, inverse = np.unique(slice_keys(codes, begin, end), return_index=True, return_inverse=True)
+    size = end - begin
+    if len(begin):
+        at = np.flatnonzero(inside)
+        model = at + np.repeat(begin[first][inverse] - begin, size)
+        if not (np.array_equal(size[first][inverse], size) and np.array_equal(codes[at], codes[model])):
+            _, first, inverse = np.unique(np.array([joined[a:b] for a, b in zip(begin.tolist(), end.tolist())], object), return_index=True, return_inverse=True)
+    return first, inverse
+
+
 def slice_keys(codes: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
     """A 64-bit key of each slice from two rolling hashes, without a loop."""
     keys = []

@@ -61,6 +61,19 @@ def test_packing(spark, monkeypatch):
     assert all(n == 1 for (p, d), n in parts.items() if d not in (502, 3) and sizes[p, d] <= {1: 128, 2: 64}[p])
 
 
+def test_partitions_do_not_matter(spark):
+    rnd = random.Random(5)
+    docs = [(i % 90, "alpha " * rnd.randint(0, 70), "x", None) for i in range(100)] + [(None, "beta " * 90, None, None)] * 2
+    profiles = spark.createDataFrame([(1, "byte_bpe_50k", 64)], PROFILE)
+    at = lambda n: sorted(map(str, packing.pack(spark.createDataFrame(docs, DOC).repartition(n), profiles).collect()))
+    two = at(2)
+    assert two == at(7)
+    room = {}
+    for r in packing.pack(spark.createDataFrame(docs, DOC), profiles, top_up=False).collect():
+        room[r.container] = room.get(r.container, 0) + r.tokens
+    assert max(room.values()) <= 64
+
+
 def test_empty(spark):
     assert packing.pack(spark.createDataFrame([], DOC), spark.createDataFrame([(1, "byte_bpe_50k", 8)], PROFILE)).collect() == []
     assert packing.pack(spark.createDataFrame([(1, "x", None, None)], DOC), spark.createDataFrame([], PROFILE)).collect() == []

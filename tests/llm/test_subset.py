@@ -11,7 +11,7 @@ REQUEST = "request_id int, subtask string, subset_size int"
 T0 = datetime(2025, 1, 1)
 
 
-def test_gains_near_greedy():
+def test_gains_near_greedy(spark):
     rng = np.random.default_rng(1)
     n, cells = 300, 20
     i = rng.integers(0, cells, (n, 3))
@@ -23,15 +23,19 @@ def test_gains_near_greedy():
         left.remove(r)
         np.add.at(held, i[r], m[r])
     best = np.sqrt(held).sum()
-    held, chosen, t = np.zeros(cells), [], float(subset.gains(i, m, held).max())
-    while len(chosen) < 25:
-        t *= subset.FALL
-        rest = np.setdiff1d(np.arange(n), chosen)
-        got, _ = subset.propose(rest, i[rest], m[rest], held, t, 25 - len(chosen))
-        for r in rest[got]:
-            np.add.at(held, i[r], m[r])
-            chosen.append(int(r))
-    assert np.sqrt(held).sum() > 0.95 * best
+    pages = spark.createDataFrame([(r, "text", i[r].tolist(), m[r].tolist()) for r in range(n)], "page_id long, subtask string, idx array<int>, mass array<float>")
+    chosen = [r.page_id for r in subset.select(pages, spark.createDataFrame([(1, "text", 25)], REQUEST)).collect()]
+    held = np.zeros(cells)
+    for r in chosen:
+        np.add.at(held, i[r], m[r])
+    assert len(set(chosen)) == 25 and np.sqrt(held).sum() > 0.95 * best
+
+
+def test_lines_are_cut_at_the_first_that_fails():
+    slot, gain = np.array([1, 1, 1, 2, 1]), np.array([1.0, 0.9, 0.8, 0.7, 0.95])
+    got = subset.line_up(slot, gain, np.zeros(5), np.zeros(5), np.ones(5), gain - 1.0, 0.35)
+    # Places 0, 1 of slot 1 gain 1 and 0.414 - 0.05; place 2 gains 0.318 - 0.1 and fails, so does all behind it.
+    assert sorted(got.tolist()) == [0, 3, 4]
 
 
 def test_crowded_group_does_not_take_most(spark):
@@ -54,6 +58,17 @@ def test_crowded_group_does_not_take_most(spark):
     assert len(by[4]) == len(set(by[4])) == 761
 
 
+def test_partitions_do_not_matter(spark):
+    rng = np.random.default_rng(7)
+    centres = rng.normal(size=(5, 8))
+    rows = [(k, "text", (centres[k % 5 if k % 2 else 0] + rng.normal(size=8) * 0.2).tolist(), T0, None, None, None) for k in range(500)]
+    requests = spark.createDataFrame([(1, "text", 60), (2, "text", 7)], REQUEST)
+    pages = subset.masses(spark.createDataFrame(rows, INDEX)).collect()
+    at = lambda n: {(r.request_id, r.page_id) for r in subset.select(spark.createDataFrame(pages, "page_id long, subtask string, idx array<int>, mass array<float>").repartition(n), requests).collect()}
+    two = at(2)
+    assert len(two) == 67 and two == at(9)
+
+
 def test_empty(spark):
     empty = spark.createDataFrame([], INDEX)
     assert subset.select(subset.masses(empty), spark.createDataFrame([(1, "text", 3)], REQUEST)).collect() == []
