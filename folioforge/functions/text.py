@@ -128,6 +128,16 @@ def page_ref(c: Column) -> Column:
     return F.struct(F.regexp_replace(c, "#[^#]*$", "").alias("path"), F.when(~mark, F.lit(0)).otherwise(F.try_to_number(last, F.lit("999999999")).cast("int")).alias("page"))
 
 
-def is_empty_result(text: Column, blocks: Column) -> Column:
-    """A page result without text and blocks."""
-    return ~F.coalesce(text, F.lit("")).rlike("(?U)\\S") & (F.coalesce(F.size(blocks), F.lit(0)) <= 0)
+def is_empty_result(text: Column, *lists: Column) -> Column:
+    """A page result without text, and with nothing in any of *lists* (blocks, formulas, tables); NULL lists hold nothing."""
+    empty = ~F.coalesce(text, F.lit("")).rlike("(?U)\\S")
+    return reduce(lambda acc, x: acc & (F.coalesce(F.size(x), F.lit(0)) <= 0), lists, empty)
+
+
+def markdown_result(c: Column) -> Column:
+    """STRUCT<text, formulas, tables> of a reply without blocks: formulas and HTML tables are cut out of the text; NULL stays NULL.
+
+    Pipe tables are among the tables, as HTML, and stay in the text.
+    """
+    bare = F.regexp_replace(F.regexp_replace(c, "(?is)<table\\b.*?</table>", " "), "(?s)\\$\\$.+?\\$\\$|\\\\\\[.+?\\\\\\]", " ")
+    return F.when(c.isNotNull(), F.struct(F.regexp_replace(bare, "(?U)^\\s+|\\s+$", "").alias("text"), formulas(c).alias("formulas"), F.concat(html_tables(c), pipe_tables(c)).alias("tables")))

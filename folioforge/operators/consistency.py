@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from folioforge.functions.constants import TAU
+from folioforge.functions.sequence import formula_similarity, table_rows, table_similarity, text_similarity
+from folioforge.functions.text import edit_similarity, norm_text
 
 
 def tau_of(subtask: Column, taus: dict[str, float] | None = None) -> Column:
@@ -59,6 +61,43 @@ def no_evidence(a: Column, b: Column) -> Column:
     return a.isNull() | b.isNull() | (blank(a) & blank(b))
 
 
+def pair_similarities(readings: DataFrame, subtask: str, target: str, cheap: str, expensive: str, compatibility: bool = True) -> DataFrame:
+    """*readings* with s_mp, s_mq and s_pq of its three columns of readings.
+
+    The similarity follows the subtask: formulas by tokens, tables by structure
+    and cells, all else by text. It is NULL where a reading is unknown. Without
+    *compatibility* composition texts are compared as written but for white space.
+    """
+    sides = (target, cheap, expensive)
+    # Parsed tables and normal texts are columns of their own, so each reading is prepared once for its two pairs.
+    t = readings.withColumns({f"_rows_{c}": table_rows(F.when(F.col(subtask) == "table", F.col(c))) for c in sides})
+    if compatibility:
+        t = t.withColumns({f"_text_{c}": norm_text(F.col(c)) for c in sides})
+
+    def similarity(a: str, b: str) -> Column:
+        prose = edit_similarity(F.col(f"_text_{a}"), F.col(f"_text_{b}")) if compatibility else text_similarity(F.col(a), F.col(b))
+        sim = F.when(F.col(subtask) == "formula", formula_similarity(F.col(a), F.col(b))).when(F.col(subtask) == "table", table_similarity(F.col(f"_rows_{a}"), F.col(f"_rows_{b}"))).otherwise(prose)
+        return F.when(F.col(a).isNotNull() & F.col(b).isNotNull(), sim)
+
+    pairs = {"s_mp": (target, cheap), "s_mq": (target, expensive), "s_pq": (cheap, expensive)}
+    return t.withColumns({n: similarity(*ab) for n, ab in pairs.items()}).drop(*[f"_rows_{c}" for c in sides], *[f"_text_{c}" for c in sides])
+
+
+def element_tiers(readings: DataFrame, subtask: str, target: str, cheap: str, expensive: str, three_way: bool = False, compatibility: bool = True) -> DataFrame:
+    """*readings* with similarities and tier; readings that tell nothing have no similarities and are hard."""
+    t = pair_similarities(readings, subtask, target, cheap, expensive, compatibility)
+    nothing = no_evidence(F.col(target), F.col(cheap))
+    t = t.withColumns({c: F.when(~nothing, F.col(c)) for c in ("s_mp", "s_mq", "s_pq")})
+    return t.withColumn("derived", F.when(nothing, "hard").otherwise(assign_tier(F.col("s_mp"), F.col("s_mq"), F.col("s_pq"), tau_of(F.col(subtask)), three_way)))
+
+
+def gated(items: DataFrame, valid: Column, tiering) -> DataFrame:
+    """*tiering* of the valid items only; the others are invalid without a model's call, with NULLs in the columns that tiering adds."""
+    ok = F.coalesce(valid, F.lit(False))
+    tiered = tiering(items.filter(ok))
+    return tiered.unionByName(items.filter(~ok).withColumn("derived", F.lit("invalid")), allowMissingColumns=True)
+
+
 def calibrate_tau(sims: DataFrame, sim: str, correct: str, by: list[str], target: float = 0.98, support: int = 30, steps: int = 200) -> DataFrame:
     """Per group the least of *steps* thresholds in [0.5, 0.999] from which *target* of the pairs are right.
 

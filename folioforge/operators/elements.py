@@ -24,6 +24,18 @@ def best_match(anchors: DataFrame, blocks: DataFrame, keys: list[str], threshold
     return pairs.groupBy("anchor_id").agg(best.alias("m")).select("anchor_id", F.col("m.iou").alias("iou"), F.col("m.content").alias("content"))
 
 
+def readings_by_box(anchors: DataFrame, blocks: DataFrame, keys: list[str], models: list[str], threshold: float = 0.5) -> DataFrame:
+    """(anchor_id, a column per model): what each model read where the anchor lies, by :func:`best_match` of all models in one join.
+
+    *blocks* has a column model besides; models are matched apart.
+    """
+    each = anchors.select(*keys, F.col("anchor_id").alias("_id"), "box", F.explode(F.array(*[F.lit(m) for m in models])).alias("model"))
+    each = each.select(*keys, "model", "box", F.struct(F.col("_id").alias("id"), "model").alias("anchor_id"))
+    found = best_match(each, blocks, [*keys, "model"], threshold).select("anchor_id.id", "anchor_id.model", "content")
+    of = lambda m: F.max(F.when(F.col("model") == m, F.col("content")))
+    return found.groupBy(F.col("id").alias("anchor_id")).agg(*[of(m).alias(m) for m in models])
+
+
 def drop_wrappers(boxes: DataFrame, page: str, box_id: str, parent: str, inside: float = 0.85, least: int = 2, share: float = 0.5) -> DataFrame:
     """*boxes* without the *parent* boxes that only frame others.
 
@@ -39,6 +51,17 @@ def drop_wrappers(boxes: DataFrame, page: str, box_id: str, parent: str, inside:
     return boxes.join(frames.select(F.col("pid").alias(box_id)), box_id, "left_anti")
 
 
+def confident(boxes: DataFrame, confidence: str, least: float = 0.6) -> DataFrame:
+    """*boxes* that the detector is sure enough of; an unknown confidence is not."""
+    return boxes.filter(F.col(confidence) >= least)
+
+
+def label_difference(a: DataFrame, b: DataFrame, label: str) -> DataFrame:
+    """(label, side): labels that only one of two tables has; no row where both have the same."""
+    x, y = a.select(label).distinct(), b.select(label).distinct()
+    return x.exceptAll(y).withColumn("side", F.lit("left")).unionByName(y.exceptAll(x).withColumn("side", F.lit("right")))
+
+
 def column_count(boxes: DataFrame, page: str, width: str, gap: float = 0.04, most: int = 6) -> DataFrame:
     """(page, n_cols): columns told by gaps between the boxes' centres wider than *gap* of the page."""
     centre = (F.col("box")[0] + F.col("box")[2]) / 2

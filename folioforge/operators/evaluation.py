@@ -70,4 +70,43 @@ def probe_error(estimated: DataFrame, true: DataFrame, by: str, shares: list[str
     """One row: median over clusters of the largest difference between an estimated and a true share."""
     e, t = estimated.alias("e"), true.alias("t")
     worst = F.greatest(*[F.abs(F.col(f"e.{c}") - F.col(f"t.{c}")) for c in shares]) if len(shares) > 1 else F.abs(F.col(f"e.{shares[0]}") - F.col(f"t.{shares[0]}"))
-    return e.join(t, by).agg(F.count("*").alias("n"), F.round(F.percentile(worst, 0.5), 6).alias("median_error"))
+    return e.join(t, by).agg(F.count("*").alias("n"), F.round(F.percentile(worst, 0.5), 6).alias("median_error"))  # one row per cluster
+
+
+def sample_quality(sample: DataFrame, by: list[str], cls: str, tier: str, gain: str) -> DataFrame:
+    """Per group: rows, effective number of classes exp(H), shares of the largest class, of the smaller half of the classes and of waste (invalid), and the rows' mean gain as signal."""
+    rank = F.percent_rank().over(Window.partitionBy(*by).orderBy("n", cls))  # one row per class
+    per = sample.groupBy(*by, cls).agg(F.count("*").alias("n"), F.sum((F.col(tier) == "invalid").cast("long")).alias("bad"), F.sum(gain).alias("gain"))
+    t = per.withColumn("total", F.sum("n").over(Window.partitionBy(*by))).withColumn("p", F.col("n") / F.col("total")).withColumn("small", rank < 0.5)
+    return t.groupBy(*by).agg(
+        F.sum("n").alias("n_rows"), F.round(F.exp(-F.sum(F.col("p") * F.ln("p"))), 6).alias("effective"), F.round(F.max("p"), 6).alias("head_share"), F.round(F.sum(F.when(F.col("small"), F.col("p")).otherwise(0.0)), 6).alias("tail_share"),
+        F.round(F.sum("bad") / F.sum("n"), 6).alias("waste"), F.round(F.sum("gain") / F.sum("n"), 6).alias("signal"),
+    )
+
+
+def evaluate_candidates(df: DataFrame, id_col: str, label: str, candidates: dict[str, str], k: int, seed: int = 0) -> DataFrame:
+    """(candidate, purity, nmi, silhouette, best): a k-means at *k* clusters of each candidate's vectors against the labels.
+
+    The best candidate has the largest NMI, ties the first name. The candidates
+    are few; each is one k-means and one pass.
+    """
+    from .clustering import kmeans_flattened, nearest_centroid
+
+    rows = []
+    for name, vec in sorted(candidates.items()):
+        centres = list(enumerate(kmeans_flattened(df, id_col, vec, k, 0, seed)))
+        if not centres:
+            continue
+        at = nearest_centroid(df, centres, id_col, vec).join(df.select(id_col, label, vec), id_col)
+        p = purity_nmi(at, "cid", label).first()
+        rows.append((name, p["purity"], p["nmi"], simplified_silhouette(at, centres, vec, "cid").first()[0]))
+    best = max(rows, key=lambda r: (r[2] or 0.0, [-ord(c) for c in r[0]]))[0] if rows else None
+    return df.sparkSession.createDataFrame([(*r, r[0] == best) for r in rows], "candidate string, purity double, nmi double, silhouette double, best boolean")
+
+
+def assignment_listing(assigned: DataFrame, cid: str, id_col: str, label: str, n: int = 20) -> DataFrame:
+    """(cid, members): the first *n* members of each cluster by id, with their labels; the nearest of each salt are kept first."""
+    salt = assigned.withColumn("_s", F.pmod(F.xxhash64(id_col), F.lit(64)))
+    first = salt.withColumn("_r", F.row_number().over(Window.partitionBy(cid, "_s").orderBy(id_col))).filter(F.col("_r") <= n)
+    top = first.withColumn("_r", F.row_number().over(Window.partitionBy(cid).orderBy(id_col))).filter(F.col("_r") <= n)
+    return top.groupBy(cid).agg(F.array_sort(F.collect_list(F.struct(id_col, label))).alias("members"))

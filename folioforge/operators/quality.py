@@ -37,6 +37,25 @@ def issue_counts(checked: DataFrame, issues: str = "issues") -> DataFrame:
     return checked.select(F.explode(issues).alias("code")).groupBy("code").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "code")
 
 
+def clean_share(checked: DataFrame, by: list[str], issues: str = "issues") -> DataFrame:
+    """(by, n, n_clean, clean_share): labels without an issue."""
+    clean = (F.size(issues) == 0).cast("long")
+    return checked.groupBy(*by).agg(F.count("*").alias("n"), F.sum(clean).alias("n_clean"), F.round(F.avg(clean.cast("double")), 6).alias("clean_share"))
+
+
+def item_agreement(labels: DataFrame, item: str, label: str) -> DataFrame:
+    """(item, n_pairs, agree): pairs of an item's labels and the share of equal ones, from the labels' counts: no pair is formed."""
+    per = labels.filter(f"{item} is not null and {label} is not null").groupBy(item, label).agg(F.count("*").cast("double").alias("k"))
+    g = per.groupBy(item).agg(F.sum("k").alias("m"), F.sum(F.col("k") * (F.col("k") - 1) / 2).alias("same"))
+    pairs = F.col("m") * (F.col("m") - 1) / 2
+    return g.filter("m > 1").select(item, pairs.cast("long").alias("n_pairs"), (F.col("same") / pairs).alias("agree"))
+
+
+def worst_pairs(pairs: DataFrame, least: int = 1, n: int = 10) -> DataFrame:
+    """The *n* pairs of annotators that agree least, of those with *least* common items; ties go to the lower numbers."""
+    return pairs.filter(F.col("n") >= least).orderBy("agree", "annotator_a", "annotator_b").limit(n)
+
+
 def annotator_pairs(labels: DataFrame, item: str, annotator: str, label: str) -> DataFrame:
     """(annotator_a, annotator_b, n, agree): items both labelled, each pair of annotators once.
 

@@ -51,13 +51,18 @@ def double_annotation(spark: SparkSession, d: str) -> DataFrame:
     return sampling.first_share(table(spark, d, "page_element").select("element_id").distinct(), "element_id", 0.05).select("element_id")
 
 
-def _rounds(spark: SparkSession, d: str) -> DataFrame:
-    """Refinement of every judged element, the judge's rounds as the script."""
+def _script(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """Every judged element with its draft, and the judge's rounds as the script."""
     v = table(spark, d, "judge_verdict").filter("element_id is not null and round_no is not null").groupBy("element_id", "round_no").agg(F.max(F.struct("received_at", "verdict_id", "has_error", "confidence", "corrected")).alias("r"))
     v = v.select("element_id", F.col("round_no").alias("round"), "r.has_error", "r.confidence", "r.corrected")
     e = elements(spark, d, "etype", "content").join(v.select("element_id").distinct(), "element_id", "left_semi")
     items = e.select("element_id", F.col("etype").alias("subtask"), F.coalesce(F.try_element_at("content", F.lit("qwen3-vl-8b")), F.try_element_at("content", F.lit("mistral-ocr-4"))).alias("draft"))
-    return refine.refine(items, v, "element_id", JUDGEABLE)
+    return items, v
+
+
+def _rounds(spark: SparkSession, d: str) -> DataFrame:
+    """Refinement of every judged element by the script."""
+    return refine.refine(*_script(spark, d), "element_id", JUDGEABLE)
 
 
 def judge_refine_loop(spark: SparkSession, d: str) -> DataFrame:
@@ -125,8 +130,8 @@ _WEAK = f"""{SQL_ELEMENTS}, weak AS (
 
 
 
-def _refine_sql(rounds: int = 3) -> str:
-    """The loop unrolled: one step of tables per round."""
+def _refine_sql(rounds: int = 3, render=None) -> str:
+    """The loop unrolled: one step of tables per round; *render* gives SQL of a label's drawing error."""
     per = ", ".join(f"any_value(has_error) FILTER (round_no = {r}) AS h{r}, any_value(confidence) FILTER (round_no = {r}) AS c{r}, any_value(corrected) FILTER (round_no = {r}) AS f{r}" for r in range(1, rounds + 1))
     steps = [f"""{SQL_ELEMENTS}, vv AS (
   SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY element_id, round_no ORDER BY received_at DESC, verdict_id DESC) AS rv FROM judge_verdict WHERE element_id IS NOT NULL AND round_no IS NOT NULL) WHERE rv = 1
@@ -136,9 +141,10 @@ def _refine_sql(rounds: int = 3) -> str:
          [coalesce(content['qwen3-vl-8b'], content['mistral-ocr-4'])] AS seen FROM elements e JOIN pv USING (element_id)
 )"""]
     for r in range(1, rounds + 1):
-        steps.append(f"""a{r} AS (SELECT *, outcome IS NULL AS live, CASE WHEN {sql_squash(f"f{r}")} <> '' THEN f{r} END AS fx, {sql_squash("txt")} AS sa, {sql_squash(f"f{r}")} AS sb FROM t{r - 1}), t{r} AS (
-  SELECT * EXCLUDE (live, fx, sa, sb) REPLACE (
-    CASE WHEN NOT live THEN outcome WHEN h{r} IS NULL THEN 'no_verdict' WHEN NOT h{r} THEN 'refined' WHEN fx IS NULL THEN 'no_fix'
+        drawn = f"{render('txt', 'subtask')} IS NOT NULL" if render else "false"
+        steps.append(f"""a{r} AS (SELECT *, outcome IS NULL AS was_live, {drawn} AS undrawn, outcome IS NULL AND NOT ({drawn}) AS live, CASE WHEN {sql_squash(f"f{r}")} <> '' THEN f{r} END AS fx, {sql_squash("txt")} AS sa, {sql_squash(f"f{r}")} AS sb FROM t{r - 1}), t{r} AS (
+  SELECT * EXCLUDE (live, was_live, undrawn, fx, sa, sb) REPLACE (
+    CASE WHEN NOT was_live THEN outcome WHEN undrawn THEN 'render_failed' WHEN h{r} IS NULL THEN 'no_verdict' WHEN NOT h{r} THEN 'refined' WHEN fx IS NULL THEN 'no_fix'
          WHEN {sql_similarity("sa", "sb")} >= 0.995::DOUBLE THEN 'stuck' WHEN list_contains(seen, fx) THEN 'oscillating' END AS outcome,
     CASE WHEN live AND h{r} AND fx IS NOT NULL THEN fx ELSE txt END AS txt, CASE WHEN live AND h{r} AND fx IS NOT NULL THEN list_append(seen, fx) ELSE seen END AS seen,
     CASE WHEN live AND h{r} IS NOT NULL THEN {r} ELSE n END AS n, CASE WHEN live AND h{r} IS NOT NULL THEN coalesce(c{r}, 0) ELSE conf END AS conf) FROM a{r})""")

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import allocation_queries, cluster_queries, flow_queries, page_queries, similarity_queries, tier_queries
+from . import allocation_queries, cluster_queries, flow_queries, page_queries, review_queries, similarity_queries, tier_queries
 
-MODULES = (similarity_queries, tier_queries, cluster_queries, allocation_queries, flow_queries, page_queries)
+MODULES = (similarity_queries, tier_queries, cluster_queries, allocation_queries, flow_queries, page_queries, review_queries)
 
 
 def queries() -> dict:
