@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,4 +37,14 @@ def p6_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cells.groupBy("grp").agg(F.sum("n").alias("n_records"), F.max_by("assign", F.struct("n", F.negate("assign"))).alias("old_cell"), (F.max("n") / F.sum("n")).alias("old_share"))
 
 
-QUERIES = {"p6_found": p6_found, "p6_groups": p6_groups, "p6_drift": p6_drift}
+def p6_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Size, spread and most typical documents of 64 clusters of documents by their words.
+
+    Texts scatter widely, so the cells of the k-means are the clusters here and are not joined.
+    """
+    vectors = clusters.usable_vectors(clusters.text_vectors(table(spark, sf_dir, "documents"), "doc_id", "text"), "doc_id", "features")
+    centres, n, _ = clusters.fit(vectors, 64)
+    return clusters.describe(materialize(clusters.assign(vectors, centres, np.arange(len(n)), np.full(len(n), np.inf)), "cluster-documents"))
+
+
+QUERIES = {"p6_found": p6_found, "p6_groups": p6_groups, "p6_drift": p6_drift, "p6_documents": p6_documents}

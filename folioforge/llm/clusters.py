@@ -10,8 +10,14 @@ A cell that is cut out of one group lies close to its neighbour compared with
 the spread of both, whatever the group's spread, size or length; cells of
 different groups lie far apart compared with it. So two cells touch when
 |c1 - c2|^2 <= link x (s1 + s2), s being the unbiased mean square spread, and
-groups are the connected cells. That table holds at most ``cells`` rows, a
-parameter, so it is joined on the driver.
+groups are the connected cells. Their number starts at ``cells`` and is doubled
+while there are more groups than GROUPED of the cells, or more rows than LOOSE in
+cells too wide for one group, and that helps (and rows are enough for the cells),
+so a corpus of many groups is not squeezed into few cells.
+The cells' table is small, so it is joined on the driver.
+
+Texts become vectors by signed hashing of their words' weights, sublinear in the
+text and inverse to the texts that hold the word (:func:`text_vectors`).
 
 Defined results: rows without a usable vector (NULL, empty, NULL or non-finite
 values, all zeros, another length than the most frequent) are in no group, nor
@@ -22,6 +28,7 @@ once, by its latest usable row.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -31,19 +38,23 @@ from pyspark.sql import types as T
 
 from folioforge.session import materialize
 
-#: Cells of the k-means; bounds every table that is sent to the workers.
-CELLS = 384
+from .tokens import slice_keys, text_runs
+
+#: Cells that the k-means begins with, and rows that a cell has at least on average.
+CELLS, ROWS_PER_CELL = 384, 15
 #: Rounds and draws per round of the oversampled seeding.
 SEED_ROUNDS, SEED_DRAWS = 5, 300
 LLOYD_ROUNDS = 8
+#: Groups for a cell, and share of rows in cells too wide for a group, from which the cells are doubled.
+GROUPED, LOOSE = 0.25, 0.2
 #: Touching cells: squared distance against the sum of the cells' mean square spreads.
 LINK = 2.2
 #: A record farther out than this times its cell's (pooled) spread is like no group.
 REACH = 3.2
 #: Records that a group needs.
 MIN_GROUP = 5
-#: Random hyperplanes, and buckets of tokens, of :func:`hashed_features`.
-HASH_BUCKETS = 64
+#: Dimensions of hashed features, and slots in which the texts that hold a word are counted.
+HASH_BUCKETS, WORD_SLOTS = 64, 1 << 18
 
 
 def usable_vectors(df: DataFrame, id_col: str, vec_col: str, at_col: str | None = None) -> DataFrame:
@@ -75,7 +86,7 @@ def usable_vectors(df: DataFrame, id_col: str, vec_col: str, at_col: str | None
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(np.full(len(x), width, np.int32)), pack(x)], names=["id", "at", "d", "v"])
 
     once = rows.mapInArrow(run, "id long, at long, d int, v binary").groupBy("id", "d").agg(F.max(F.struct("at", "v")).alias("r")).select("id", "d", F.col("r.v").alias("v"))
-    held = materialize(once, "cluster-vectors")
+    held = materialize(once, "cluster-vectors")  # stays for the caller's passes
     width = held.groupBy("d").count().orderBy(F.desc("count"), F.desc("d")).first()
     return held.filter(F.col("d") == (width["d"] if width else 0)).select("id", "v")
 
@@ -86,12 +97,77 @@ def pack(x: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.binary(), len(x), [None, pa.py_buffer(ends), pa.py_buffer(x.tobytes())])
 
 
-def hashed_features(tokens: np.ndarray, counts: np.ndarray, buckets: int = HASH_BUCKETS) -> np.ndarray:
-    """Signed hashed weights of token ids: sublinear counts folded into *buckets* dimensions."""
+def hashed_features(owner: np.ndarray, tokens: np.ndarray, weights: np.ndarray, n: int, buckets: int = HASH_BUCKETS) -> np.ndarray:
+    """Signed hashed weights of the *tokens* of *n* texts, folded into *buckets* dimensions."""
     h = tokens.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    out = np.zeros(buckets)
-    np.add.at(out, (h >> np.uint64(40)) % np.uint64(buckets), np.where((h >> np.uint64(63)) > 0, -1.0, 1.0) * (1 + np.log(counts)))
-    return out
+    h ^= h >> np.uint64(29)
+    at = owner * buckets + ((h >> np.uint64(40)) % np.uint64(buckets)).astype(np.int64)
+    return np.bincount(at, weights=np.where((h >> np.uint64(39)) & np.uint64(1) > 0, -weights, weights), minlength=n * buckets).reshape(n, buckets)
+
+
+def _word_counts(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(owner, token, times) of the different words of each text; a token is the hash of a run of letters and digits, case aside."""
+    sizes = np.fromiter(map(len, texts), np.int64, len(texts)) + 1
+    codes = np.frombuffer(("\x01" + "\x01".join(texts)).lower().encode("utf-32-le", "surrogatepass"), np.uint32)
+    if len(codes) != sizes.sum():  # a lower case of more than one sign: text by text
+        parts = [_word_counts([t]) if len(t.lower()) == len(t) else _word_counts(["".join(c.lower()[0] for c in t)]) for t in texts]
+        return tuple(np.concatenate([np.full(len(p[0]), i) if k == 0 else p[k] for i, p in enumerate(parts)]) for k in range(3))
+    starts = np.cumsum(sizes) - sizes
+    edge = np.diff(_wordlike()[codes].astype(np.int8), prepend=0, append=0)
+    begin, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+    if not len(begin):
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    owner = np.searchsorted(starts, begin, side="right") - 1
+    token = slice_keys(codes, begin, end)
+    order = np.lexsort((token, owner))
+    first = np.flatnonzero((np.diff(owner[order], prepend=-1) != 0) | (np.diff(token[order].view(np.int64), prepend=token[order[:1]].view(np.int64) + 1) != 0))
+    return owner[order][first], token[order][first], np.diff(first, append=len(order))
+
+
+@cache
+def _wordlike() -> np.ndarray:
+    t = np.zeros(0x110000, bool)
+    for i in (*range(0x30, 0x3100), *range(0x3400, 0xA000), *range(0xAC00, 0xD7A4)):
+        t[i] = chr(i).isalnum()
+    return t
+
+
+def text_vectors(df: DataFrame, id_col: str, text_col: str, buckets: int = HASH_BUCKETS) -> DataFrame:
+    """(id, features): hashed weights of each text's words, (1 + ln times) x ln(texts / texts with the word).
+
+    Texts with a word are counted in WORD_SLOTS slots, a table of fixed size that
+    is sent to the workers. NULL texts and texts without a word have no features.
+    """
+    rows = df.filter(F.col(id_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n = np.zeros(WORD_SLOTS, np.int64), 0
+        for b in batches:
+            for part in text_runs(b.column(1).to_pylist()):
+                owner, token, _ = _word_counts(part)
+                held += np.bincount((token % np.uint64(WORD_SLOTS)).astype(np.int64), minlength=WORD_SLOTS)
+                n += len(part)
+        at = np.flatnonzero(held)
+        yield pa.RecordBatch.from_arrays([pa.array(np.append(at, -1)), pa.array(np.append(held[at], n))], names=["slot", "n"])
+
+    got = rows.mapInArrow(count, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()  # WORD_SLOTS rows at most
+    slot, n = got.column("slot").to_numpy(), got.column("n").to_numpy()
+    total, seen = int(n[slot == -1].sum()), np.zeros(WORD_SLOTS, np.int64)
+    seen[slot[slot >= 0]] = n[slot >= 0]
+    sent = rows.sparkSession.sparkContext.broadcast(np.log(max(total, 1) / np.maximum(seen, 1)).clip(0.0).astype(np.float32))
+
+    def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            at = 0
+            for part in text_runs(b.column(1).to_pylist()):
+                owner, token, times = _word_counts(part)
+                weight = (1 + np.log(times)) * sent.value[(token % np.uint64(WORD_SLOTS)).astype(np.int64)] if len(token) else np.zeros(0)
+                x = hashed_features(owner, token, weight, len(part), buckets).astype(np.float32)
+                some = (x != 0).any(1)
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(at, len(part)).filter(pa.array(some)), pa.array(list(x[some]), pa.list_(pa.float32()))], names=["id", "features"])
+                at += len(part)
+
+    return rows.mapInArrow(vectors, "id long, features array<float>").select(F.col("id").alias(id_col), "features")
 
 
 def matrix(column: pa.Array) -> np.ndarray:
@@ -196,30 +272,49 @@ def _weighted_seeds(points: np.ndarray, weight: np.ndarray, k: int, seed: int) -
     return centres
 
 
+def fit_groups(vectors: DataFrame, cells: int = CELLS, seed: int = 1) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(centres, group of each, reach of each), with twice the cells as long as there may be more groups than they can tell apart."""
+
+    def grouped(cells: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, int, float, float]:
+        centres, n, spread = fit(vectors, cells, seed)
+        group, reach = join_cells(centres, n, spread)
+        return centres, group, reach, int(group.max(initial=-1)) + 1, float(n[group < 0].sum() / max(n.sum(), 1)), float(n.sum())
+
+    now = grouped(cells)
+    while now[5] >= 2 * cells * ROWS_PER_CELL and (now[3] > GROUPED * cells or now[4] > LOOSE):
+        cells *= 2
+        more = grouped(cells)
+        if more[3] <= now[3] and more[4] > 0.8 * now[4]:
+            break
+        now = more
+    return now[:3]
+
+
 def fit(vectors: DataFrame, cells: int = CELLS, seed: int = 1) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(centres, rows, mean square spread) of the k-means cells that hold rows.
 
-    Seeding draws about SEED_DRAWS rows in each of SEED_ROUNDS passes, each row
-    by its share of the present cost; the candidates - their expected number is
-    the product, whatever the table's size - are weighted by their cells and
-    reduced to *cells* centres.
+    Seeding draws about SEED_DRAWS rows (more for more cells than CELLS, in
+    proportion) in each of SEED_ROUNDS passes, each row by its share of the
+    present cost; the candidates are weighted by their cells and reduced to
+    *cells* centres.
     """
     first = vectors.orderBy(F.xxhash64(F.lit(seed), "id"), "id").limit(1).collect()
     if not first:
         return np.zeros((0, 1)), np.zeros(0), np.zeros(0)
     candidates = np.frombuffer(first[0]["v"], np.float32)[None, :]
+    draws = max(SEED_DRAWS, cells * SEED_DRAWS // CELLS)
     total = _seed_pass(vectors, candidates, 0, None, seed).agg(F.sum("cost")).first()[0]
     for i in range(SEED_ROUNDS):
         if not total:
             break
-        rows = _seed_pass(vectors, candidates, SEED_DRAWS, total, seed + i + 1).collect()
+        rows = _seed_pass(vectors, candidates, draws, total, seed + i + 1).collect()
         total = sum(r["cost"] for r in rows if r["v"] is None)
         drawn = sorted((r["id"], bytes(r["v"])) for r in rows if r["v"] is not None)
         if drawn:
             candidates = np.vstack([candidates, *[np.frombuffer(v, np.float32) for _, v in drawn]])
     n, _, _ = _cell_sums(vectors, candidates)
-    # No more cells than a fifteenth of the rows, so that spreads rest on enough rows.
-    k = int(max(8, min(cells, n.sum() // 15)))
+    # Spreads rest on enough rows.
+    k = int(max(8, min(cells, n.sum() // ROWS_PER_CELL)))
     centres = _weighted_seeds(candidates.astype(np.float64), n + 1e-9, k, seed)
     n, s, q = _cell_sums(vectors, centres)
     for _ in range(LLOYD_ROUNDS):
@@ -248,7 +343,8 @@ def join_cells(centres: np.ndarray, n: np.ndarray, spread: np.ndarray, link: flo
     firm = np.flatnonzero(n >= 4)
     if not len(firm):
         return np.full(k, -1), np.zeros(k)
-    d = ((centres[:, None, :] - centres[None, :, :]) ** 2).sum(2) if k <= 1024 else 2 - 2 * centres @ centres.T
+    length = (centres * centres).sum(1)
+    d = np.maximum(length[:, None] + length[None, :] - 2 * centres @ centres.T, 0.0)
     # A cell that gathers strays is wide: its spread tells no neighbourhood. It is measured against the firm cells' nearest ones.
     parent = np.arange(k)
 
@@ -306,9 +402,7 @@ def assign(vectors: DataFrame, centres: np.ndarray, group: np.ndarray, reach: np
 def cluster(df: DataFrame, id_col: str = "page_id", vec_col: str = "features", at_col: str | None = "indexed_at", cells: int = CELLS, seed: int = 1) -> DataFrame:
     """(id, grp, cell, dist) of every record with a usable vector."""
     vectors = usable_vectors(df, id_col, vec_col, at_col)
-    centres, n, spread = fit(vectors, cells, seed)
-    group, reach = join_cells(centres, n, spread)
-    return assign(vectors, centres, group, reach)
+    return assign(vectors, *fit_groups(vectors, cells, seed))
 
 
 def describe(assigned: DataFrame, typical: int = 5) -> DataFrame:

@@ -52,8 +52,7 @@ LINED = "request_id int, page_id long, slot int, held double, mass float, rest d
 def masses(index: DataFrame) -> DataFrame:
     """(page_id, subtask, idx, mass): each record's nearest cells and its mass in them."""
     vectors = clusters.usable_vectors(index, "page_id", "features", "indexed_at")
-    centres, n, spread = clusters.fit(vectors)
-    group, reach = clusters.join_cells(centres, n, spread)
+    centres, group, reach = clusters.fit_groups(vectors)
     norm = np.linalg.norm(centres, axis=1, keepdims=True)
     unit = (centres / np.maximum(norm, 1e-12)).astype(np.float32)
     sent = vectors.sparkSession.sparkContext.broadcast((unit, centres, group, reach))
@@ -174,7 +173,7 @@ def _settle(passed: DataFrame, candidates: DataFrame, todo: dict[int, tuple[np.n
     return at.groupBy("request_id", "page_id").agg(F.sum(each).alias("gain")).filter(F.col("gain") >= limit - 1e-9)
 
 
-def select(pages: DataFrame, requests: DataFrame, cells: int = clusters.CELLS) -> DataFrame:
+def select(pages: DataFrame, requests: DataFrame) -> DataFrame:
     """(request_id, page_id, turn, gain) of every request's subset: the round that took the record, and its gain behind those before it.
 
     The requests are few; their subsets are of any size.
@@ -183,7 +182,8 @@ def select(pages: DataFrame, requests: DataFrame, cells: int = clusters.CELLS) -
     wanted = requests.filter("request_id is not null and subtask is not null and subset_size > 0").groupBy("request_id").agg(F.max(F.struct("subtask", "subset_size")).alias("r")).select("request_id", "r.*").collect()
     names = spark.createDataFrame([(r["request_id"], r["subtask"]) for r in wanted], "request_id int, subtask string")
     left = {r["request_id"]: int(r["subset_size"]) for r in wanted}
-    held = {k: np.zeros(2 * cells) for k in left}
+    slots = (pages.agg(F.max(F.array_max("idx"))).first()[0] if left else None) or 0
+    held = {k: np.zeros(slots + 1) for k in left}
     threshold = dict.fromkeys(left, np.inf)  # the first pass only looks for the best gain
     chosen: DataFrame | None = None
     turn = 0

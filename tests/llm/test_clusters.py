@@ -60,3 +60,31 @@ def test_nearest_against_brute_force():
     best, d = clusters.nearest(x, c)
     full = ((x[:, None] - c[None]) ** 2).sum(2)
     assert (best == full.argmin(1)).all() and np.allclose(d, full.min(1))
+
+
+def test_words_are_counted_per_text():
+    owner, token, times = clusters._word_counts(["a b A, b a", "", "b-b", "ÍİX x"])
+    assert np.bincount(owner, minlength=4).tolist() == [2, 0, 1, 2] and sorted(times[owner == 0].tolist()) == [2, 3] and times[owner == 2].tolist() == [2]
+    assert set(token[owner == 2]) <= set(token[owner == 0])
+
+
+def test_texts_of_like_words_are_near(spark):
+    words = [["alpha", "beta", "gamma", "delta"], ["один", "два", "три", "пять"]]
+    rng = np.random.default_rng(3)
+    rows = [(i, " ".join(rng.choice(words[i % 2], 30))) for i in range(40)] + [(90, None), (91, ""), (92, "-- --"), (None, "alpha")]
+    got = {r.doc_id: np.array(r.features) for r in clusters.text_vectors(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), "doc_id", "text").collect()}
+    assert set(got) == set(range(40))
+    cos = lambda a, b: got[a] @ got[b] / np.linalg.norm(got[a]) / np.linalg.norm(got[b])
+    assert cos(0, 2) > 0.7 and cos(1, 3) > 0.7 and abs(cos(0, 1)) < 0.5
+
+
+def test_many_groups_get_more_cells(spark):
+    rng = np.random.default_rng(4)
+    rows, truth = [], []
+    for g in range(60):
+        c = rng.normal(size=24)
+        for _ in range(40):
+            rows.append((len(rows), (c / np.linalg.norm(c) + rng.normal(size=24) * 0.01).tolist(), T0, None, None))
+            truth.append(g)
+    got = {r.id: r.grp for r in clusters.cluster(spark.createDataFrame(rows, SCHEMA), cells=16).collect()}
+    assert len(set(got.values()) - {-1}) == 60
