@@ -10,6 +10,7 @@ from folioforge.operators import allocation, sampling
 from folioforge.operators.clustering import cluster_rarity as rarity
 from folioforge.sources.tables import table
 
+from .cluster_queries import SQL_PAGE_SPARSITY
 from .inputs import SQL_CELLS, SQL_NEAREST, SQL_PAGES, SQL_TREE, cells, nearest, page_sparsity, pages, tree
 
 BUDGET = 300
@@ -74,7 +75,7 @@ def strategy_comparison(spark: SparkSession, d: str) -> DataFrame:
     for name, f in (("flat", allocate_flat), ("tree", allocate_tree), ("nested", allocate_nested)):
         m = allocation.allocation_metrics(f(spark, d), ["subtask"]).withColumn("strategy", F.lit(name))
         out = m if out is None else out.unionByName(m)
-    return out.select("strategy", "subtask", "total", "coverage", "entropy_gain", "share_medium", "share_hard")
+    return out.select("strategy", "subtask", "total", *[F.round(c, 6).alias(c) for c in ("coverage", "entropy_gain", "share_medium", "share_hard")])
 
 
 def stratified_draw(spark: SparkSession, d: str) -> DataFrame:
@@ -173,7 +174,27 @@ _FLAT = f"""{SQL_CELLS}, fw AS (
 ), f0 AS (SELECT subtask, cid, tier, n, budget, w0 AS w, CASE WHEN w0 > 0 THEN CAST(floor({_CAP}::DOUBLE * n) AS BIGINT) ELSE 0 END AS cap FROM fw), {_rounds("f0", "subtask", 14, True)}"""
 _RAISED = f"greatest(got, CASE WHEN w > 0 THEN least({_FLOOR}, cap) ELSE 0 END)"
 
+_NESTED_Q = """, {0} AS (SELECT c.subtask, c.cid, c.tier, c.n, CASE WHEN nn.cid IS NULL THEN 0 ELSE CAST(greatest(got, least({1}, cap)) AS BIGINT) END AS quota FROM cells c LEFT JOIN nn ON nn.subtask = c.subtask AND nn.cid = c.cid AND nn.tier = c.tier)"""
+_NESTED_F = f"""f0 AS (
+  SELECT c.subtask, c.cid, tier, n, budget, coalesce(weight, 0){{prior}} AS w, {_G} AS g, CAST(floor({_CAP}::DOUBLE * n) AS BIGINT) AS cap
+  FROM cells c LEFT JOIN tw ON tw.subtask = c.subtask AND tw.cid = c.cid {{join}} WHERE {_G} > 0)"""
+_METRICS = """(WITH p AS (SELECT subtask, cid, sum(n)::DOUBLE AS pool, sum(quota)::DOUBLE AS o FROM {0} GROUP BY subtask, cid
+), h AS (SELECT *, pool / sum(pool) OVER (PARTITION BY subtask) AS pp, o / sum(o) OVER (PARTITION BY subtask) AS po FROM p
+), m AS (SELECT subtask, sum(o)::BIGINT AS total, round(avg((o > 0)::INT::DOUBLE), 6) AS coverage,
+  round((sum(CASE WHEN po > 0 THEN -po * ln(po) ELSE 0 END) - sum(CASE WHEN pp > 0 THEN -pp * ln(pp) ELSE 0 END)) / greatest(ln(count(*)), 1e-9::DOUBLE), 6) AS entropy_gain FROM h GROUP BY subtask
+), x AS (SELECT subtask, round(sum(CASE WHEN tier = 'medium' THEN quota ELSE 0 END)::DOUBLE / greatest(sum(quota), 1), 6) AS share_medium, round(sum(CASE WHEN tier = 'hard' THEN quota ELSE 0 END)::DOUBLE / greatest(sum(quota), 1), 6) AS share_hard FROM {0} GROUP BY subtask)
+SELECT '{1}' AS strategy, * FROM m JOIN x USING (subtask))"""
+
 ORACLES = {
+    "rarity_prior_allocation": f"""WITH {_TREE_W}, {SQL_PAGE_SPARSITY}, sx AS (SELECT cid, sparsity FROM pages JOIN ps USING (page_id)
+), rr0 AS (SELECT cid, greatest(least(median(sparsity) / (SELECT median(sparsity) FROM sx), 8.0::DOUBLE), 0.125::DOUBLE) AS rarity FROM sx GROUP BY cid
+), {_NESTED_F.format(prior=" * coalesce(rarity, 1)", join="LEFT JOIN rr0 ON rr0.cid = c.cid")}, {_nested("f0", "subtask")}{_NESTED_Q.format("qq", _FLOOR)} SELECT * FROM qq""",
+    "strategy_comparison": f"""SELECT * FROM (WITH {_FLAT}, fq AS (SELECT subtask, cid, tier, n, {_RAISED} AS quota FROM rr) {_METRICS.format("fq", "flat")[1:-1].replace("WITH p AS", ", p AS", 1)})
+UNION ALL SELECT * FROM (WITH {_TREE_W}, f0 AS (
+  SELECT c.subtask, c.cid, tier, n, budget, {_G} * coalesce(weight, 0) AS w, CASE WHEN {_G} * coalesce(weight, 0) > 0 THEN CAST(floor({_CAP}::DOUBLE * n) AS BIGINT) ELSE 0 END AS cap
+  FROM cells c LEFT JOIN tw ON tw.subtask = c.subtask AND tw.cid = c.cid
+), {_rounds("f0", "subtask", 14, True)}, tq AS (SELECT subtask, cid, tier, n, {_RAISED} AS quota FROM rr) {_METRICS.format("tq", "tree")[1:-1].replace("WITH p AS", ", p AS", 1)})
+UNION ALL SELECT * FROM (WITH {_TREE_W}, {_NESTED_F.format(prior="", join="")}, {_nested("f0", "subtask")}{_NESTED_Q.format("nq", _FLOOR)} {_METRICS.format("nq", "nested")[1:-1].replace("WITH p AS", ", p AS", 1)})""",
     "probe_sizes": f"WITH {_PROBES} SELECT cid, n, n_probe FROM pz",
     "cluster_weights": f"WITH {_WEIGHTS} SELECT cid, n_probe, round(p0, 6) AS p0, round(p1, 6) AS p1, round(p2, 6) AS p2, round(p3, 6) AS p3, round(value, 6) AS value, round(se, 6) AS se, round(weight, 6) AS weight, dropped FROM ww",
     "expand_quota": f"""WITH {_WEIGHTS}, e0 AS (

@@ -44,10 +44,10 @@ def tail_reservoir(spark: SparkSession, d: str) -> DataFrame:
 
 
 def lsh_dedup(spark: SparkSession, d: str) -> DataFrame:
-    """Pages kept by greedy near-duplicate removal inside cells and plane codes."""
+    """Pages kept by greedy near-duplicate removal inside cells, compared in 8 tables of 8 planes."""
     p = table(spark, d, "cluster_index").filter("page_id is not null and size(features) = 32 and forall(features, x -> x is not null and not isnan(x) and abs(x) < 1e6)")
     p = p.groupBy("page_id").agg(F.max_by(F.struct("assign", "features"), "indexed_at").alias("r")).select("page_id", "r.*")
-    return clustering.dedup_in_buckets(p, "page_id", "assign", "features")
+    return clustering.dedup_in_buckets(p, "page_id", "assign", "features", bits=8, tables=8)
 
 
 def _sparse(spark: SparkSession, d: str) -> DataFrame:
@@ -91,9 +91,25 @@ def diversity_metrics(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (nearest_centroid, kmeans_lloyd_step, kmeans_flattened, hierarchical_cluster, tail_reservoir, lsh_dedup, local_sparsity, cluster_rarity, rarity_check, purity_nmi, confusion, silhouette, diversity_metrics)}
 
-_SPARSE = """ref AS (SELECT embedding AS r FROM embeddings ORDER BY md5('7:' || vec_id), vec_id LIMIT 256), dd AS (
-  SELECT vec_id, label, list_sum(list_transform(list_zip(embedding, r), lambda z: (z[1]::DOUBLE - z[2]::DOUBLE) * (z[1]::DOUBLE - z[2]::DOUBLE))) AS d2 FROM embeddings, ref
-), sp AS (SELECT vec_id, label, sqrt(d2) AS sparsity FROM (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY d2) AS rn FROM dd) WHERE rn = 8)"""
+_SPARSE = """sp AS (
+  SELECT a.vec_id, any_value(a.label) AS label, list_sort(list(list_distance(a.embedding::DOUBLE[], b.embedding::DOUBLE[])))[16] AS sparsity
+  FROM embeddings a, embeddings b WHERE a.embedding IS NOT NULL AND b.embedding IS NOT NULL GROUP BY a.vec_id)"""
+_USABLE = "page_id IS NOT NULL AND len(features) = 32 AND len(list_filter(features, lambda x: x IS NULL OR isnan(x) OR abs(x) >= 1e6)) = 0"
+#: The 16th nearest of all pages by the unit vectors of their latest usable features.
+SQL_PAGE_SPARSITY = f"""pf AS (SELECT page_id, arg_max(features, indexed_at)::DOUBLE[] AS f FROM cluster_index WHERE {_USABLE} GROUP BY page_id
+), pu AS (SELECT page_id, list_transform(f, lambda x: x / greatest(sqrt(list_inner_product(f, f)), 1e-9::DOUBLE)) AS v FROM pf
+), ps AS (SELECT a.page_id, list_sort(list(list_distance(a.v, b.v)))[16] AS sparsity FROM pu a, pu b GROUP BY a.page_id)"""
+# Greedy removal by id inside each cell, exactly: one step per row of a cell, with the vectors kept so far.
+_GREEDY = f"""WITH RECURSIVE pf AS (
+  SELECT page_id, coalesce(arg_max(struct_pack(a := assign), indexed_at).a, -1) AS c, arg_max(features, indexed_at)::DOUBLE[] AS v FROM cluster_index WHERE {_USABLE} GROUP BY page_id
+), hd AS (SELECT c, v, min(page_id) AS id FROM pf GROUP BY c, v
+), rw AS (SELECT *, row_number() OVER (PARTITION BY c ORDER BY id) AS r FROM hd
+), g AS (
+  SELECT c, r, [v] AS kept, [id] AS ids FROM rw WHERE r = 1
+  UNION ALL
+  SELECT c, r, CASE WHEN new THEN list_append(kept, v) ELSE kept END, CASE WHEN new THEN list_append(ids, id) ELSE ids END
+  FROM (SELECT g.c, rw.r, g.kept, g.ids, rw.v, rw.id, len(list_filter(g.kept, lambda k: list_cosine_similarity(k, rw.v) >= 0.98::DOUBLE)) = 0 AS new FROM g JOIN rw ON rw.c = g.c AND rw.r = g.r + 1)
+), k AS (SELECT DISTINCT unnest(ids) AS id FROM (SELECT c, arg_max(ids, r) AS ids FROM g GROUP BY c))"""
 
 _TABLE = f"""{SQL_NEAREST}, c AS (SELECT cid, label, count(*)::DOUBLE AS n FROM nearest GROUP BY cid, label), t AS (
   SELECT *, sum(n) OVER (PARTITION BY cid) AS nf, sum(n) OVER (PARTITION BY label) AS nt, sum(n) OVER () AS nn, max(n) OVER (PARTITION BY cid) AS top FROM c
@@ -102,7 +118,8 @@ _TABLE = f"""{SQL_NEAREST}, c AS (SELECT cid, label, count(*)::DOUBLE AS n FROM
 ORACLES = {
     "nearest_centroid": f"WITH {SQL_NEAREST} SELECT vec_id, cid, round(dist, 6) AS dist FROM nearest",
     "kmeans_lloyd_step": f"""WITH {SQL_NEAREST}
-SELECT n.cid, count(*) AS n, {", ".join(f"round(avg(e.embedding[{i + 1}]::DOUBLE), 6) AS m{i}" for i in range(4))} FROM nearest n JOIN embeddings e USING (vec_id) GROUP BY n.cid""",
+SELECT n.cid, count(*) AS n, {", ".join(f"round(avg(e.embedding[{i + 1}]::DOUBLE), 6) AS m{i}" for i in range(WIDTH))} FROM nearest n JOIN embeddings e USING (vec_id) GROUP BY n.cid""",
+    "lsh_dedup": f"{_GREEDY} SELECT page_id, page_id IN (SELECT id FROM k) AS kept FROM pf",
     "tail_reservoir": f"""WITH {SQL_NEAREST}, f AS (SELECT quantile_cont(dist, 0.95::DOUBLE) AS far FROM nearest), a AS (
   SELECT CASE WHEN dist > far THEN -1 ELSE cid END AS cid FROM nearest, f
 ), s AS (SELECT cid, count(*) AS n FROM a WHERE cid >= 0 GROUP BY cid HAVING count(*) < 45)
@@ -110,8 +127,8 @@ SELECT CASE WHEN s.cid IS NOT NULL THEN -1 ELSE a.cid END AS cid, count(*) AS n
     "local_sparsity": f"WITH {_SPARSE} SELECT vec_id, round(sparsity, 5) AS sparsity FROM sp",
     "cluster_rarity": f"""WITH {_SPARSE}, w AS (SELECT median(sparsity) AS m FROM sp)
 SELECT label, round(greatest(least(median(sparsity) / any_value(m), 8.0::DOUBLE), 0.125::DOUBLE), 5) AS rarity FROM sp, w GROUP BY label""",
-    "rarity_check": f"""WITH {SQL_PAGES}, c AS (SELECT page_id, max(dist) AS s FROM cluster_index WHERE page_id IS NOT NULL GROUP BY page_id), t AS (
-  SELECT s, (tier IN ('medium', 'hard'))::INT::DOUBLE AS y FROM pages JOIN c USING (page_id) WHERE tier <> 'invalid' AND s IS NOT NULL
+    "rarity_check": f"""WITH {SQL_PAGES}, {SQL_PAGE_SPARSITY}, t AS (
+  SELECT sparsity AS s, (tier IN ('medium', 'hard'))::INT::DOUBLE AS y FROM pages JOIN ps USING (page_id) WHERE tier <> 'invalid' AND sparsity IS NOT NULL
 ), r AS (SELECT y, rank() OVER (ORDER BY s) + (count(*) OVER (PARTITION BY s) - 1) / 2.0::DOUBLE AS rx FROM t), g AS (
   SELECT count(*) AS n, CASE WHEN count(*) >= 100 AND var_pop(y) > 0 AND var_pop(rx) > 0 THEN corr(rx, y) ELSE 0 END AS rho FROM r)
 SELECT n, round(rho, 6) AS rho, CASE WHEN rho <= 0.05::DOUBLE THEN 0.0::DOUBLE WHEN rho < 0.15::DOUBLE THEN 0.5::DOUBLE ELSE 1.0::DOUBLE END AS tau FROM g""",

@@ -162,6 +162,24 @@ SELECT element_id, round(CASE WHEN n = 0 THEN 1.0::DOUBLE ELSE 1 - levenshtein(x
   SELECT doc_id, list_filter(list_transform(regexp_extract_all(coalesce(text, ''), '(?s)(\\$\\$.+?\\$\\$|\\\\\\[.+?\\\\\\])', 1), lambda h: trim(substr(h, 3, length(h) - 4), ' ')), lambda h: h <> '') AS fs FROM documents)
 SELECT doc_id, CAST(i - 1 AS INT) AS pos, trim(regexp_replace(trim(fs[i], ' '), '^(\\$\\$|\\$|\\\\\\[|\\\\\\()+\\s*|\\s*(\\$\\$|\\$|\\\\\\]|\\\\\\))+$', '', 'g'), ' ') AS formula
 FROM (SELECT doc_id, fs, unnest(range(1, len(fs) + 1)) AS i FROM f)""",
+    "table_extract": """WITH pl AS (
+  SELECT doc_id, i, trim(ls[i], ' ') AS l FROM (SELECT doc_id, regexp_split_to_array(coalesce(text, ''), '\\r\\n|\\r|\\n') AS ls FROM documents), range(1, 200000) r(i) WHERE i <= len(ls)
+), pi AS (SELECT *, i - row_number() OVER (PARTITION BY doc_id ORDER BY i) AS island FROM pl WHERE starts_with(l, '|') AND ends_with(l, '|')
+), pt AS (
+  SELECT doc_id, island, '<table>' || string_agg('<tr>' || array_to_string(list_transform(string_split(regexp_replace(l, '^\\|+|\\|+$', '', 'g'), '|'), lambda x: '<td>' || trim(x, ' ') || '</td>'), '') || '</tr>', '' ORDER BY i) || '</table>' AS t
+  FROM pi WHERE NOT regexp_matches(l, '^\\|[\\s:\\-|]+\\|$') GROUP BY doc_id, island HAVING count(*) >= 2
+), pn AS (SELECT doc_id, list(t ORDER BY island) AS p FROM pt GROUP BY doc_id
+), h AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '(?is)<table\\b.*?</table>') AS h FROM documents)
+SELECT doc_id, CAST(len(h) AS INT) AS n_html, CAST(coalesce(len(p), 0) AS INT) AS n_pipe, list_concat(h, coalesce(p, [])) AS tables FROM h LEFT JOIN pn USING (doc_id)""",
+    "layout_f1": f"""WITH {_BOXES}, pg AS (
+  SELECT page_id, list(struct_pack(label := label, box := box) ORDER BY eid, label, box) AS a FROM boxes GROUP BY page_id
+), pr AS (
+  SELECT page_id, i, j, {_iou("a[i].box", "list_transform(a[j].box, lambda v: v + 40)")} AS v FROM pg, range(1, 400) x(i), range(1, 400) y(j) WHERE i <= len(a) AND j <= len(a) AND a[i].label = a[j].label
+), ps AS (SELECT page_id, list(struct_pack(ua := []::BIGINT[], ub := []::BIGINT[], i := i, j := j) ORDER BY v DESC, i DESC, j DESC) AS ps FROM pr WHERE v >= 0.5::DOUBLE GROUP BY page_id
+), gr AS (
+  SELECT page_id, len(list_reduce(list_prepend(struct_pack(ua := []::BIGINT[], ub := []::BIGINT[], i := 0::BIGINT, j := 0::BIGINT), ps), lambda acc, x: CASE WHEN list_contains(acc.ua, x.i) OR list_contains(acc.ub, x.j) THEN acc
+    ELSE struct_pack(ua := list_append(acc.ua, x.i), ub := list_append(acc.ub, x.j), i := x.i, j := x.j) END).ua) AS m FROM ps)
+SELECT page_id, round(coalesce(m, 0)::DOUBLE / len(a), 6) AS f1 FROM pg LEFT JOIN gr USING (page_id)""",
     "html_table_counts": """WITH t AS (
   SELECT source, regexp_extract_all(coalesce(text, ''), '(?is)(<table\\b.*?</table>)', 1) AS h FROM documents)
 SELECT source, CAST(sum(CASE WHEN len(h) > 0 THEN 1 ELSE 0 END) AS BIGINT) AS n_docs, CAST(sum(len(h)) AS BIGINT) AS n_tables,

@@ -14,6 +14,7 @@ import tempfile
 import uuid
 from pathlib import Path
 
+from pyspark import SparkContext
 from pyspark.sql import DataFrame, SparkSession
 
 #: Defaults of :func:`local_session`; a cluster brings its own settings.
@@ -77,17 +78,42 @@ def reachable(spark: SparkSession) -> None:
         env["PYTHONPATH"] = os.pathsep.join([root, *paths])
 
 
+#: Tables that were written and not discarded yet; they are removed when the application ends.
+_HELD: set[str] = set()
+
+
+def _remove(path: str) -> None:
+    gateway = SparkContext._gateway
+    if gateway is None:
+        return
+    p = gateway.jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(gateway.jvm.org.apache.hadoop.conf.Configuration()).delete(p, True)
+
+
+@atexit.register
+def _remove_held() -> None:
+    """Results may still read the tables behind them as long as the application runs; none outlives it."""
+    for path in sorted(_HELD):
+        try:
+            _remove(path)
+        except Exception:  # the driver is going down; what is left is in the shared folder
+            break
+    _HELD.clear()
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Cut the lineage: write *df* as a table in the shared folder, read it back.
 
     The table survives the loss of executors, is column-pruned and compressed
-    when read again, and is what every loop of the engine iterates on.
+    when read again, and is what every loop of the engine iterates on. It is
+    removed by :func:`discard`, else when the application ends.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex[:12]}"
     df.write.mode("overwrite").option("compression", "zstd").parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._folioforge_path = path
+    _HELD.add(path)
     return out
 
 
@@ -98,3 +124,4 @@ def discard(df: DataFrame | None) -> None:
         jvm = df.sparkSession.sparkContext._jvm
         p = jvm.org.apache.hadoop.fs.Path(path)
         p.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+        _HELD.discard(path)
