@@ -150,10 +150,10 @@ def fit(votes: DataFrame, rounds: int = 25, tolerance: float = 2e-3, diagonal: f
     return final, theta
 
 
-def consensus(annotation: DataFrame, elements: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(element_id, tier, posterior) and the raters' Dirichlet counts."""
+def consensus(annotation: DataFrame, elements: DataFrame | None) -> tuple[DataFrame, DataFrame]:
+    """(element_id, tier, posterior) and the raters' Dirichlet counts; without *elements* people are the only raters."""
     people = human_votes(annotation)
-    votes = people.unionByName(machine_votes(elements, people))
+    votes = people if elements is None else people.unionByName(machine_votes(elements, people))
     posterior, theta = fit(votes)
     best = F.greatest(*[F.col(f"q{k}") for k in CLASSES])
     name = reduce(lambda acc, k: acc.when(F.col(f"q{k}") == F.col("best"), F.lit(TIERS[k])), CLASSES, F.when(F.lit(False), F.lit("")))

@@ -27,9 +27,25 @@ def p1_agreement(spark: SparkSession, sf_dir: str) -> DataFrame:
     return consensus.agreement(consensus.human_votes(table(spark, sf_dir, "annotation")))
 
 
-QUERIES = {"p1_found": p1_found, "p1_raters": p1_raters, "p1_agreement": p1_agreement}
+def p1_people(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row: elements, and on how many the model of people's answers alone gives the same tier as with the machine raters."""
+    annotation = table(spark, sf_dir, "annotation")
+    both, _ = consensus.consensus(annotation, table(spark, sf_dir, "page_element"))
+    people, _ = consensus.consensus(annotation, None)
+    same = both.select("element_id", "tier").join(people.select("element_id", F.col("tier").alias("by_people")), "element_id")
+    return same.agg(F.count("*").alias("n_elements"), F.sum((F.col("tier") == F.col("by_people")).cast("long")).alias("n_same"))
+
+
+def p1_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row: elements that got a tier, each once."""
+    return p1_found(spark, sf_dir).agg(F.count("*").alias("n_rows"), F.count_distinct("element_id").alias("n_elements"))
+
+
+QUERIES = {"p1_found": p1_found, "p1_raters": p1_raters, "p1_agreement": p1_agreement, "p1_people": p1_people, "p1_coverage": p1_coverage}
 
 ORACLES = {
+    "p1_coverage": """SELECT count(DISTINCT element_id) AS n_rows, count(DISTINCT element_id) AS n_elements FROM annotation
+WHERE element_id IS NOT NULL AND regexp_replace(regexp_replace(lower(tier), '[^a-z]', '', 'g'), '^tier', '') IN ('easy', 'medium', 'hard', 'invalid')""",
     "p1_agreement": """
 WITH named AS (
   SELECT annotation_id, element_id, received_at,

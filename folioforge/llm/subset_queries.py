@@ -29,4 +29,16 @@ def p2_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return requests.join(got, "request_id", "left").join(pool, "subtask", "left").select("request_id", "subset_size", F.coalesce("n_chosen", F.lit(0)).alias("n_chosen"), "cells", "cells_pool", F.round(F.col("top") / F.col("n_chosen"), 6).alias("top_share"), F.round(F.col("top_pool") / F.col("n_pool"), 6).alias("top_share_pool"))
 
 
-QUERIES = {"p2_subset": p2_subset, "p2_coverage": p2_coverage}
+def p2_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per request: pages chosen, each once."""
+    return p2_subset(spark, sf_dir).groupBy("request_id").agg(F.count("*").alias("n_rows"), F.count_distinct("page_id").alias("n_pages"))
+
+
+QUERIES = {"p2_subset": p2_subset, "p2_coverage": p2_coverage, "p2_sizes": p2_sizes}
+
+ORACLES = {
+    "p2_sizes": """WITH p AS (
+  SELECT page_id, subtask FROM (SELECT page_id, subtask, row_number() OVER (PARTITION BY page_id ORDER BY coalesce(epoch_us(indexed_at), 0) DESC, subtask DESC) AS rn FROM cluster_index WHERE page_id IS NOT NULL AND subtask IS NOT NULL) WHERE rn = 1
+), n AS (SELECT subtask, count(*) AS n FROM p GROUP BY subtask)
+SELECT request_id, least(subset_size, n) AS n_rows, least(subset_size, n) AS n_pages FROM subset_request JOIN n USING (subtask) WHERE subset_size > 0""",
+}

@@ -32,3 +32,12 @@ def p4_limits(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"p4_found": p4_found, "p4_rates": p4_rates, "p4_limits": p4_limits}
+
+ORACLES = {
+    "p4_limits": """WITH v AS (
+  SELECT 'page_element' AS tbl, unnest(map_keys(content)) AS source, unnest(map_values(content)) AS t FROM page_element WHERE element_id IS NOT NULL
+  UNION ALL SELECT 'judge_verdict', coalesce(judge_model, ''), corrected FROM judge_verdict WHERE verdict_id IS NOT NULL
+), c AS (SELECT tbl, source, length(regexp_replace(t, '\\s+$', '')) AS n_chars, count(*) AS n_values FROM v GROUP BY ALL
+), w AS (SELECT *, (sum(n_values) OVER (PARTITION BY tbl, source ORDER BY n_chars RANGE BETWEEN 6 PRECEDING AND 6 FOLLOWING) - n_values) / 12::DOUBLE AS around FROM c)
+SELECT tbl, source, CAST(n_chars AS INT) AS n_chars, n_values FROM w WHERE n_values >= 8 AND n_values >= 6 * greatest(around, 1) AND n_chars > 48""",
+}
