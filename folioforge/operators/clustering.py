@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import Bucketizer
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from folioforge.functions.constants import CLUSTER
@@ -166,25 +166,47 @@ def _bucketed(bits: int, seed: int, tables: int):
 
 
 def _look_back(cosine: float):
-    """For each undecided row of one part of a bucket: is a near duplicate before it kept, is one before it undecided?"""
-
-    def run(table: pa.Table) -> pa.Table:
-        table = table.sort_by("id")
-        ids, part = table.column("id").to_numpy(), table.column("part").to_numpy()
-        own, other = table.column("p1")[0].as_py(), table.column("p2")[0].as_py()
-        x = _unit_rows(_batch(pa.concat_arrays(table.column("v").chunks)))
-        kept = table.column("kept").to_numpy(zero_copy_only=False).astype(bool)
+    """For each undecided row of one part of a bucket: is a near duplicate before it kept, is one before it undecided?
+
+    Rows come sorted by bucket, parts and id; a bucket's rows are compared when its last one has come.
+    """
+    names = ["id", "after_kept", "after_open"]
+
+    def judge(ids: np.ndarray, x: np.ndarray, kept: np.ndarray, part: np.ndarray, apart: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         asked = np.flatnonzero(~kept)
         after_kept, after_open = np.zeros(len(asked), bool), np.zeros(len(asked), bool)
         step = max(1, DISTANCES // len(x))
         for s in range(0, len(asked), step):
             rows = asked[s : s + step]
-            before = x[: rows[-1]]  # sorted by id: nothing behind the last of them counts
-            near = (x[rows] @ before.T >= cosine) & (ids[: rows[-1]][None, :] < ids[rows][:, None])
-            if own != other:  # rows of one part are compared in the task of that part
-                near &= part[: rows[-1]][None, :] != part[rows][:, None]
-            after_kept[s : s + step], after_open[s : s + step] = (near & kept[: rows[-1]]).any(1), (near & ~kept[: rows[-1]]).any(1)
-        return pa.table({"id": ids[asked], "after_kept": after_kept, "after_open": after_open})
+            upto = rows[-1]  # sorted by id: nothing behind the last of them counts
+            near = (x[rows] @ x[:upto].T >= cosine) & (ids[:upto][None, :] < ids[rows][:, None])
+            if apart:  # rows of one part are compared in the task of that part
+                near &= part[:upto][None, :] != part[rows][:, None]
+            after_kept[s : s + step], after_open[s : s + step] = (near & kept[:upto]).any(1), (near & ~kept[:upto]).any(1)
+        return ids[asked], after_kept, after_open
+
+    def whole(t: pa.Table, ends: list[int]) -> pa.RecordBatch:
+        x = _unit_rows(_batch(pa.concat_arrays(t.column("v").chunks)))
+        ids, part, own, other = (t.column(c).to_numpy() for c in ("id", "part", "p1", "p2"))
+        kept = t.column("kept").to_numpy().astype(bool)
+        found = [judge(ids[s:e], x[s:e], kept[s:e], part[s:e], own[s] != other[s]) for s, e in zip([0, *ends], ends)]
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*found)], names=names)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: pa.Table | None = None
+        for b in batches:
+            if not len(b):
+                continue
+            t = pa.Table.from_batches([b]) if held is None else pa.concat_tables([held, pa.Table.from_batches([b])])
+            changes = np.zeros(len(t) - 1, bool)
+            for c in ("c", "t", "code", "p1", "p2"):
+                changes |= np.diff(t.column(c).to_numpy()) != 0
+            ends = (np.flatnonzero(changes) + 1).tolist()
+            if ends:
+                yield whole(t.slice(0, ends[-1]), ends)
+            held = t.slice(ends[-1]) if ends else t
+        if held is not None:
+            yield whole(held, [len(held)])
 
     return run
 
@@ -210,26 +232,25 @@ def dedup_in_buckets(df: DataFrame, id_col: str, cid: str, vec_col: str, cosine:
     heads = rows.groupBy("c", F.xxhash64("v").alias("h1"), F.xxhash64(F.lit(1), "v").alias("h2")).agg(F.min("id").alias("id"), F.first("v").alias("v"))
     state = materialize(heads.select("id", "c", "v", F.lit(False).alias("kept")), "dedup-rows")
     keyed = "id long, c int, v array<double>, kept boolean, t int, code long"
-    done = []
-    while True:
+    undecided = not state.isEmpty()
+    while undecided:
         at = state.mapInArrow(_bucketed(bits, seed, tables), keyed)
         key = ["c", "t", "code"]
-        sizes = at.groupBy(*key).agg(F.count("*").alias("n"), F.bool_or(~F.col("kept")).alias("open")).filter("open")
-        parts = materialize(sizes.select(*key, F.ceil(F.col("n") / BUCKET_ROWS).cast("int").alias("parts")), "dedup-buckets")
-        if parts.isEmpty():
-            discard(parts)
-            break
+        # Buckets of one row, and those without an undecided one, have nothing to compare.
+        sizes = at.groupBy(*key).agg(F.count("*").alias("n"), F.bool_or(~F.col("kept")).alias("open")).filter("open and n > 1")
+        parts = sizes.select(*key, F.ceil(F.col("n") / BUCKET_ROWS).cast("int").alias("parts"))
         part = F.pmod(F.xxhash64("id"), F.col("parts")).cast("int").alias("part")
         cut = at.join(parts, key).select("*", part).withColumn("with", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
         cut = cut.select("id", "v", "kept", *key, "part", F.least("part", "with").alias("p1"), F.greatest("part", "with").alias("p2"))
-        seen = cut.groupBy(*key, "p1", "p2").applyInArrow(_look_back(cosine), "id long, after_kept boolean, after_open boolean").groupBy("id").agg(F.bool_or("after_kept").alias("after_kept"), F.bool_or("after_open").alias("after_open"))
-        decided = state.join(seen, "id", "left")
-        new = materialize(decided.filter("kept or not after_kept").select("id", "c", "v", (F.col("kept") | ~F.col("after_open")).alias("kept")), "dedup-rows")
-        done += [parts, state]
+        sorted_rows = cut.repartition(*key, "p1", "p2").sortWithinPartitions(*key, "p1", "p2", "id")
+        seen = sorted_rows.mapInArrow(_look_back(cosine), "id long, after_kept boolean, after_open boolean").groupBy("id").agg(F.bool_or("after_kept").alias("after_kept"), F.bool_or("after_open").alias("after_open"))
+        decided = state.join(seen, "id", "left").na.fill(False, ["after_kept", "after_open"])
+        left = Observation("undecided")
+        new = decided.filter("kept or not after_kept").select("id", "c", "v", (F.col("kept") | ~F.col("after_open")).alias("kept"))
+        new = materialize(new.observe(left, F.count(F.when(~F.col("kept"), 1)).alias("n")), "dedup-rows")
+        undecided = left.get["n"]
+        discard(state)
         state = new
-        for old in done:
-            discard(old)
-        done = []
     kept = state.select("id", F.lit(True).alias("kept"))
     return rows.select("id").join(kept, "id", "left").select(F.col("id").alias(id_col), F.coalesce("kept", F.lit(False)).alias("kept"))
 
@@ -287,13 +308,14 @@ def local_sparsity(vectors: DataFrame, id_col: str, vec_col: str, k: int = 16, r
                 found = []
                 for s in range(0, len(x), step):
                     q = x[s : s + step]
-                    d = np.maximum(half[None, :] - 2 * (q @ r.T) + (q * q).sum(1)[:, None], 0.0)
-                    if d.shape[1] > k:
-                        d = np.partition(d, k - 1, axis=1)[:, :k]
+                    d = half[None, :] - 2 * (q @ r.T)
+                    near = np.argpartition(d, k - 1, axis=1)[:, :k] if d.shape[1] > k else np.broadcast_to(np.arange(d.shape[1]), d.shape)
+                    # The few nearest are measured again by their differences: copies are at 0, and a pair is as far both ways.
+                    d = ((q[:, None, :] - r[near]) ** 2).sum(2)
                     found.append(np.sort(np.concatenate((d, best[s : s + step]), axis=1), axis=1)[:, :k])
-                near = np.concatenate(found)
-                ends = pa.array(np.arange(0, near.size + 1, near.shape[1], dtype=np.int32))
-                yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.ListArray.from_arrays(ends, pa.array(near.ravel()))], names=["id", "v", "best"])
+                best_now = np.concatenate(found)
+                ends = pa.array(np.arange(0, best_now.size + 1, best_now.shape[1], dtype=np.int32))
+                yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.ListArray.from_arrays(ends, pa.array(best_now.ravel()))], names=["id", "v", "best"])
 
         return run
 
@@ -320,9 +342,10 @@ def rarity_check(probed: DataFrame, least: int = 100) -> DataFrame:
     """One row: rank correlation of sparsity with being medium or hard, and the exponent it recommends.
 
     *probed* is (sparsity, tier); invalid rows are out. Ranks are averaged over
-    ties. Too few rows or one class only: 0, 0.
+    ties; distances that agree in 12 digits are ties, so that rounding does not
+    rank them. Too few rows or one class only: 0, 0.
     """
-    t = probed.filter((F.col("tier") != "invalid") & F.col("sparsity").isNotNull()).select("sparsity", F.col("tier").isin("medium", "hard").cast("double").alias("y"))
+    t = probed.filter((F.col("tier") != "invalid") & F.col("sparsity").isNotNull()).select(F.round("sparsity", 12).alias("sparsity"), F.col("tier").isin("medium", "hard").cast("double").alias("y"))
     # Average ranks from value counts: rows of one value share a rank. Values are ranked inside ranges between
     # approximate quantiles, whose totals are added up first, so no task sorts them all.
     values = t.groupBy("sparsity").agg(F.count("*").alias("n"), F.sum("y").alias("ny"))

@@ -102,13 +102,13 @@ SQL_PAGE_SPARSITY = f"""pf AS (SELECT page_id, arg_max(features, indexed_at)::DO
 # Greedy removal by id inside each cell, exactly: one step per row of a cell, with the vectors kept so far.
 _GREEDY = f"""WITH RECURSIVE pf AS (
   SELECT page_id, coalesce(arg_max(struct_pack(a := assign), indexed_at).a, -1) AS c, arg_max(features, indexed_at)::DOUBLE[] AS v FROM cluster_index WHERE {_USABLE} GROUP BY page_id
-), hd AS (SELECT c, v, min(page_id) AS id FROM pf GROUP BY c, v
+), hd AS (SELECT c, list_transform(v, lambda x: x / greatest(sqrt(list_inner_product(v, v)), 1e-9::DOUBLE)) AS v, min(page_id) AS id FROM pf GROUP BY c, pf.v
 ), rw AS (SELECT *, row_number() OVER (PARTITION BY c ORDER BY id) AS r FROM hd
 ), g AS (
   SELECT c, r, [v] AS kept, [id] AS ids FROM rw WHERE r = 1
   UNION ALL
   SELECT c, r, CASE WHEN new THEN list_append(kept, v) ELSE kept END, CASE WHEN new THEN list_append(ids, id) ELSE ids END
-  FROM (SELECT g.c, rw.r, g.kept, g.ids, rw.v, rw.id, len(list_filter(g.kept, lambda k: list_cosine_similarity(k, rw.v) >= 0.98::DOUBLE)) = 0 AS new FROM g JOIN rw ON rw.c = g.c AND rw.r = g.r + 1)
+  FROM (SELECT g.c, rw.r, g.kept, g.ids, rw.v, rw.id, len(list_filter(g.kept, lambda k: list_inner_product(k, rw.v) >= 0.98::DOUBLE)) = 0 AS new FROM g JOIN rw ON rw.c = g.c AND rw.r = g.r + 1)
 ), k AS (SELECT DISTINCT unnest(ids) AS id FROM (SELECT c, arg_max(ids, r) AS ids FROM g GROUP BY c))"""
 
 _TABLE = f"""{SQL_NEAREST}, c AS (SELECT cid, label, count(*)::DOUBLE AS n FROM nearest GROUP BY cid, label), t AS (
@@ -128,7 +128,7 @@ SELECT CASE WHEN s.cid IS NOT NULL THEN -1 ELSE a.cid END AS cid, count(*) AS n
     "cluster_rarity": f"""WITH {_SPARSE}, w AS (SELECT median(sparsity) AS m FROM sp)
 SELECT label, round(greatest(least(median(sparsity) / any_value(m), 8.0::DOUBLE), 0.125::DOUBLE), 5) AS rarity FROM sp, w GROUP BY label""",
     "rarity_check": f"""WITH {SQL_PAGES}, {SQL_PAGE_SPARSITY}, t AS (
-  SELECT sparsity AS s, (tier IN ('medium', 'hard'))::INT::DOUBLE AS y FROM pages JOIN ps USING (page_id) WHERE tier <> 'invalid' AND sparsity IS NOT NULL
+  SELECT round(sparsity, 12) AS s, (tier IN ('medium', 'hard'))::INT::DOUBLE AS y FROM pages JOIN ps USING (page_id) WHERE tier <> 'invalid' AND sparsity IS NOT NULL
 ), r AS (SELECT y, rank() OVER (ORDER BY s) + (count(*) OVER (PARTITION BY s) - 1) / 2.0::DOUBLE AS rx FROM t), g AS (
   SELECT count(*) AS n, CASE WHEN count(*) >= 100 AND var_pop(y) > 0 AND var_pop(rx) > 0 THEN corr(rx, y) ELSE 0 END AS rho FROM r)
 SELECT n, round(rho, 6) AS rho, CASE WHEN rho <= 0.05::DOUBLE THEN 0.0::DOUBLE WHEN rho < 0.15::DOUBLE THEN 0.5::DOUBLE ELSE 1.0::DOUBLE END AS tau FROM g""",
