@@ -39,3 +39,18 @@ def test_sparsity_of_copies_and_odd_rows(spark, monkeypatch):
     few = clustering.local_sparsity(df.filter("id in (1, 100, 200)"), "id", "v").collect()
     assert all(abs(r.sparsity - np.linalg.norm(x[r.id] - x[[1, 100, 200]], axis=1).max()) < 1e-9 for r in few) and len(few) == 3
     assert clustering.local_sparsity(df.filter("false"), "id", "v").collect() == []
+
+
+def test_rarity_reads_its_rows_once(spark):
+    rng = np.random.default_rng(11)
+    x, c = rng.random(300), np.arange(300) % 3
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    df = spark.createDataFrame([(int(k), float(v)) for k, v in zip(c, x, strict=True)], "c int, sparsity double").mapInArrow(counted, "c int, sparsity double")
+    got = {r.c: r.rarity for r in clustering.cluster_rarity(df, "c").collect()}
+    assert all(abs(got[k] - np.median(x[c == k]) / np.median(x)) < 1e-9 for k in range(3)) and seen.value == 300
